@@ -14,6 +14,7 @@ from slidemill.functions.identity import (
     version_identity,
 )
 from slidemill.llm.containers import TOKENIZERS, fill_containers, token_counts
+from slidemill.llm.encoding import garbled_documents
 from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
 from slidemill.llm.leakage import leaked_passages
 from slidemill.llm.representative import Bundle, Dependency, best_representatives, duplicate_pairs, resolve_by_name
@@ -210,3 +211,14 @@ WITH d AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT doc_
 i AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items))
 SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, array_to_string(w[k:k+7], ' ') AS g FROM d) JOIN (SELECT item_id, array_to_string(w[k:k+7], ' ') AS g FROM i) USING (g)""",
 }
+
+
+def p10_repairs(spark: SparkSession, folder: str) -> DataFrame:
+    return garbled_documents(table(spark, folder, "documents"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_repairs(spark, folder).select("doc_id")
+
+
+QUERIES |= {"p10_found": p10_found, "p10_repairs": p10_repairs}
