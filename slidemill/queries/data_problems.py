@@ -80,9 +80,8 @@ def references(spark: SparkSession, folder: str) -> DataFrame:
     def of(df: DataFrame, field: str, key, prefix: str, moment: str) -> DataFrame:
         return df.select(F.lit(field).alias("ref_field"), F.concat(F.lit(prefix), key).alias("key"), month_of(F.col(moment)).alias("period"))
 
-    in_path = F.element_at(F.split(mirror_path_identity(F.col("ftp_path")), "/"), -1)
     return (
-        of(paths, "idr_ftp_paths.ftp_path", F.coalesce(in_path, image_identity(F.col("ftp_path"))), "image:", "listed_at")
+        of(paths, "idr_ftp_paths.ftp_path", image_identity(F.col("ftp_path")), "image:", "listed_at")
         .unionByName(of(data, "dataset.image_id", image_identity(F.col("image_id")), "image:", "released_at"))
         .unionByName(of(data, "dataset.idr_url", mirror_path_identity(F.col("idr_url")), "path:", "released_at"))
     )
