@@ -32,9 +32,9 @@ def ordinal(df: DataFrame, order: list[str], out: str = "ordinal", parts: int =
 
     The number of ranges is fixed, so their offsets are a table of ``parts`` rows.
     """
-    head = F.col(order[0])
-    bounds = df.agg(F.percentile_approx(head.cast("double"), [i / parts for i in range(1, parts)], 10_000).alias("b")).scalar()
-    bucket = F.size(F.filter(F.coalesce(bounds, F.array().cast("array<double>")), lambda x: x < head.cast("double")))
+    head = F.col(order[0]).cast("double")
+    bounds = df.agg(F.percentile_approx(head, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
+    bucket = F.size(F.filter(F.array(*(F.lit(float(b)) for b in sorted(set(bounds)))), lambda x: x < head)) if bounds else F.lit(0)
     cut = df.withColumn("__bucket", bucket)
     sizes = cut.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__bucket", (F.sum("__n").over(Window.partitionBy(F.lit(0)).orderBy("__bucket")) - F.col("__n")).alias("__before"))
