@@ -41,22 +41,36 @@ def normal_value(value: Column) -> Column:
     return none_if(F.lower(squash_blank(value)))
 
 
+def _unescaped(value: Column) -> Column:
+    """With plain slashes, underscores and hyphens; only values with a percent sign are searched."""
+    slashes = F.translate(value, "\\", "/")
+    plain = slashes
+    for code, char in (("5f", "_"), ("2d", "-"), ("2f", "/")):
+        plain = F.regexp_replace(plain, f"(?i)%{code}", char)
+    return F.when(value.contains("%"), plain).otherwise(slashes)
+
+
 def image_identity(value: Column) -> Column:
-    """NUMBER_LETTER_ROW_COLUMN in capitals, out of an id, a file name or a URL."""
-    plain = F.regexp_replace(value, "(?i)%5f", "_")
-    found = F.regexp_extract(plain, r"(?:^|[^0-9A-Za-z])([0-9]+_[A-Za-z]_[0-9]+_[0-9]+)(?:\.[A-Za-z]+)?(?:[?#].*)?\s*$", 1)
-    return none_if(F.upper(found))
+    """NUMBER_LETTER_ROW_COLUMN in capitals, out of an id, a file name, a path or a URL.
+
+    A canonical value is taken as it is; of any other the last path segment is read.
+    """
+    name = F.substring_index(_unescaped(value), "/", -1)
+    found = F.regexp_extract(name, r"^\s*([0-9]+_[A-Za-z]_[0-9]+_[0-9]+)(?:\.[A-Za-z]+)?(?:[?#].*)?\s*$", 1)
+    return F.when(value.rlike("^[0-9]+_[A-Z]_[0-9]+_[0-9]+$"), value).otherwise(none_if(F.upper(found)))
 
 
 def antibody_identity(value: Column) -> Column:
     """Three capital letters and a number without leading zeros."""
     pattern = r"^[^A-Za-z0-9]*([A-Za-z]{3})[^A-Za-z0-9]*0*([0-9]+)[^A-Za-z0-9]*$"
-    return none_if(F.concat(F.upper(F.regexp_extract(value, pattern, 1)), F.regexp_extract(value, pattern, 2)))
+    other = none_if(F.concat(F.upper(F.regexp_extract(value, pattern, 1)), F.regexp_extract(value, pattern, 2)))
+    return F.when(value.rlike("^[A-Z]{3}[1-9][0-9]*$"), value).otherwise(other)
 
 
 def gene_identity(value: Column) -> Column:
     """ENSG and 11 digits, without version suffix."""
-    return none_if(F.upper(F.regexp_extract(value, r"^\s*([Ee][Nn][Ss][Gg][0-9]{11})(?:\.[0-9]+)?\s*$", 1)))
+    other = none_if(F.upper(F.regexp_extract(value, r"^\s*([Ee][Nn][Ss][Gg][0-9]{11})(?:\.[0-9]+)?\s*$", 1)))
+    return F.when(value.rlike("^ENSG[0-9]{11}$"), value).otherwise(other)
 
 
 def label_identity(value: Column) -> Column:
@@ -76,11 +90,11 @@ def version_identity(value: Column) -> Column:
 
 def mirror_path_identity(value: Column) -> Column:
     """BATCH/PARENT/IMAGE_ID out of a mirror path or URL in any spelling; null if there is none."""
-    plain = F.regexp_replace(F.regexp_replace(value, "(?i)%5f", "_"), "(?i)%2d", "-")
-    plain = F.regexp_replace(F.regexp_replace(plain, "(?i)%2f", "/"), r"[/\\]+", "/")
-    pattern = r"([^/\s]+)/([^/\s]+)/([0-9]+_[A-Za-z]_[0-9]+_[0-9]+)(?:\.[A-Za-z]+)?(?:[?#].*)?\s*$"
-    batch, parent, image = (F.regexp_extract(plain, pattern, k) for k in (1, 2, 3))
-    return F.when(image != "", F.concat_ws("/", F.lower(batch), F.lower(parent), F.upper(image)))
+    plain = _unescaped(value)
+    single = F.when(plain.contains("//"), F.regexp_replace(plain, "/+", "/")).otherwise(plain)
+    tail = F.substring_index(single, "/", -3)
+    named = F.concat(F.lower(F.substring_index(tail, "/", 2)), F.lit("/"), image_identity(F.substring_index(single, "/", -1)))
+    return F.when(tail.rlike(r"^[^/\s]+/[^/\s]+/[^/]+$"), named)
 
 
 def month_of(moment: Column) -> Column:

@@ -26,12 +26,16 @@ def orphan_references(references: DataFrame, targets: DataFrame, heavy_keys: int
     only missing or dead targets count for it. A target without any period has always
     existed. Repeated rows only raise ``n``. Other columns are not read, so they cannot clash.
     """
-    counted = references.where(F.col("key").isNotNull()).groupBy("ref_field", "key", "period").agg(F.count("*").alias("n"))
-    known = (
-        targets.where(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(F.min("first_period").alias("first_period"), F.max("alive").alias("alive"))
+    # null keys are dropped by their count: a condition on the key would be pushed to the scan, and
+    # the expression that makes the key would be computed twice for every row
+    key = F.coalesce(F.col("key"), F.lit("")).alias("key")
+    counted = (
+        references.select("ref_field", key, "period")
+        .groupBy("ref_field", "key", "period")
+        .agg(F.count(F.when(F.col("key") != "", 1)).alias("n"))
+        .where("n > 0")
     )
+    known = targets.select(key, "first_period", "alive").groupBy("key").agg(F.min("first_period").alias("first_period"), F.max("alive").alias("alive"))
     per_key = counted.groupBy("key").agg(F.sum("n").alias("uses"))
     all_uses = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     heavy = per_key.where(F.col("uses") * heavy_keys > all_uses + heavy_keys).select("key")
