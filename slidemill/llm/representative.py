@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slidemill.session import cut_lineage
+
 #: Most candidates of a group that go into one search; larger groups are solved by joins, as exactly.
 SEARCH_LIMIT = 512
 
@@ -105,8 +107,9 @@ def best_representatives(
     What a group needs is aggregated with map-side combining. If one row is best in both
     bundles of a dependency, it is the answer. Otherwise values whose score plus the best
     of the other bundle stays below the best single row are pruned (the bound), and the
-    distinct candidates that are left go into a search; with more than ``search_limit`` of
-    them the best consistent pair is found by joins, so no group is ever collected whole.
+    distinct candidates that are left are stored once (checkpointed) and go into a search; with
+    more than ``search_limit`` of them the best consistent pair of a group is found by joins, so
+    no group is ever collected whole.
 
     Rows with null group are left out; null and empty fields count as missing and an
     all-missing bundle survives as nulls; repeated rows change only ``n_rows``; empty input
@@ -181,7 +184,7 @@ def _search_groups(joint: DataFrame, limit: int) -> DataFrame:
     a_ok = F.col("a_score") + F.col("b_most") >= F.col("reached")
     b_ok = F.col("b_score") + F.col("a_most") >= F.col("reached")
     columns = ["a_val", "a_link", "b_val", "b_link"]
-    kept = (
+    kept = cut_lineage(
         joint.withColumns({c: F.when(ok, F.col(c)) for ok, k in ((a_ok, "a"), (b_ok, "b")) for c in (f"{k}_val", f"{k}_score")})
         .groupBy("group_key", *columns)
         .agg(F.max("a_score").alias("a_score"), F.max("b_score").alias("b_score"))
