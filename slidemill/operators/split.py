@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slidemill.functions.scalars import filled, id_number, id_source
 from slidemill.functions.seeded import seeded_key
 from slidemill.operators.relational import keep_first
+from slidemill.session import cut_lineage
 
 SETS = ("train", "val", "test")
 ERA_BINS, LEAST_STRATUM = 5, 10
@@ -36,52 +37,46 @@ def antibody_strata(ids: DataFrame, column: str = "antibody_id", n_bins: int = E
     return out.withColumn("stratum", F.when(small, F.coalesce(largest, F.col("stratum"))).otherwise(F.col("stratum"))).select(column, "stratum")
 
 
-def stratified_holdout(ids: DataFrame, size: Column, column: str = "antibody_id", seed: int = 42, tag: str = "test") -> DataFrame:
-    """Adds ``held``: ``size`` ids taken from the strata in proportion, largest remainders first.
+def stratified_holdout(ids: DataFrame, size: int, column: str = "antibody_id", seed: int = 42, tag: str = "test") -> DataFrame:
+    """Adds ``held`` to ``(id, stratum)``: ``size`` ids taken from the strata in proportion, largest remainders first.
 
     Unstratified if there is one stratum, a stratum of one id, or fewer ids held or left than strata.
-    ``size`` is one number for all rows (an expression over the whole frame, or a literal).
+    Reads the ids several times, so they should be stored or cheap.
     """
-    every = Window.partitionBy(F.lit(0))
-    sized = ids.withColumns({"__n": F.count(F.lit(1)).over(every), "__size": size.cast("bigint")})
-    strata = sized.groupBy("stratum").agg(F.count(F.lit(1)).alias("c"), F.first("__n").alias("n"), F.first("__size").alias("size"))
-    strata = strata.withColumns({
-        "base": F.floor(F.col("size") * F.col("c") / F.col("n").cast("double")).cast("bigint"),
-        "rest": (F.col("size") * F.col("c")) % F.col("n"),
-        "k": F.count(F.lit(1)).over(every),
-        "least": F.min("c").over(every),
-    })
-    strata = strata.withColumns({
-        "spare": F.col("size") - F.sum("base").over(every),
-        "place": F.row_number().over(every.orderBy(F.desc("rest"), seeded_key(seed, F.col("stratum"), tag), F.col("stratum"))),
-        "even": (F.col("k") > 1) & (F.col("least") >= 2) & (F.col("size") >= F.col("k")) & (F.col("n") - F.col("size") >= F.col("k")),
-    })
-    quota = strata.select("stratum", (F.col("base") + F.when(F.col("place") <= F.col("spare"), 1).otherwise(0)).alias("quota"), "even", "size")
     order = [seeded_key(seed, F.col(column), tag), F.col(column)]
-    ranked = ids.join(F.broadcast(quota), "stratum").withColumns({
-        "in_stratum": F.row_number().over(Window.partitionBy("stratum").orderBy(*order)),
-        "in_all": F.row_number().over(every.orderBy(*order)),
+    strata = ids.groupBy("stratum").agg(F.count(F.lit(1)).alias("c"))
+    k, least, n = strata.agg(F.count(F.lit(1)), F.min("c"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    if size <= 0 or not n:
+        return ids.withColumn("held", F.lit(False))
+    if not (k > 1 and least >= 2 and size >= k and n - size >= k):
+        taken = ids.orderBy(*order).limit(size).select(F.col(column).alias("__taken"))
+        return ids.join(taken, F.col(column) == F.col("__taken"), "left").withColumn("held", F.col("__taken").isNotNull()).drop("__taken")
+    share = F.lit(size) * F.col("c")
+    every = Window.partitionBy(F.lit(0))  # over the strata, one row each
+    quota = strata.withColumns({"base": F.floor(share / F.lit(float(n))).cast("bigint"), "rest": share % F.lit(n)}).withColumns({
+        "spare": F.lit(size) - F.sum("base").over(every),
+        "place": F.row_number().over(every.orderBy(F.desc("rest"), seeded_key(seed, F.col("stratum"), tag), F.col("stratum"))),
     })
-    held = F.when(F.col("size") <= 0, F.lit(False)).when(F.col("even"), F.col("in_stratum") <= F.col("quota")).otherwise(F.col("in_all") <= F.col("size"))
-    return ranked.withColumn("held", held).select(*ids.columns, "held")
+    quota = quota.select("stratum", (F.col("base") + F.when(F.col("place") <= F.col("spare"), 1).otherwise(0)).alias("__quota"))
+    ranked = ids.withColumn("__rn", F.row_number().over(Window.partitionBy("stratum").orderBy(*order)))
+    return ranked.join(quota, "stratum").withColumn("held", F.col("__rn") <= F.col("__quota")).drop("__rn", "__quota")
 
 
 def split_antibodies(df: DataFrame, fractions: Sequence[float] = (0.7, 0.1, 0.2), column: str = "antibody_id", seed: int = 42) -> DataFrame:
     """``(antibody, set)`` in the shares train, val, test: test is held out first, then val from the rest.
 
-    Fewer than three antibodies all go to train; val leaves at least one for train.
+    Fewer than three antibodies all go to train; val leaves at least one for train. The distinct
+    antibodies are stored first, so the plan that leads to them runs once.
     """
     if abs(sum(fractions) - 1) > 1e-8:
         raise ValueError("fractions must sum to 1")
     _, val, test = fractions
-    ids = antibody_strata(df.where(F.col(column).isNotNull()), column)
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    ids = ids.withColumn("n_ids", n)
-    n_test = F.when(F.col("n_ids") < 3, 0).otherwise(F.bround(F.col("n_ids") * test))
-    tested = stratified_holdout(ids, n_test, column, seed, "test")
+    ids = cut_lineage(antibody_strata(cut_lineage(df.select(column).where(F.col(column).isNotNull()).distinct()), column))
+    n = ids.count()
+    n_test = round(n * test) if n >= 3 else 0
+    tested = cut_lineage(stratified_holdout(ids, n_test, column, seed, "test"))
     rest = tested.where(~F.col("held")).drop("held")
-    left = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    n_val = F.when(F.col("n_ids") < 3, 0).otherwise(F.least(F.bround(F.col("n_ids") * val), left - 1))
+    n_val = min(round(n * val), n - n_test - 1) if n >= 3 else 0
     validated = stratified_holdout(rest, n_val, column, seed, "val")
     name = F.when(F.col("held"), "val").otherwise("train").alias("set")
     return tested.where("held").select(column, F.lit("test").alias("set")).unionByName(validated.select(column, name))

@@ -71,7 +71,7 @@ def quantile_strata(spark: SparkSession, d: str) -> DataFrame:
 @query("stratified_holdout", f"WITH ids AS ({_ANTIBODY_IDS}), {_STRATA}, {_holdout('strata', '40', 'test', 'h')} SELECT id AS antibody_id, held FROM h")
 def stratified_holdout(spark: SparkSession, d: str) -> DataFrame:
     ids = SP.antibody_strata(table(spark, d, "antibodies").where("antibody_id IS NOT NULL"))
-    return SP.stratified_holdout(ids, F.lit(40), seed=SEED).select("antibody_id", "held")
+    return SP.stratified_holdout(ids, 40, seed=SEED).select("antibody_id", "held")
 
 
 @query("split_sets", f"WITH {_split_sql(_ANTIBODY_IDS)} SELECT id AS antibody_id, \"set\" FROM sets")
