@@ -33,7 +33,9 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
     record = F.regexp_extract("value", r"(?s)(<entry[\s>].*)", 1)
     rows = text.select("ordinal", record.alias("record")).where("record <> ''")
     options = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST", "attributePrefix": "_", "valueTag": "_VALUE"}
-    parsed = rows.select("ordinal", F.from_xml(F.concat("record", F.lit("</entry>")), ENTRY_SCHEMA, options).alias("entry"))
+    # the condition is repeated inside, as filters may be moved behind the parser
+    whole = F.when(F.col("record") != "", F.concat("record", F.lit("</entry>")))
+    parsed = rows.select("ordinal", F.from_xml(whole, ENTRY_SCHEMA, options).alias("entry"))
     return parsed.where("entry._url IS NOT NULL OR entry.antibody IS NOT NULL")
 
 
@@ -59,7 +61,8 @@ def antibody_rows(entries: DataFrame) -> DataFrame:
         F.coalesce(F.try_element_at(e["name"], F.lit(1)), F.lit("")).alias("name"),
         F.coalesce(F.filter(e["synonym"], lambda s: s != ""), F.array().cast("array<string>")).alias("synonyms"),
     )
-    rows = entries.select("ordinal", gene.alias("gene"), F.posexplode(e["antibody"]).alias("antibody_pos", "a"))
+    rows = entries.select("ordinal", gene.alias("gene"), e["antibody"].alias("antibodies"))
+    rows = rows.select("ordinal", "gene", F.posexplode("antibodies").alias("antibody_pos", "a"))
     sections = F.filter(F.col("a")["tissueExpression"], lambda t: t["_assayType"] == "tissue")
     blocks = F.flatten(F.transform(sections, lambda t: F.coalesce(t["data"], F.array())))
     verified = F.flatten(F.transform(sections, lambda t: F.coalesce(t["verification"], F.array())))
@@ -92,8 +95,9 @@ def atlas_tables(spark: SparkSession, path: str, mirror: DataFrame | None = None
     images = patients.select(
         "antibody_id", "ensembl_id", "gene_name", "tissue", "organ", F.col("terms").alias("ontology_terms"), F.coalesce("p.patientId", F.lit("")).alias("patient_id"),
         F.struct("ordinal", "antibody_pos", "block_pos", "patient_pos").alias("place"),
-        F.posexplode(F.flatten(F.transform(F.col("p.sample"), lambda s: F.coalesce(s["assayImage"]["image"], F.array())))).alias("image_pos", "i"),
+        F.flatten(F.transform(F.col("p.sample"), lambda s: F.coalesce(s["assayImage"]["image"], F.array()))).alias("all"),
     )
+    images = images.select("*", F.posexplode("all").alias("image_pos", "i")).drop("all")
     tif, jpg = (F.coalesce(F.col(c), F.lit("")) for c in ("i.imageUrlTif", "i.imageUrl"))
     images = images.withColumns({
         "image_type": F.when(tif != "", "tif").when(jpg != "", "jpg"),
