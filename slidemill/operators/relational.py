@@ -34,6 +34,19 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def join_skewed(rows: DataFrame, per_key: DataFrame, key: str, hot: Column) -> DataFrame:
+    """Inner join of skewed rows with a frame that has one row per key.
+
+    The keys for which ``hot`` (a condition on ``per_key``) holds must be few by construction, as
+    those with more than a fixed share of all rows are. Their rows are joined where they are, by
+    broadcast; only the other rows are shuffled. The result tells the parts apart by ``is_hot``.
+    """
+    few = per_key.where(hot)
+    here = rows.join(F.broadcast(few), key).withColumn("is_hot", F.lit(True))
+    rest = rows.join(F.broadcast(few.select(key)), key, "left_anti").join(per_key.where(~hot), key)
+    return here.unionByName(rest.withColumn("is_hot", F.lit(False)))
+
+
 def last_per_key(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
     """Keys with the value of their last row in order."""
     return df.groupBy(*keys).agg(F.max_by(value, order).alias(value))
