@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slidemill.operators.relational import join_skewed
 from slidemill.session import cut_lineage
 
+#: A group with more than 1/HOT_GROUPS of all rows, and no fewer than HOT_ROWS, is joined by broadcast.
+HOT_GROUPS, HOT_ROWS = 1000, 100_000
 #: Most candidates of a group that go into one search; larger groups are solved by joins, as exactly.
 SEARCH_LIMIT = 512
 
@@ -94,6 +97,7 @@ def best_representatives(
     dependencies: Sequence[Dependency] = (),
     recency: Column | None = None,
     search_limit: int = SEARCH_LIMIT,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, survivors)`` of the duplicate groups.
 
@@ -109,7 +113,8 @@ def best_representatives(
     of the other bundle stays below the best single row are pruned (the bound), and the
     distinct candidates that are left are stored once (checkpointed) and go into a search; with
     more than ``search_limit`` of them the best consistent pair of a group is found by joins, so
-    no group is ever collected whole.
+    no group is ever collected whole. Groups with a large share of all rows, fewer than HOT_GROUPS,
+    are not brought together but joined by broadcast and solved by joins on their links.
 
     Rows with null group are left out; null and empty fields count as missing and an
     all-missing bundle survives as nulls; repeated rows change only ``n_rows``; empty input
@@ -148,20 +153,19 @@ def best_representatives(
     if not dependencies:
         return members, per_group.select("group_key", "n_rows", *(F.col(f"m_{n}.v").alias(n) for n in free))
 
-    simple = F.lit(True)
-    for d in dependencies:
-        simple = simple & (F.col(f"r_{d.of}_{d.on}.s") >= F.col(f"m_{d.of}.s") + F.col(f"m_{d.on}.s"))
+    all_rows = per_group.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar()
+    hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") * HOT_GROUPS > all_rows)
     out = per_group
     for d in dependencies:
         r, a, b = f"r_{d.of}_{d.on}", by_name[d.of], by_name[d.on]
         open_groups = per_group.where(F.col(f"{r}.s") < F.col(f"m_{d.of}.s") + F.col(f"m_{d.on}.s")).select(
-            "group_key", F.col(f"m_{d.of}.s").alias("a_most"), F.col(f"m_{d.on}.s").alias("b_most"), F.col(f"{r}.s").alias("reached")
+            "group_key", hot.alias("hot"), F.col(f"m_{d.of}.s").alias("a_most"), F.col(f"m_{d.on}.s").alias("b_most"), F.col(f"{r}.s").alias("reached")
         )
         links = [text(F.struct(*(F.col(f"v_{n}.`{f}`") for f in fs))) for n, fs in ((d.of, d.of_fields), (d.on, d.on_fields))]
         joint = (
-            base.join(open_groups, "group_key")
+            join_skewed(base, open_groups, "group_key", F.col("hot"))
             .select(
-                "group_key",
+                "group_key", "is_hot",
                 text(F.col(f"v_{d.of}")).alias("a_val"), links[0].alias("a_link"), F.col(f"s_{d.of}").alias("a_score"),
                 text(F.col(f"v_{d.on}")).alias("b_val"), links[1].alias("b_link"), F.col(f"s_{d.on}").alias("b_score"),
                 "a_most", "b_most", "reached",
@@ -186,12 +190,13 @@ def _search_groups(joint: DataFrame, limit: int) -> DataFrame:
     columns = ["a_val", "a_link", "b_val", "b_link"]
     kept = cut_lineage(
         joint.withColumns({c: F.when(ok, F.col(c)) for ok, k in ((a_ok, "a"), (b_ok, "b")) for c in (f"{k}_val", f"{k}_score")})
-        .groupBy("group_key", *columns)
+        .groupBy("group_key", "is_hot", *columns)
         .agg(F.max("a_score").alias("a_score"), F.max("b_score").alias("b_score"))
     )
-    sizes = kept.groupBy("group_key").agg(F.count("*").alias("size"))
-    small = kept.join(sizes.where(F.col("size") <= limit).select("group_key"), "group_key")
-    large = kept.join(sizes.where(F.col("size") > limit).select("group_key"), "group_key", "left_semi")
+    rest = kept.where("NOT is_hot")
+    sizes = rest.groupBy("group_key").agg(F.count("*").alias("size"))
+    small = rest.join(sizes.where(F.col("size") <= limit).select("group_key"), "group_key", "left_semi")
+    large = rest.join(sizes.where(F.col("size") > limit).select("group_key"), "group_key", "left_semi").unionByName(kept.where("is_hot"))
 
     @F.pandas_udf("a_val string, b_val string")
     def search(groups: pd.Series) -> pd.DataFrame:

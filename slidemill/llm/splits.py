@@ -11,15 +11,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.operators.relational import join_skewed
 from slidemill.session import cut_lineage
 
 #: A component with more than 1/HEAVY of all weight is placed singly; there are fewer than HEAVY of them.
 HEAVY = 1000
+#: A node with more than 1/HOT of all links, and no fewer than HOT_LINKS, is joined by broadcast.
+HOT, HOT_LINKS = 1000, 100_000
 #: Components that one task balances, and the equal bins it makes of them.
 SHARD, BINS = 20_000, 100
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, hot_links: int = HOT_LINKS) -> DataFrame:
     """``(node, component)`` of every node with a link, by large-star and small-star rounds.
 
     A component is named by its smallest node. ``a`` and ``b`` are columns of one type; null
@@ -31,7 +34,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     edges = cut_lineage(base.where(F.col("u") != F.col("v")))
     before: tuple | None = None
     for _ in range(rounds):
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        edges = cut_lineage(_small_star(cut_lineage(_large_star(edges, hot_links)), hot_links))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -42,17 +45,27 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: Column, hot_links: int) -> DataFrame:
+    """Adds to every link the smallest node ``m`` at its ``u``; few hot nodes are joined by broadcast."""
+    per_node = edges.groupBy("u").agg(least.alias("m"), F.count("*").alias("degree"))
+    most, everything = per_node.agg(F.coalesce(F.max("degree"), F.lit(0)), F.coalesce(F.sum("degree"), F.lit(0))).first()
+    limit = max(hot_links, everything // HOT)
+    if most <= limit:
+        return edges.join(per_node, "u")
+    return join_skewed(edges, per_node, "u", F.col("degree") > limit)
+
+
+def _large_star(edges: DataFrame, hot_links: int) -> DataFrame:
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    found = _with_least(both, F.least(F.min("v"), F.col("u")), hot_links)
+    return found.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hot_links: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    found = _with_least(down, F.min("v"), hot_links)
+    moved = found.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    return moved.union(down.groupBy("u").agg(F.min("v").alias("v"))).distinct()
 
 
 def differencing(weights: Sequence[float], bins: int) -> list[int]:

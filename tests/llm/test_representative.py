@@ -52,8 +52,8 @@ def brute(group):
     return best, linked
 
 
-@pytest.mark.parametrize("limit", [512, 1])
-def test_search_and_joins_find_the_best_consistent_pair(spark, limit):
+@pytest.mark.parametrize(("limit", "hot"), [(512, 100_000), (1, 100_000), (512, 50)])
+def test_search_and_joins_find_the_best_consistent_pair(spark, limit, hot):
     rng = random.Random(5)
     data, groups = [], {}
     for k in range(900):
@@ -61,7 +61,7 @@ def test_search_and_joins_find_the_best_consistent_pair(spark, limit):
         row = (k, g, rng.choice([None, f"s{rng.randrange(9)}"]), f"c{rng.randrange(4)}", rng.choice([None, f"p{rng.randrange(9)}"]), f"k{rng.randrange(4)}", float(rng.randrange(9)), float(rng.randrange(9)))
         data.append(row)
         groups.setdefault(g, []).append(row)
-    _, survivors = best_representatives(frame(spark, data), F.col("g"), "id", bundles(), [LINK], search_limit=limit)
+    _, survivors = best_representatives(frame(spark, data), F.col("g"), "id", bundles(), [LINK], search_limit=limit, hot_rows=hot)
     out = survivors.collect()
     assert len(out) == len(groups)
     for r in out:

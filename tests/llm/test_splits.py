@@ -24,8 +24,9 @@ def brute(links):
     return {x: find(x) for x in parent}
 
 
+@pytest.mark.parametrize("hot", [100_000, 20])
 @pytest.mark.parametrize("kind", ["random", "chain", "star"])
-def test_components(spark, kind):
+def test_components(spark, kind, hot):
     rng = random.Random(1)
     links = {
         "random": [(f"n{rng.randrange(150):03d}", f"n{rng.randrange(150):03d}") for _ in range(110)],
@@ -33,7 +34,7 @@ def test_components(spark, kind):
         "star": [("m", f"n{k:03d}") for k in range(200)] * 2,
     }[kind]
     df = spark.createDataFrame([*links, (None, "x"), ("y", None)], "a string, b string").withColumn("u", F.lit(1))
-    assert dict(rows(connected_components(df))) == brute(links)
+    assert dict(rows(connected_components(df, hot_links=hot))) == brute(links)
 
 
 def test_no_links(spark):
