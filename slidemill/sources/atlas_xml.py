@@ -31,11 +31,18 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
     """``(ordinal, entry)``, one row per entry in file order. A malformed entry raises."""
     text = with_ordinal(spark.read.option("lineSep", "</entry>").text(path))
     record = F.regexp_extract("value", r"(?s)(<entry[\s>].*)", 1)
-    rows = text.select("ordinal", record.alias("record")).where("record <> ''")
-    options = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST", "attributePrefix": "_", "valueTag": "_VALUE"}
-    # the condition is repeated inside, as filters may be moved behind the parser
-    whole = F.when(F.col("record") != "", F.concat("record", F.lit("</entry>")))
-    parsed = rows.select("ordinal", F.from_xml(whole, ENTRY_SCHEMA, options).alias("entry"))
+    # an empty record is no record also inside, as filters may be moved behind the parser
+    whole = F.when(record != "", F.concat(record, F.lit("</entry>")))
+    return parse_entries(text.select("ordinal", whole.alias("record")))
+
+
+def parse_entries(records: DataFrame, mode: str = "FAILFAST") -> DataFrame:
+    """``(ordinal, entry)`` of the XML texts ``record``.
+
+    With mode FAILFAST a malformed one raises, with PERMISSIVE it is left out, as are null ones.
+    """
+    options = {"ignoreSurroundingSpaces": "false", "mode": mode, "attributePrefix": "_", "valueTag": "_VALUE"}
+    parsed = records.where("record IS NOT NULL").select("ordinal", F.from_xml("record", ENTRY_SCHEMA, options).alias("entry"))
     return parsed.where("entry._url IS NOT NULL OR entry.antibody IS NOT NULL")
 
 
