@@ -22,12 +22,12 @@ from slidemill.queries.reference_ops import PILOT_TISSUES
 from slidemill.session import build_session
 from slidemill.sources import sinks
 from slidemill.sources.atlas_xml import atlas_tables
-from slidemill.sources.files import fetch_if_absent, list_files, mirror_table, read_csv, read_locations, read_optional_csv, read_path_map
+from slidemill.sources.files import exists, fetch_if_absent, list_files, mirror_table, read_csv, read_locations, read_path_map
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """With ``row_id`` in the order read."""
-    return df if "row_id" in df.columns else df.withColumn("row_id", F.monotonically_increasing_id())
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with ``row_id`` in the order of its files, blocks and rows."""
+    return read_csv(spark, path, ordinal="row_id")
 
 
 def crawl(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -60,9 +60,9 @@ def dataset(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.split_from:
         earlier = read_csv(spark, a.split_from)
         check_split_version(earlier, allow_legacy=a.allow_legacy_split_from)
-    old = numbered(read_csv(spark, a.set_v1_from)) if a.set_v1_from else None
-    images, antibodies = numbered(read_csv(spark, a.images_csv)), read_csv(spark, a.antibodies_csv)
-    paths = numbered(read_csv(spark, a.idr_table)) if a.idr_table else None
+    old = numbered(spark, a.set_v1_from) if a.set_v1_from else None
+    images, antibodies = numbered(spark, a.images_csv), read_csv(spark, a.antibodies_csv)
+    paths = numbered(spark, a.idr_table) if a.idr_table else None
     log = pipeline.StepLog("full")
     full = pipeline.build_full(images, pipeline.guard_scores(antibodies), paths, a.source, a.seed, fractions, a.duplicate_policy, earlier, old, log=log)
     if a.stage in ("full", "both"):
@@ -95,10 +95,10 @@ def checks(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def annotations(spark: SparkSession, a: argparse.Namespace) -> int:
     data = read_csv(spark, a.dataset_csv)
-    cells, tissues = (numbered(read_csv(spark, f"{a.metadata_dir}/{n}")) for n in ("cells", "tissues"))
-    patients = read_optional_csv(spark, f"{a.metadata_dir}/patients")
+    cells, tissues = (numbered(spark, f"{a.metadata_dir}/{n}") for n in ("cells", "tissues"))
+    patients = numbered(spark, f"{a.metadata_dir}/patients") if exists(spark, f"{a.metadata_dir}/patients") else None
     per_cell = annotate.cell_annotations(data, cells).cache()
-    per_image = annotate.image_annotations(data, per_cell, None if patients is None else numbered(patients), tissues)
+    per_image = annotate.image_annotations(data, per_cell, patients, tissues)
     outputs = {"cell_annotations": per_cell, "cell_types": annotate.cell_vocabulary(per_cell).orderBy(F.desc("n_images"), "cell_type")}
     if a.subcellular_tsv:
         if a.subcellular_url:

@@ -128,7 +128,7 @@ def unknown_values(df: DataFrame, column: str, allowed: Sequence[str]) -> list[s
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """``(value, n, share)`` of a column."""
     counts = df.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    return counts.withColumn("share", F.col("n") / df.agg(F.count(F.lit(1))).scalar())
 
 
 def step_counts(df: DataFrame, stage: str, step: str) -> DataFrame:

@@ -288,7 +288,27 @@ def disjoint_check(spark: SparkSession, d: str) -> DataFrame:
     return Q.disjoint_check(table(spark, d, "dataset"), "antibody_id")
 
 
-@query("check_dataset")
+_CHECKS = f"""
+WITH {_V2}, ids AS (SELECT DISTINCT antibody_id AS id FROM v2), {_STRATA},
+shares AS (SELECT tissue, s."set", (count(*) FILTER (d."set" = s."set")) / count(*) AS share FROM v2 d, (VALUES ('train'), ('val'), ('test')) s("set") GROUP BY ALL),
+t AS (SELECT tissue AS i, "set" AS v, share - CASE "set" WHEN 'train' THEN 0.7 WHEN 'val' THEN 0.1 ELSE 0.2 END AS dev FROM shares ORDER BY round(abs(dev), 9) DESC, tissue DESC NULLS LAST, "set" DESC LIMIT 1),
+a AS (SELECT d.antibody_id, d."set", strata.s, CASE WHEN regexp_extract(d.antibody_id, '^([A-Za-z]+)', 1) = '' THEN 'other' ELSE regexp_extract(d.antibody_id, '^([A-Za-z]+)', 1) END AS p
+  FROM (SELECT DISTINCT antibody_id, "set" FROM v2) d JOIN strata ON strata.id = d.antibody_id),
+x AS (SELECT 's' AS kind, s AS i, "set" AS v FROM a UNION ALL SELECT 'p', p, "set" FROM a),
+c AS (SELECT kind, i, v, count(*) AS n FROM x GROUP BY ALL),
+o AS (SELECT kind, i, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY kind) AS total FROM c GROUP BY kind, i),
+e AS (SELECT c.kind, c.i, c.v, c.n / sum(c.n) OVER (PARTITION BY c.kind, c.v) - o.n / o.total AS dev FROM c JOIN o ON c.kind = o.kind AND c.i = o.i),
+w AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY kind ORDER BY round(abs(dev), 9) DESC, i DESC NULLS LAST, v DESC NULLS LAST) = 1),
+j AS (SELECT * FROM w ORDER BY abs(dev) DESC LIMIT 1)
+SELECT 'release' AS dataset, 'valid set' AS "check", n = 0 AS ok, n || ' rows without valid set' AS detail FROM (SELECT count(*) AS n FROM v2 WHERE coalesce("set", '') NOT IN ('train', 'val', 'test'))
+UNION ALL SELECT 'release', 'all sets present', n = 3, n || ' sets' FROM (SELECT count(DISTINCT "set") AS n FROM v2 WHERE "set" IN ('train', 'val', 'test'))
+UNION ALL SELECT 'release', 'antibodies disjoint', n = 0, n || ' in several sets' FROM (SELECT count(*) AS n FROM (SELECT antibody_id FROM v2 GROUP BY 1 HAVING count(DISTINCT "set") > 1))
+UNION ALL SELECT 'release', 'genes disjoint', n = 0, n || ' in several sets' FROM (SELECT count(*) AS n FROM (SELECT ensembl_id FROM v2 GROUP BY 1 HAVING count(DISTINCT "set") > 1))
+UNION ALL SELECT 'release', 'tissue shares', abs(dev) <= 0.01, coalesce(i, 'null') || ' in ' || v || printf(': %+.2f pt', dev * 100) FROM t
+UNION ALL SELECT 'release', 'strata and source shares', abs(dev) <= 0.015, coalesce(i, 'null') || ' in ' || coalesce(v, 'null') || printf(': %+.2f pt', dev * 100) FROM j"""
+
+
+@query("check_dataset", _CHECKS)
 def check_dataset(spark: SparkSession, d: str) -> DataFrame:
     return Q.check_dataset("release", _release(spark, d))
 

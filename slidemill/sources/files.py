@@ -37,10 +37,16 @@ def _reader(spark: SparkSession, separator: str = ",", multiline: bool = False):
     return spark.read.options(**{k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()})
 
 
-def read_csv(spark: SparkSession, path: str | list[str], separator: str = ",", multiline: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
-    """A CSV file, folder or pattern (also gzip) as strings, unquoted empty fields as empty strings."""
+def read_csv(spark: SparkSession, path: str | list[str], separator: str = ",", multiline: bool = False, columns: Sequence[str] | None = None, ordinal: str | None = None) -> DataFrame:
+    """A CSV file, folder or pattern (also gzip) as strings, unquoted empty fields as empty strings.
+
+    ``ordinal`` names a column for the arrival order, added unless the file has it.
+    """
     df = _reader(spark, separator, multiline).csv(path)
-    return (df if columns is None else df.select(*(f"`{c}`" for c in columns))).na.fill("")
+    if ordinal and ordinal not in df.columns:
+        df = with_ordinal(df, ordinal)
+    wanted = df.columns if columns is None else [*columns, *([ordinal] if ordinal else [])]
+    return df.select(*(f"`{c}`" for c in wanted)).na.fill("")
 
 
 def read_optional_csv(spark: SparkSession, path: str, required: bool = False) -> DataFrame | None:

@@ -26,6 +26,19 @@ def test_csv_keeps_strings_and_quotes(spark, tmp_path):
         files.read_optional_csv(spark, str(tmp_path / "none.csv"), required=True)
 
 
+def test_annotations_command(spark, tmp_path):
+    meta = tmp_path / "meta"
+    meta.mkdir()
+    (tmp_path / "d.csv").write_text("image_id,antibody_id,ensembl_id,gene_name,tissue,organ,patient_id,set\ni1,a,g,n,Lung,o,1,train\n")
+    (meta / "cells").write_text("antibody_id,ensembl_id,tissue,cell_type,staining,intensity,quantity,location\na,g,Lung,c,high,weak,none,nuclear\na,g,Lung,c,low,weak,none,nuclear\n")
+    (meta / "tissues").write_text("antibody_id,ensembl_id,tissue,organ,ontology_terms\na,g,Lung,o,U1\n")
+    (meta / "patients").write_text("antibody_id,ensembl_id,tissue,patient_id,sex,age\na,g,Lung,1,Male,40\n")
+    assert cli.main(["annotations", "--dataset-csv", str(tmp_path / "d.csv"), "--metadata-dir", str(meta), "--out-dir", str(tmp_path / "o")], spark) == 0
+    row = files.read_csv(spark, str(tmp_path / "o/d_image_annotations")).first()
+    assert (row.sex, row.max_staining_code, row.protein_detected, row.ontology_terms) == ("Male", "3", "True", "U1")
+    assert files.read_csv(spark, str(tmp_path / "o/d_cell_annotations")).count() == 1
+
+
 def test_mirror_table(spark, tmp_path):
     head = ",".join(files.MIRROR_COLUMNS)
     (tmp_path / "run1.csv").write_text(f"{head},more\n1_A_1_1.tif,HPA1,Lung,M-00100;M-81403,x\n2_A_1_1.tif,HPA1,Lung,M-80003,x\n")

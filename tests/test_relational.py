@@ -79,3 +79,11 @@ def test_counts(spark):
     assert R.unknown_values(df, "v", ["x"]) == ["y"]
     assert len(rows(R.k_per_group(df, "v", {"x": 2, "y": None}, "k", 1))) == 4
     assert R.first_n(df, ["k"], ["v"], 1).count() == 3
+
+
+def test_skewed_join_equals_join(spark):
+    big = spark.createDataFrame([("h", k) for k in range(50)] + [("a", 1), ("b", 2), ("z", 3), (None, 4)], "k string, v int")
+    small = spark.createDataFrame([("h", 100), ("a", 1), ("b", 2), ("y", 0)], "k string, n int")
+    out = R.join_skewed(big, small, "k", F.col("n") > 10)
+    assert rows(out.drop("is_hot")) == rows(big.join(small, "k"))
+    assert {r.k for r in out.where("is_hot").collect()} == {"h"}
