@@ -16,10 +16,11 @@ from slidemill.functions.identity import (
 from slidemill.llm.containers import TOKENIZERS, fill_containers, token_counts
 from slidemill.llm.encoding import garbled_documents
 from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
-from slidemill.llm.leakage import leaked_passages
-from slidemill.llm.representative import Bundle, Dependency, best_representatives, duplicate_pairs, resolve_by_name
+from slidemill.llm.leakage import leaked_passages, without_leaks
+from slidemill.llm.representative import Bundle, Dependency, best_representatives, duplicate_pairs, flat_survivors, resolve_by_name
 from slidemill.llm.sampling import stable_sample
 from slidemill.llm.splits import balanced_splits, related_groups
+from slidemill.session import cut_lineage
 from slidemill.sources.tables import table
 
 CELL_FIELDS = ["cell_type", "intensity", "quantity"]
@@ -58,52 +59,60 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_sample(spark, folder).where("kept = false").select("image_id")
 
 
-def image_groups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    images = table(spark, folder, "images")
+def image_bundles() -> list[Bundle]:
     status = F.lower(F.trim(F.col("download_status")))
     fetched = F.when(status == "downloaded", 3).when(status == "ftp_available", 2).when(status == "pending", 1).otherwise(0)
-    bundles = [
+    return [
         Bundle("target", ("antibody_id", "ensembl_id", "gene_name"), F.when(gene_identity(F.col("ensembl_id")).isNotNull(), 2)),
         Bundle("place", ("tissue", "organ")),
         Bundle("patient", ("patient_id",), F.when(F.col("patient_id").rlike("^[0-9]+$"), 1)),
         Bundle("file", ("image_type", "image_url", "local_path"), F.when(F.lower("image_type") == "tif", 2)),
         Bundle("download", ("download_status", "download_date", "file_size", "url_used"), fetched),
     ]
+
+
+def image_groups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    images = table(spark, folder, "images")
     group = F.coalesce(image_identity(F.col("image_id")), image_identity(F.col("image_url")))
     same_file = Dependency("file", ("image_type",), "download", ("download_date", "file_size", "url_used"))
-    return best_representatives(images, group, "row_id", bundles, [same_file], F.col("crawled_at"))
+    return best_representatives(images, group, "row_id", image_bundles(), [same_file], F.col("crawled_at"))
 
 
-def antibody_groups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    antibodies = table(spark, folder, "antibodies")
-    named = resolve_by_name(antibodies, gene_identity(F.col("ensembl_id")), F.col("gene_name"), "gene")
+def antibody_bundles() -> list[Bundle]:
     score = F.lower(F.trim(F.col("Reliability score")))
     trust = F.lit(0)
     for name, level in RELIABILITY_TRUST.items():
         trust = F.when(score == name, level).otherwise(trust)
-    bundles = [
+    return [
         Bundle("gene", ("ensembl_id", "gene_name"), F.when(F.length("ensembl_id") == 15, 1)),
         Bundle("spelling", ("antibody_id",), F.when(F.col("antibody_id") == antibody_identity(F.col("antibody_id")), 1)),
         Bundle("reliability", ("Reliability score",), trust),
     ]
+
+
+def antibody_groups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    antibodies = table(spark, folder, "antibodies")
+    named = resolve_by_name(antibodies, gene_identity(F.col("ensembl_id")), F.col("gene_name"), "gene")
     group = F.concat_ws("/", antibody_identity(F.col("antibody_id")), F.col("gene"))
     known = antibody_identity(F.col("antibody_id")).isNotNull() & F.col("gene").isNotNull()
-    return best_representatives(named, F.when(known, group), "row_id", bundles, [], F.col("updated_at"))
+    return best_representatives(named, F.when(known, group), "row_id", antibody_bundles(), [], F.col("updated_at"))
 
 
 def p3_images(spark: SparkSession, folder: str) -> DataFrame:
-    return image_groups(spark, folder)[1]
+    return flat_survivors(image_groups(spark, folder)[1], image_bundles(), "image_id")
 
 
 def p3_antibodies(spark: SparkSession, folder: str) -> DataFrame:
-    return antibody_groups(spark, folder)[1]
+    return flat_survivors(antibody_groups(spark, folder)[1], antibody_bundles(), "antibody_gene")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [
-        duplicate_pairs(*groups(spark, folder)).select(F.lit(name).alias("src_table"), "row_a", "row_b")
-        for name, groups in (("images", image_groups), ("antibodies", antibody_groups))
-    ]
+    parts = []
+    for name, groups in (("images", image_groups), ("antibodies", antibody_groups)):
+        members, survivors = groups(spark, folder)
+        # the survivors are built and stored whole; the pairs are read from what each of them stands for
+        pairs = duplicate_pairs(members, cut_lineage(survivors))
+        parts.append(pairs.select(F.lit(name).alias("src_table"), "row_a", "row_b"))
     return parts[0].unionByName(parts[1])
 
 
@@ -151,6 +160,11 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_passages(spark, folder).select("doc_id", "item_id")
 
 
+def p9_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that stay after the leaks are removed."""
+    return without_leaks(table(spark, folder, "documents").select("doc_id", "lang", "source"), p9_passages(spark, folder))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_frequencies": p1_frequencies,
@@ -164,6 +178,7 @@ QUERIES = {
     "p8_containers": p8_containers,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
+    "p9_clean": p9_clean,
 }
 
 _NORMAL = r"lower(trim(regexp_replace({0}, '[\s\p{{Z}}\x{{0B}}\x{{85}}]+', ' ', 'g')))"

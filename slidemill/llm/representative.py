@@ -217,6 +217,12 @@ def _search_groups(joint: DataFrame, limit: int) -> DataFrame:
     return searched.unionByName(joined)
 
 
+def flat_survivors(survivors: DataFrame, bundles: Sequence[Bundle], key: str = "group_key") -> DataFrame:
+    """One plain row per group: ``key, n_rows`` and the fields of all bundles."""
+    fields = [F.col(f"{b.name}.`{f}`").alias(f) for b in bundles for f in b.fields]
+    return survivors.select(F.col("group_key").alias(key), "n_rows", *fields)
+
+
 def duplicate_pairs(members: DataFrame, survivors: DataFrame) -> DataFrame:
     """All pairs ``row_a < row_b`` of the rows that one survivor of several rows stands for."""
     merged = members.join(survivors.where(F.col("n_rows") > 1).select("group_key"), "group_key")
