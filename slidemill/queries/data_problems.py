@@ -123,7 +123,7 @@ def xml_antibodies(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(F.col("ordinal").alias("entry_id"), "antibody_id", "gene.ensembl_id", F.col("gene.name").alias("gene_name"), "reliability_score", F.size("blocks").alias("n_tissues"))
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_tables": entry_children, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
 
 _SPLIT = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS src_table, '{field}' AS field, row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM (
