@@ -16,12 +16,13 @@ from slidemill.images import work
 from slidemill.images.paths import crop_path, image_path, mask_path
 from slidemill.operators import annotate, quality
 from slidemill.operators.folders import document_aggregate, gene_documents
+from slidemill.operators.relational import value_counts
 from slidemill.operators.split import check_split_version
 from slidemill.plans import pipeline
 from slidemill.queries.reference_ops import PILOT_TISSUES
 from slidemill.session import build_session
 from slidemill.sources import sinks
-from slidemill.sources.atlas_xml import atlas_tables
+from slidemill.sources.atlas_xml import atlas_tables, parse_counts, read_entries
 from slidemill.sources.files import exists, fetch_if_absent, list_files, mirror_table, read_csv, read_locations, read_path_map
 
 
@@ -30,8 +31,18 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, ordinal="row_id")
 
 
+def log_rows(df: DataFrame, path: str | None) -> None:
+    """Prints a small frame, also into a log file if there is one."""
+    lines = ["\t".join(df.columns), *("\t".join(map(str, r)) for r in df.collect())]
+    print(*lines, sep="\n")
+    if path:
+        with open(path, "a") as f:
+            print(*lines, sep="\n", file=f)
+
+
 def crawl(spark: SparkSession, a: argparse.Namespace) -> int:
     mirror = read_path_map(spark, a.ftp_paths) if a.ftp_paths else None
+    log_rows(parse_counts(read_entries(spark, a.xml_file)), a.log_file)
     tables = atlas_tables(spark, a.xml_file, mirror)
     if a.format in ("csv", "all"):
         for name, df in tables.items():
@@ -71,7 +82,10 @@ def dataset(spark: SparkSession, a: argparse.Namespace) -> int:
         exclude = read_csv(spark, a.exclude_ids) if a.exclude_ids else None
         pilot = pipeline.build_pilot(full, PILOT_TISSUES, a.seed, fractions, exclude=exclude, earlier=earlier, log=log)
         sinks.write_csv(pipeline.finalize(pilot), f"{a.out_dir}/{a.pilot_output}")
-    log.frame().show(50, False)
+    log_rows(log.frame(), a.log_file)
+    if a.save_plots:
+        for column in ("tissue", "organ"):
+            sinks.write_csv(value_counts(full, column).orderBy(F.desc("n"), "value"), f"{a.plot_dir}/{column}_counts", single=True)
     return 0
 
 
@@ -173,20 +187,20 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(*flags.split(), **kw)
 
     flag, number, real = {"action": "store_true"}, {"type": int}, {"type": float}
-    command("crawl", crawl, ("--xml-file", {"required": True}), ("--output-dir", {"required": True}), ("--format", {"choices": ["csv", "json", "img_json", "all"], "default": "csv"}), ("--ftp-paths", {}))
+    command("crawl", crawl, ("--xml-file", {"required": True}), ("--output-dir", {"required": True}), ("--format", {"choices": ["csv", "json", "img_json", "all"], "default": "csv"}), ("--ftp-paths", {}), ("--log-file", {}))
     command("mirror", mirror, ("--idr-dir", {"required": True}), ("--listing", {"required": True}), ("--output", {"required": True}))
     command(
         "dataset", dataset, ("--images-csv", {"required": True}), ("--antibodies-csv", {"required": True}), ("--idr-table", {}), ("--source", {"choices": ["idr", "all"], "default": "idr"}),
         ("--stage", {"choices": ["full", "pilot", "both"], "default": "both"}), ("--full-output", {"default": "full_dataset"}), ("--pilot-output", {"default": "pilot_dataset"}), ("--out-dir", {"default": "."}),
         ("--train-frac", real | {"default": 0.7}), ("--val-frac", real | {"default": 0.1}), ("--test-frac", real | {"default": 0.2}), ("--seed", number | {"default": 42}),
-        ("--split-from", {}), ("--allow-legacy-split-from", flag), ("--set-v1-from", {}), ("--exclude-ids", {}), ("--duplicate-policy", {"choices": ["fail", "prefer", "drop"], "default": "prefer"}),
+        ("--log-file", {}), ("--save-plots", flag), ("--plot-dir", {"default": "."}), ("--split-from", {}), ("--allow-legacy-split-from", flag), ("--set-v1-from", {}), ("--exclude-ids", {}), ("--duplicate-policy", {"choices": ["fail", "prefer", "drop"], "default": "prefer"}),
     )
     command("checks", checks, ("--dataset", {"nargs": "+", "required": True}), ("--metadata", {}), ("--fracs", {"default": "0.7,0.1,0.2"}), ("--tissue-tol", real | {"default": 0.01}), ("--strata-tol", real | {"default": 0.015}), ("--year-tvd", real | {"default": 0.1}))
     command("annotations", annotations, ("--dataset-csv", {"required": True}), ("--metadata-dir", {"required": True}), ("--out-dir", {"default": "."}), ("--prefix", {}), ("--subcellular-tsv", {}), ("--subcellular-url", {}))
     command("download", download, ("--csv", {"required": True}), ("--root", {"required": True}), ("--source-order", {"default": "idr,hpa"}), ("--set", {}), ("--workers", number | {"default": 4}), ("--max-images", number | {"default": 0}), ("--retries", number | {"default": 2}), ("--verify", flag), ("--delete-corrupt", flag))
     images = [("--root", {}), ("--csv-file", {}), ("--img-root", {"default": ""}), ("--max-images", number | {"default": 0}), ("--num-workers", number | {"default": 10})]
-    command("masks", make_masks, *images, ("--downsample", real | {"default": 0.2}), ("--min-component-area", number | {"default": 1000}), ("--report-dir", {}))
-    command("crops", make_crops, *images, ("--save-format", {"choices": ["npy", "tif"], "default": "npy"}), ("--padding", number | {"default": 5}))
+    command("masks", make_masks, *images, ("--downsample", real | {"default": 0.2}), ("--min-component-area", number | {"default": 1000}), ("--report-dir", {}), ("--output-format", {"choices": ["npy"], "default": "npy"}))
+    command("crops", make_crops, *images, ("--save-format", {"choices": ["npy", "tif"], "default": "npy"}), ("--padding", number | {"default": 5}), ("--mask-format", {"choices": ["npy"], "default": "npy"}))
     return p
 
 

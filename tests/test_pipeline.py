@@ -60,7 +60,9 @@ def test_command_line(spark, tmp_path):
         sinks.write_csv(df, str(tmp_path / name))
     out = str(tmp_path / "out")
     common = ["--images-csv", f"{tmp_path}/images", "--antibodies-csv", f"{tmp_path}/antibodies", "--idr-table", f"{tmp_path}/mirror", "--out-dir", out, "--source", "all"]
-    assert cli.main(["dataset", *common], spark) == 0
+    log = tmp_path / "log"
+    assert cli.main(["dataset", *common, "--log-file", str(log), "--save-plots", "--plot-dir", out], spark) == 0
+    assert "one antibody per gene" in log.read_text() and files.read_csv(spark, f"{out}/tissue_counts").columns == ["value", "n", "share"]
     full = files.read_csv(spark, f"{out}/full_dataset")
     assert full.columns == list(P.OUTPUT_COLUMNS) and full.count() > 0
     assert cli.main(["dataset", *common, "--split-from", f"{out}/full_dataset", "--full-output", "again", "--stage", "full"], spark) == 0
