@@ -50,13 +50,15 @@ def resolve_folders(images: DataFrame, mirror: DataFrame, order: str = "ordinal"
     """
     path = mirror.select(F.col("image_id").alias("__id"), "ftp_path")
     joined = images.join(path, F.col("image_id") == F.col("__id"), "left").drop("__id")
-    deep = F.size(F.split("ftp_path", "/")) >= 3
-    joined = joined.withColumn("__parent", F.when(~F.coalesce(deep, F.lit(False)), web_parent(F.col("image_url"), F.col("antibody_id"))))
-    batches = assign_batches(joined.where(F.col("__parent").isNotNull()), "__parent", order)
-    placed = joined.join(batches, "__parent", "left")
-    folder = F.when(F.col("__parent").isNull(), F.concat_ws("/", segment(F.col("ftp_path"), -3), segment(F.col("ftp_path"), -2))).otherwise(F.concat_ws("/", "batch", "__parent"))
     status = F.when(F.col("ftp_path").isNotNull(), "ftp_available").otherwise("pending")
-    return placed.withColumns({"local_path": folder, "download_status": status}).drop("__parent", "batch", "ftp_path")
+    joined = joined.withColumn("download_status", status)
+    deep = F.coalesce(F.size(F.split("ftp_path", "/")) >= 3, F.lit(False))
+    mirrored = joined.where(deep).withColumn("local_path", F.concat_ws("/", segment(F.col("ftp_path"), -3), segment(F.col("ftp_path"), -2)))
+    # only rows with a web parent are joined: the others would be one huge group without key
+    web = joined.where(~deep).withColumn("__parent", web_parent(F.col("image_url"), F.col("antibody_id")))
+    batches = assign_batches(web.where(F.col("__parent").isNotNull()), "__parent", order)
+    placed = web.join(batches, "__parent", "left").withColumn("local_path", F.concat_ws("/", "batch", "__parent"))
+    return mirrored.drop("ftp_path").unionByName(placed.drop("__parent", "batch", "ftp_path"))
 
 
 def document_aggregate(images: DataFrame, order: str = "ordinal") -> DataFrame:

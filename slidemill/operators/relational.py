@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -148,10 +149,13 @@ def group_pairs(df: DataFrame, key: str, value: str, top: int, separator: str =
 
 
 def k_per_group(df: DataFrame, group: str, sizes: dict[str, int | None], key: str, seed: int) -> DataFrame:
-    """A seeded sample without replacement of each group; None takes all."""
+    """A seeded sample without replacement of each group; None takes all.
+
+    Groups of one size share a plain limit on the rank, which Spark applies before the shuffle.
+    """
     w = Window.partitionBy(group).orderBy(seeded_key(seed, F.col(key)), F.col(key))
-    ranked = df.withColumn("__rn", F.row_number().over(w))
-    wanted = F.lit(False)
-    for name, k in sizes.items():
-        wanted = wanted | ((F.col(group) == name) & (F.lit(True) if k is None else F.col("__rn") <= k))
-    return ranked.where(wanted).drop("__rn")
+    parts = [df.where(F.col(group).isin([g for g, k in sizes.items() if k is None]))]
+    for size in sorted({k for k in sizes.values() if k is not None}):
+        some = df.where(F.col(group).isin([g for g, k in sizes.items() if k == size]))
+        parts.append(some.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= size).drop("__rn"))
+    return reduce(DataFrame.unionByName, parts)
