@@ -101,14 +101,15 @@ def pack(sizes: dict[int, int], capacity: int) -> Iterator[tuple[dict[int, int],
         yield content, times
 
 
-def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard: int = SHARD) -> DataFrame:
+def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard: int = SHARD, n_items: int | None = None) -> DataFrame:
     """``(key, piece, size, container)``: every item in containers of ``capacity``.
 
     An item that fits is one piece (0) and whole. A longer one is cut into pieces of exactly
     ``capacity`` and a rest. Items are spread by hash of the key over shards of about ``shard``
     items; each shard is packed by minimum bin slack on the number of items per length, so the
     space left over is at most that of a few last containers per shard. The container id is
-    unique over all shards and equal in every rerun over the same rows.
+    unique over all shards and equal in every rerun over the same rows. ``n_items`` saves
+    counting items that are costly to make, such as token counts.
 
     Items of size 0 or null go into their shard's first container; a null key is an item like
     any other; repeated rows are further items; an empty table gives an empty result; no other
@@ -116,7 +117,7 @@ def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard:
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    shards = max(1, -(-items.count() // shard))
+    shards = max(1, -(-(items.count() if n_items is None else n_items) // shard))
     kind = items.schema[key].dataType.simpleString()
     whole = items.select(F.col(key).alias("key"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("size"))
     pieces = F.greatest(F.ceil(F.col("size") / F.lit(capacity)).cast("int"), F.lit(1))

@@ -148,8 +148,9 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = token_counts(table(spark, folder, "documents"), "doc_id", "text", f"{TOKENIZERS}/{VOCABULARY}")
-    return fill_containers(sizes, "doc_id", "tokens", CONTAINER_TOKENS)
+    documents = table(spark, folder, "documents")
+    sizes = token_counts(documents, "doc_id", "text", f"{TOKENIZERS}/{VOCABULARY}")
+    return fill_containers(sizes, "doc_id", "tokens", CONTAINER_TOKENS, n_items=documents.count())
 
 
 def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
