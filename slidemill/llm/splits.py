@@ -20,6 +20,8 @@ HEAVY = 1000
 HOT, HOT_LINKS = 1000, 100_000
 #: Components that one task balances, and the equal bins it makes of them.
 SHARD, BINS = 20_000, 100
+#: Most swaps of two bins between splits in a shard.
+EXCHANGES = 200
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, hot_links: int = HOT_LINKS) -> DataFrame:
@@ -121,7 +123,37 @@ def allocate(vectors: np.ndarray, shares: np.ndarray) -> np.ndarray:
             k = int(np.argmax(lack))
         got[k] += v
         out[i] = k
-    return out
+    return exchange(vectors, out, goal)
+
+
+def exchange(vectors: np.ndarray, split: np.ndarray, goal: np.ndarray, rounds: int = EXCHANGES) -> np.ndarray:
+    """Swaps two bins of different splits, the best swap each round, while the strata's shares get better.
+
+    Bins of about equal weight leave the overall shares as they are.
+    """
+    split = split.copy()
+    weight = vectors.sum(axis=1)
+    scale = 1 / np.maximum(goal, 1e-9)
+    off = np.stack([vectors[split == k].sum(axis=0) for k in range(len(goal))]) - goal
+    for _ in range(rounds):
+        best, at = -1e-9, None
+        for k, m in itertools.combinations(range(len(goal)), 2):
+            a, b = np.flatnonzero(split == k), np.flatnonzero(split == m)
+            if not len(a) or not len(b):
+                continue
+            moved = vectors[b][None, :, :] - vectors[a][:, None, :]
+            change = ((2 * off[k] + moved) * moved * scale[k]).sum(axis=2) + ((moved - 2 * off[m]) * moved * scale[m]).sum(axis=2)
+            change[np.abs(weight[a][:, None] - weight[b][None, :]) > 0.02 * weight.mean()] = 0
+            i, j = np.unravel_index(np.argmin(change), change.shape)
+            if change[i, j] < best:
+                best, at = change[i, j], (k, m, a[i], b[j])
+        if at is None:
+            break
+        k, m, i, j = at
+        off[k] += vectors[j] - vectors[i]
+        off[m] += vectors[i] - vectors[j]
+        split[i], split[j] = m, k
+    return split
 
 
 def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = SHARD, bins: int = BINS, heavy: int = HEAVY) -> DataFrame:
