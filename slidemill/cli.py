@@ -23,7 +23,7 @@ from slidemill.queries.reference_ops import PILOT_TISSUES
 from slidemill.session import build_session
 from slidemill.sources import sinks
 from slidemill.sources.atlas_xml import atlas_tables, parse_counts, read_entries
-from slidemill.sources.files import exists, fetch_if_absent, list_files, mirror_table, read_csv, read_locations, read_path_map
+from slidemill.sources.files import existing_paths, exists, fetch_if_absent, list_files, mirror_table, read_csv, read_locations, read_path_map
 
 
 def numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -151,9 +151,11 @@ def download(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def _image_paths(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """The images below a folder, or those of a CSV that exist; missing ones are counted and left out."""
     if a.csv_file:
-        rows = read_csv(spark, a.csv_file)
-        return _first(rows.select(image_path(F.lit(a.img_root), F.col("local_path"), F.col("image_id")).alias("path")), a.max_images)
+        there, missing = existing_paths(spark, a.csv_file, a.img_root)
+        print(f"missing images: {missing.count()}")
+        return _first(there, a.max_images)
     return _first(list_files(spark, a.root).select("path"), a.max_images)
 
 

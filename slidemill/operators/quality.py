@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.functions.scalars import filled, id_prefix, id_source
+from slidemill.functions.scalars import filled, id_prefix
 from slidemill.operators.split import SETS, antibody_strata
 
 TISSUE_TOLERANCE, STRATA_TOLERANCE, YEAR_DISTANCE = 0.01, 0.015, 0.10
@@ -103,10 +103,6 @@ def gene_agreement(frames: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def source_shares(df: DataFrame) -> DataFrame:
-    return share_by_column(df, id_source(F.col("antibody_id")))
-
-
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(field, n_missing)`` of null or empty values."""
     cells = F.array(*(F.struct(F.lit(c).alias("field"), F.sum((filled(F.col(f"`{c}`").cast("string")) == "").cast("int")).alias("n_missing")) for c in columns))

@@ -31,11 +31,6 @@ def build_session(app: str = "slidemill", master: str | None = None, **conf: str
     return builder.config(map=settings).getOrCreate()
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder that the cluster names, and return the stored rows.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slidemill.functions.scalars import basename, segment, stem, strip
+from slidemill.functions.scalars import segment, stem, strip
 from slidemill.operators.folders import resolve_folders
 from slidemill.operators.relational import keep_first, keep_preferred
 from slidemill.sources.files import with_ordinal
@@ -141,7 +141,3 @@ def parse_counts(entries: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.size("blocks")), F.lit(0)).alias("tissues"), F.sum((F.col("reliability_score") == "").cast("int")).alias("without_reliability"),
     )
     return skipped.select("entries", "cancer_sections", *(kept.select(c).scalar().alias(c) for c in kept.columns))
-
-
-def image_name(url: Column) -> Column:
-    return basename(url)

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slidemill.functions.scalars import after_marker, basename, stem
 
@@ -140,7 +139,7 @@ def existing_paths(spark: SparkSession, csv: str, root: str, pattern: str = "*.t
     rows = read_csv(spark, csv)
     inside = F.concat_ws("/", F.lit(root.rstrip("/")), F.col("local_path"), F.concat("image_id", F.lit(".tif")))
     path = F.when(F.col("local_path").startswith("/") & F.lower("local_path").endswith(".tif"), F.col("local_path")).when(F.lower("local_path").endswith(".tif"), F.concat_ws("/", F.lit(root.rstrip("/")), "local_path")).otherwise(inside)
-    wanted = rows.select(path.alias("path"))
+    wanted = rows.select(path.alias("path")).distinct()
     there = list_files(spark, root, pattern).select("path")
     return wanted.join(there, "path", "left_semi"), wanted.join(there, "path", "left_anti")
 
@@ -164,7 +163,3 @@ def fetch_if_absent(url: str, path: str) -> bool:
         if os.path.exists(part):
             os.remove(part)
     return True
-
-
-def empty_frame(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))

@@ -2,9 +2,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from slidemill import cli
+from slidemill.functions.scalars import valid_tiff
 from slidemill.images import mask as M
 from slidemill.images import tiff, work
 from slidemill.images.paths import crop_path, mask_path
+from slidemill.sources.files import read_images
 from slidemill.streaming.incremental import new_files, pending, run_available
 from tests.conftest import rows
 
@@ -109,3 +112,23 @@ def test_new_files_are_processed_once(spark, tmp_path):
     out = spark.read.parquet(results)
     assert sorted((r.path.rsplit("/", 1)[1], r.step) for r in out.collect()) == [("a.tif", 0), ("b.tif", 0), ("c.tif", 1)]
     assert rows(pending(spark.createDataFrame([("x",), ("y",)], "path string"), spark.createDataFrame([("x",)], "path string"))) == [("y",)]
+
+
+def test_commands(spark, tmp_path):
+    root = tmp_path / "root"
+    (root / "b/4").mkdir(parents=True)
+    (root / "b/4/i1.tif").write_bytes(tiff.encode(slide()))
+    (root / "b/4/i2.tif").write_bytes(b"short")
+    csv = tmp_path / "d.csv"
+    csv.write_text("image_id,local_path,idr_url,hpa_url,set\ni1,b/4,,,train\ni2,b/4,,,val\ni3,b/4,,,val\n")
+    where = ["--csv-file", str(csv), "--img-root", str(root), "--num-workers", "2"]
+    assert cli.main(["masks", *where, "--report-dir", str(tmp_path)], spark) == 1  # i2 is damaged
+    assert (root / "b/4/masks/i1_mask.npy").exists() and not (root / "b/4/masks/i2_mask.npy").exists()
+    assert cli.main(["crops", *where, "--max-images", "1"], spark) == 0
+    assert cli.main(["crops", "--root", str(root), "--save-format", "tif", "--padding", "20"], spark) == 1
+    assert tiff.decode((root / "b/4/crops/i1_crop.tif").read_bytes()).shape == (240, 240, 3)
+    assert cli.main(["download", "--csv", str(csv), "--root", str(root), "--verify", "--set", "train"], spark) == 0
+    assert cli.main(["download", "--csv", str(csv), "--root", str(root), "--retries", "0"], spark) == 1  # no urls
+    files = read_images(spark, str(root), "i*.tif")
+    valid = {r.path.rsplit("/", 1)[1]: r.v for r in files.select("path", valid_tiff(F.col("content"), F.col("length")).alias("v")).collect()}
+    assert valid["i1.tif"] and not valid["i2.tif"]
