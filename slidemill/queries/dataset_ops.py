@@ -114,14 +114,14 @@ def batch_assign(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("folder_resolution", """
-WITH m AS (SELECT regexp_replace("Image Name", '\\.tif$', '') AS image_id, arg_max(ftp_path, row_id) AS ftp_path FROM idr_ftp_paths WHERE "Image Name" IS NOT NULL GROUP BY 1),
+WITH m AS (SELECT regexp_replace("Image Name", '\\.tif$', '') AS image_id, arg_max(ftp_path, row_id) AS ftp_path FROM idr_ftp_paths WHERE "Image Name" IS NOT NULL AND ftp_path <> '' GROUP BY 1),
 j AS (SELECT i.row_id, i.image_url, m.ftp_path, CASE WHEN m.ftp_path IS NULL OR len(string_split(m.ftp_path, '/')) < 3 THEN string_split(i.image_url, '/')[-2] END AS parent FROM images i LEFT JOIN m USING (image_id)),
 f AS (SELECT parent, min(row_id) AS o FROM j WHERE parent IS NOT NULL GROUP BY 1), b AS (SELECT parent, '202506' || CAST(12 + (row_number() OVER (ORDER BY o, parent) - 1) // 500 AS INT) || '-xml' AS batch FROM f)
 SELECT row_id, CASE WHEN parent IS NULL THEN string_split(ftp_path, '/')[-3] || '/' || string_split(ftp_path, '/')[-2] ELSE batch || '/' || parent END AS local_path,
  CASE WHEN ftp_path IS NULL THEN 'pending' ELSE 'ftp_available' END AS download_status FROM j LEFT JOIN b USING (parent)""")
 def folder_resolution(spark: SparkSession, d: str) -> DataFrame:
     paths = table(spark, d, "idr_ftp_paths").select(F.regexp_replace("Image Name", r"\.tif$", "").alias("image_id"), "ftp_path", "row_id")
-    mirror = paths.where("image_id IS NOT NULL").groupBy("image_id").agg(F.max_by("ftp_path", "row_id").alias("ftp_path"))
+    mirror = paths.where("image_id IS NOT NULL AND ftp_path <> ''").groupBy("image_id").agg(F.max_by("ftp_path", "row_id").alias("ftp_path"))
     images = table(spark, d, "images").select("row_id", "image_url", "image_id", "antibody_id")
     return FO.resolve_folders(images, mirror, "row_id").select("row_id", "local_path", "download_status")
 

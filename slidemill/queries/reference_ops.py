@@ -92,13 +92,13 @@ def domain_guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("lookup_last_wins", """
-WITH last AS (SELECT "Image Name" AS k, arg_max(ftp_path, row_id) AS p FROM idr_ftp_paths GROUP BY 1)
+WITH last AS (SELECT "Image Name" AS k, arg_max(ftp_path, row_id) AS p FROM idr_ftp_paths WHERE ftp_path <> '' GROUP BY 1)
 SELECT i.row_id, coalesce(p, '') AS idr_ftp_path, coalesce(p, '') <> '' AS idr_available,
   CASE WHEN coalesce(p, '') <> '' THEN 'https://mirror.example/' || p ELSE '' END AS idr_url
 FROM images i LEFT JOIN last ON regexp_replace(i.image_id || '.tif', '\\.(jpe?g|tif|tiff)$', '.tif') = last.k""")
 def lookup_last_wins(spark: SparkSession, d: str) -> DataFrame:
     images = table(spark, d, "images").select("row_id", S.tif_name(F.concat("image_id", F.lit(".tif"))).alias("name"))
-    out = R.lookup(images, "name", table(spark, d, "idr_ftp_paths"), "Image Name", "ftp_path", "row_id", "idr_ftp_path")
+    out = R.lookup(images, "name", table(spark, d, "idr_ftp_paths").where("ftp_path <> ''"), "Image Name", "ftp_path", "row_id", "idr_ftp_path")
     there = F.col("idr_ftp_path") != ""
     url = F.when(there, F.concat(F.lit("https://mirror.example/"), "idr_ftp_path")).otherwise("")
     return out.select("row_id", "idr_ftp_path", there.alias("idr_available"), url.alias("idr_url"))
@@ -292,9 +292,9 @@ def first_n_per_group(spark: SparkSession, d: str) -> DataFrame:
     return R.first_n(table(spark, d, "dataset"), ["set"], ["row_id"], 3).select("set", "row_id")
 
 
-@query("last_wins", "SELECT \"Image Name\" AS name, arg_max(ftp_path, row_id) AS ftp_path FROM idr_ftp_paths GROUP BY 1")
+@query("last_wins", "SELECT \"Image Name\" AS name, arg_max(ftp_path, row_id) AS ftp_path FROM idr_ftp_paths WHERE ftp_path <> '' GROUP BY 1")
 def last_wins(spark: SparkSession, d: str) -> DataFrame:
-    paths = table(spark, d, "idr_ftp_paths").select(F.col("Image Name").alias("name"), "ftp_path", "row_id")
+    paths = table(spark, d, "idr_ftp_paths").where("ftp_path <> ''").select(F.col("Image Name").alias("name"), "ftp_path", "row_id")
     return R.last_per_key(paths, ["name"], "ftp_path", "row_id")
 
 
