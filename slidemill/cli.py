@@ -19,7 +19,7 @@ from slidemill.operators.folders import document_aggregate, gene_documents
 from slidemill.operators.relational import value_counts
 from slidemill.operators.split import check_split_version
 from slidemill.plans import pipeline
-from slidemill.queries.reference_ops import PILOT_TISSUES
+from slidemill.queries.table_ops import PILOT_TISSUES
 from slidemill.session import build_session
 from slidemill.sources import sinks
 from slidemill.sources.atlas_xml import atlas_tables, parse_counts, read_entries
@@ -59,7 +59,7 @@ def crawl(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def mirror(spark: SparkSession, a: argparse.Namespace) -> int:
     files = [os.path.join(a.idr_dir, f) for f in sorted(os.listdir(a.idr_dir)) if f.endswith(".csv")]
-    sinks.write_csv(mirror_table(spark, files, a.listing), a.output)
+    sinks.write_csv(mirror_table(spark, files, a.listing, a.listing_root), a.output)
     return 0
 
 
@@ -75,7 +75,7 @@ def dataset(spark: SparkSession, a: argparse.Namespace) -> int:
     images, antibodies = numbered(spark, a.images_csv), read_csv(spark, a.antibodies_csv)
     paths = numbered(spark, a.idr_table) if a.idr_table else None
     log = pipeline.StepLog("full")
-    full = pipeline.build_full(images, pipeline.guard_scores(antibodies), paths, a.source, a.seed, fractions, a.duplicate_policy, earlier, old, log=log)
+    full = pipeline.build_full(images, pipeline.guard_scores(antibodies), paths, a.source, a.seed, fractions, a.duplicate_policy, earlier, old, a.mirror_url, log)
     if a.stage in ("full", "both"):
         sinks.write_csv(pipeline.finalize(full), f"{a.out_dir}/{a.full_output}")
     if a.stage in ("pilot", "both"):
@@ -190,9 +190,9 @@ def parser() -> argparse.ArgumentParser:
 
     flag, number, real = {"action": "store_true"}, {"type": int}, {"type": float}
     command("crawl", crawl, ("--xml-file", {"required": True}), ("--output-dir", {"required": True}), ("--format", {"choices": ["csv", "json", "img_json", "all"], "default": "csv"}), ("--ftp-paths", {}), ("--log-file", {}))
-    command("mirror", mirror, ("--idr-dir", {"required": True}), ("--listing", {"required": True}), ("--output", {"required": True}))
+    command("mirror", mirror, ("--idr-dir", {"required": True}), ("--listing", {"required": True}), ("--listing-root", {"default": ""}), ("--output", {"required": True}))
     command(
-        "dataset", dataset, ("--images-csv", {"required": True}), ("--antibodies-csv", {"required": True}), ("--idr-table", {}), ("--source", {"choices": ["idr", "all"], "default": "idr"}),
+        "dataset", dataset, ("--images-csv", {"required": True}), ("--antibodies-csv", {"required": True}), ("--idr-table", {}), ("--mirror-url", {"default": pipeline.MIRROR_URL}), ("--source", {"choices": ["idr", "all"], "default": "idr"}),
         ("--stage", {"choices": ["full", "pilot", "both"], "default": "both"}), ("--full-output", {"default": "full_dataset"}), ("--pilot-output", {"default": "pilot_dataset"}), ("--out-dir", {"default": "."}),
         ("--train-frac", real | {"default": 0.7}), ("--val-frac", real | {"default": 0.1}), ("--test-frac", real | {"default": 0.2}), ("--seed", number | {"default": 42}),
         ("--log-file", {}), ("--save-plots", flag), ("--plot-dir", {"default": "."}), ("--split-from", {}), ("--allow-legacy-split-from", flag), ("--set-v1-from", {}), ("--exclude-ids", {}), ("--duplicate-policy", {"choices": ["fail", "prefer", "drop"], "default": "prefer"}),

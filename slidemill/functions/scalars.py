@@ -89,6 +89,8 @@ def segment(path: Column, position: int) -> Column:
 
 def after_marker(path: Column, marker: str) -> Column:
     """What follows the first occurrence of ``marker``, else the path without leading slashes."""
+    if not marker:
+        return F.regexp_replace(path, "^/+", "")
     at = F.instr(path, marker)
     return F.when(at > 0, F.substring(path, at + len(marker), F.length(path))).otherwise(F.regexp_replace(path, "^/+", ""))
 

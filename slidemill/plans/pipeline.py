@@ -22,7 +22,8 @@ OUTPUT_COLUMNS = (
     "hpa_url", "idr_available", "idr_ftp_path", "idr_url", "local_path", "set", "split_version",
 )
 OPTIONAL_COLUMNS = ("set_v1",)
-MIRROR_URL = "https://ftp.ebi.ac.uk/pub/databases/IDR/idr0043-uhlen-humanproteinatlas/"
+#: Address that mirror paths are relative to; given by whoever builds a dataset.
+MIRROR_URL = ""
 
 
 @dataclass

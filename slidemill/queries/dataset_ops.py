@@ -13,7 +13,7 @@ from slidemill.operators import folders as FO
 from slidemill.operators import quality as Q
 from slidemill.operators import split as SP
 from slidemill.plans import pipeline as P
-from slidemill.queries.reference_ops import PILOT_TISSUES, SEED
+from slidemill.queries.table_ops import PILOT_TISSUES, SEED
 from slidemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -17,6 +17,7 @@ from slidemill.operators import relational as R
 from slidemill.operators.thinning import thin_pairs, thin_triplets
 from slidemill.sources.tables import table
 
+# Tissue lists, the code of normal tissue, and ranks of reliability scores.
 SECONDARY_TISSUES = ["Endometrium 2", "Stomach 2", "Soft tissue 2", "Skin 2"]
 PILOT_TISSUES = [
     "Adrenal gland", "Appendix", "Bone marrow", "Breast", "Caudate", "Cerebellum", "Cerebral cortex", "Colon", "Duodenum",

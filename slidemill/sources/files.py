@@ -17,7 +17,8 @@ from slidemill.functions.scalars import after_marker, basename, stem
 #: Columns of a mirror annotation file that all runs share, as far as the pipeline reads them.
 MIRROR_COLUMNS = ("Image Name", "Antibody identifier", "Characteristics [Organism Part]", "Characteristics [Pathology] Accession")
 NORMAL_CODE = "M-00100"
-LISTING_ROOT = "idr0043-uhlen-humanproteinatlas/"
+#: Folder of a listing below which paths start; empty if they are relative already.
+LISTING_ROOT = ""
 
 
 def exists(spark: SparkSession, path: str) -> bool:

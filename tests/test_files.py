@@ -43,8 +43,8 @@ def test_mirror_table(spark, tmp_path):
     head = ",".join(files.MIRROR_COLUMNS)
     (tmp_path / "run1.csv").write_text(f"{head},more\n1_A_1_1.tif,HPA1,Lung,M-00100;M-81403,x\n2_A_1_1.tif,HPA1,Lung,M-80003,x\n")
     (tmp_path / "run2.csv").write_text(f"other,{head}\ny,3_A_1_1.tif,HPA2,Skin,M-00100\n")
-    (tmp_path / "list.txt").write_text("root/idr0043-uhlen-humanproteinatlas/b1/4/1_A_1_1.tif\n/b0/\nroot/idr0043-uhlen-humanproteinatlas/b2/4/1_A_1_1.tif\n//b3/5/x.TXT\n")
-    out = files.mirror_table(spark, [str(tmp_path / f"run{k}.csv") for k in (1, 2)], str(tmp_path / "list.txt"))
+    (tmp_path / "list.txt").write_text("root/atlas/b1/4/1_A_1_1.tif\n/b0/\nroot/atlas/b2/4/1_A_1_1.tif\n//b3/5/x.TXT\n")
+    out = files.mirror_table(spark, [str(tmp_path / f"run{k}.csv") for k in (1, 2)], str(tmp_path / "list.txt"), "atlas/")
     assert rows(out.select("Image Name", "source_file", "ftp_path")) == [("1_A_1_1.tif", "run1.csv", "b2/4/1_A_1_1.tif"), ("3_A_1_1.tif", "run2.csv", "")]
     (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
     with pytest.raises(ValueError):
@@ -70,7 +70,7 @@ def entry(gene, antibody, patient="7", snomed="M-00100", tif="http://x/4049/1_A_
 def test_xml_release(spark, tmp_path):
     path = tmp_path / "r.xml"
     entries = [entry("ENSG1", "HPA1"), entry("ENSG1", "HPA9", snomed="M-1"), entry("ENSG2", "HPA2", tif="", pad=f"<!-- {'x' * 70000} -->"), entry("ENSG3", "HPA3", assay="cancer")]
-    path.write_text("<?xml version='1.0'?><proteinAtlas>" + "\n".join(entries) + "</proteinAtlas>")
+    path.write_text("<?xml version='1.0'?><release>" + "\n".join(entries) + "</release>")
     t = atlas_tables(spark, str(path))
     assert rows(t["genes"]) == [("ENSG1", "NENSG1", "s1, s2"), ("ENSG2", "NENSG2", "s1, s2")]
     assert rows(t["antibodies"]) == [("HPA1", "ENSG1", "NENSG1", "enhanced"), ("HPA2", "ENSG2", "NENSG2", "enhanced")]
