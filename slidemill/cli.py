@@ -161,7 +161,7 @@ def _image_paths(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def make_masks(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = _image_paths(spark, a)
-    report = work.make_masks(rows.withColumn("target", mask_path(F.col("path"))), a.downsample, a.min_component_area, a.num_workers).cache()
+    report = work.make_masks(rows.withColumn("target", mask_path(F.col("path"), a.output_format)), a.downsample, a.min_component_area, a.num_workers).cache()
     report.groupBy("status").count().show()
     return int(sinks.write_report(report, a.report_dir or ".", "mask_report", ["failed", "no_tissue"]) is not None)
 
@@ -171,7 +171,7 @@ def make_crops(spark: SparkSession, a: argparse.Namespace) -> int:
 
     def mask_of(path: str) -> str:
         folder, name = os.path.split(path)
-        return f"{folder}/masks/{os.path.splitext(name)[0]}_mask.npy"
+        return f"{folder}/masks/{os.path.splitext(name)[0]}_mask.{a.mask_format}"
 
     report = work.make_crops(rows.withColumn("target", crop_path(F.col("path"), a.save_format)), mask_of, a.padding, a.num_workers).cache()
     report.groupBy("status").count().show()
@@ -201,8 +201,8 @@ def parser() -> argparse.ArgumentParser:
     command("annotations", annotations, ("--dataset-csv", {"required": True}), ("--metadata-dir", {"required": True}), ("--out-dir", {"default": "."}), ("--prefix", {}), ("--subcellular-tsv", {}), ("--subcellular-url", {}))
     command("download", download, ("--csv", {"required": True}), ("--root", {"required": True}), ("--source-order", {"default": "idr,hpa"}), ("--set", {}), ("--workers", number | {"default": 4}), ("--max-images", number | {"default": 0}), ("--retries", number | {"default": 2}), ("--verify", flag), ("--delete-corrupt", flag))
     images = [("--root", {}), ("--csv-file", {}), ("--img-root", {"default": ""}), ("--max-images", number | {"default": 0}), ("--num-workers", number | {"default": 10})]
-    command("masks", make_masks, *images, ("--downsample", real | {"default": 0.2}), ("--min-component-area", number | {"default": 1000}), ("--report-dir", {}), ("--output-format", {"choices": ["npy"], "default": "npy"}))
-    command("crops", make_crops, *images, ("--save-format", {"choices": ["npy", "tif"], "default": "npy"}), ("--padding", number | {"default": 5}), ("--mask-format", {"choices": ["npy"], "default": "npy"}))
+    command("masks", make_masks, *images, ("--downsample", real | {"default": 0.2}), ("--min-component-area", number | {"default": 1000}), ("--report-dir", {}), ("--output-format", {"choices": ["npy", "png"], "default": "npy"}))
+    command("crops", make_crops, *images, ("--save-format", {"choices": ["npy", "tif", "png"], "default": "npy"}), ("--padding", number | {"default": 5}), ("--mask-format", {"choices": ["npy", "png"], "default": "npy"}))
     return p
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from slidemill.functions.scalars import TIFF_LEAST_BYTES, TIFF_MAGIC
 from slidemill.images import mask as masks
-from slidemill.images import tiff
+from slidemill.images import png, tiff
 
 #: ``(url, timeout) -> (status code, content type, body, announced length or None)``
 Fetcher = Callable[[str, float], tuple[int, str, bytes, int | None]]
@@ -74,14 +74,25 @@ def _tasks(df: DataFrame, work: Callable[[str, str], tuple[str, str]], parts: in
     return (rows.repartition(parts) if parts else rows).mapInPandas(run, STATUS)
 
 
-def mask_bytes(mask: np.ndarray) -> bytes:
+def array_bytes(pixels: np.ndarray, path: str) -> bytes:
+    """An image in the format of the path's ending: .npy, .tif (deflated) or .png."""
+    if path.endswith(".png"):
+        return png.encode(pixels)
+    if path.endswith(".tif"):
+        return tiff.encode(pixels, deflate=True)
+    if not path.endswith(".npy"):
+        raise ValueError(f"format of {os.path.basename(path)} is not supported")
     out = io.BytesIO()
-    np.save(out, mask)
+    np.save(out, pixels)
     return out.getvalue()
 
 
 def load_mask(path: str) -> np.ndarray:
-    """A mask as 0/1; only .npy is read here."""
+    """A mask of .npy or .png as 0/1."""
+    if path.endswith(".png"):
+        with open(path, "rb") as f:
+            pixels = png.decode(f.read())
+        return ((pixels if pixels.ndim == 2 else pixels.max(axis=2)) > 0).astype(np.uint8)
     if not path.endswith(".npy"):
         raise ValueError(f"mask format of {os.path.basename(path)} is not supported")
     return (np.load(path) > 0).astype(np.uint8)
@@ -95,14 +106,14 @@ def make_masks(paths: DataFrame, downsample: float = 0.2, least_area: int = 1000
             return "skipped", ""
         with open(path, "rb") as f:
             mask = masks.tissue_mask(tiff.decode(f.read()), downsample, least_area)
-        write_atomic(target, mask_bytes(mask))
+        write_atomic(target, array_bytes(mask * 255 if target.endswith(".png") else mask, target))
         return ("ok", "") if mask.any() else ("no_tissue", "empty mask")
 
     return _tasks(paths, work, parts)
 
 
 def make_crops(paths: DataFrame, mask_of: Callable[[str], str], padding: int = 5, parts: int | None = None) -> DataFrame:
-    """Crops of ``path`` to ``target`` (.npy or .tif): ok, skipped, missing_mask, no_tissue or failed."""
+    """Crops of ``path`` to ``target`` (.npy, .tif or .png): ok, skipped, missing_mask, no_tissue or failed."""
 
     def work(path: str, target: str) -> tuple[str, str]:
         if os.path.exists(target) and os.path.getsize(target) > 0:
@@ -114,7 +125,7 @@ def make_crops(paths: DataFrame, mask_of: Callable[[str], str], padding: int = 5
         part = masks.crop(pixels, load_mask(mask_of(path)), padding)
         if part is None:
             return "no_tissue", "empty mask"
-        write_atomic(target, mask_bytes(part) if target.endswith(".npy") else tiff.encode(part, deflate=True))
+        write_atomic(target, array_bytes(part, target))
         return "ok", ""
 
     return _tasks(paths, work, parts)

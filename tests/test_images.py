@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from slidemill import cli
 from slidemill.functions.scalars import valid_tiff
 from slidemill.images import mask as M
-from slidemill.images import tiff, work
+from slidemill.images import png, tiff, work
 from slidemill.images.paths import crop_path, mask_path
 from slidemill.sources.files import read_images
 from slidemill.streaming.incremental import new_files, pending, run_available
@@ -26,6 +26,32 @@ def test_tiff_round_trip(pixels, deflate):
     assert tiff.describe(data)[0] and not tiff.describe(data[: len(data) // 2])[0] and not tiff.describe(b"II*\0" + b"\0" * 2000)[0]
 
 
+@pytest.mark.parametrize("pixels", [slide()[90:150, 100:160], np.arange(1200, dtype=np.uint8).reshape(30, 40)])
+def test_png(pixels):
+    data = png.encode(pixels)
+    assert (png.decode(data) == pixels).all()
+    for bad in (b"", data[:40], data[:-30], b"x" * 100):
+        with pytest.raises(ValueError):
+            png.decode(bad)
+
+
+def test_png_filters():
+    rng = np.random.default_rng(2)
+    pixels = rng.integers(0, 255, (5, 7, 3)).astype(np.uint8)
+    flat, lines = pixels.reshape(5, -1).astype(int), []
+    for y, kind in enumerate((1, 2, 3, 4, 0)):
+        up = flat[y - 1] if y else np.zeros(21, int)
+        left, corner = np.roll(flat[y], 3), np.roll(up, 3)
+        left[:3] = corner[:3] = 0
+        paeth = [min((a, b, c), key=lambda v: abs(a + b - c - v)) for a, b, c in zip(left, up, corner)]
+        guess = {0: 0 * up, 1: left, 2: up, 3: (left + up) // 2, 4: np.array(paeth)}[kind]
+        lines.append(np.concatenate([[kind], (flat[y] - guess) % 256]))
+    raw = np.array(lines, np.uint8).tobytes()
+    head = png.struct.pack(">IIBBBBB", 7, 5, 8, 2, 0, 0, 0)
+    data = png.SIGNATURE + png._chunk(b"IHDR", head) + png._chunk(b"IDAT", png.zlib.compress(raw)) + png._chunk(b"IEND", b"")
+    assert (png.decode(data) == pixels).all()
+
+
 def brute_dilate(mask, size):
     out, r = np.zeros_like(mask), size // 2
     for y, x in np.argwhere(mask):
@@ -127,6 +153,9 @@ def test_commands(spark, tmp_path):
     assert cli.main(["crops", *where, "--max-images", "1"], spark) == 0
     assert cli.main(["crops", "--root", str(root), "--save-format", "tif", "--padding", "20"], spark) == 1
     assert tiff.decode((root / "b/4/crops/i1_crop.tif").read_bytes()).shape == (240, 240, 3)
+    assert cli.main(["masks", *where, "--output-format", "png", "--max-images", "1"], spark) == 0
+    assert cli.main(["crops", *where, "--mask-format", "png", "--save-format", "png", "--max-images", "1"], spark) == 0
+    assert png.decode((root / "b/4/crops/i1_crop.png").read_bytes()).shape == (210, 210, 3)
     assert cli.main(["download", "--csv", str(csv), "--root", str(root), "--verify", "--set", "train"], spark) == 0
     assert cli.main(["download", "--csv", str(csv), "--root", str(root), "--retries", "0"], spark) == 1  # no urls
     files = read_images(spark, str(root), "i*.tif")
