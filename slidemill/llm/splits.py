@@ -20,6 +20,8 @@ HEAVY = 1000
 HOT, HOT_LINKS = 1000, 100_000
 #: Components that one task balances, and the equal bins it makes of them.
 SHARD, BINS = 20_000, 100
+#: Heaviest strata whose shares are kept one by one in a shard; lighter ones count together.
+STRATA = 256
 #: Most swaps of two bins between splits in a shard.
 EXCHANGES = 200
 
@@ -178,16 +180,13 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
     )
     sums = w.groupBy("component").agg(F.sum("weight").alias("total"))
     count, everything = sums.agg(F.count("*"), F.coalesce(F.sum("total"), F.lit(0.0))).first()
-    top = sums.where(F.col("total") > everything / heavy).select("component")
-    placed = w.join(F.broadcast(top), "component", "left_semi").toPandas().sort_values(["component", "stratum"])
+    top = sums.where(F.col("total") > everything / heavy)
     left = goal * everything
     fixed: dict[str, str] = {}
-    if len(placed):
-        vectors = placed.pivot_table(index="component", columns="stratum", values="weight", fill_value=0.0)
-        for i in np.argsort(-vectors.to_numpy().sum(axis=1), kind="stable"):
-            k = int(np.argmax(left))
-            left[k] -= vectors.to_numpy()[i].sum()
-            fixed[vectors.index[i]] = names[k]
+    for row in sorted(top.collect(), key=lambda r: (-r.total, r.component)):  # fewer than ``heavy`` rows
+        k = int(np.argmax(left))
+        left[k] -= row.total
+        fixed[row.component] = names[k]
     rest = np.maximum(left, 0.0)
     rest = rest / rest.sum() if rest.sum() else goal
     shards = max(1, -(-int(count) // shard))
@@ -195,6 +194,8 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
     def balance(pdf: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame({"component": [], "split": []}, dtype=str)
+        sizes = pdf.groupby("stratum")["weight"].sum().sort_values(ascending=False, kind="stable")
+        pdf = pdf.assign(stratum=pdf["stratum"].where(pdf["stratum"].isin(sizes.index[:STRATA]), ""))
         table = pdf.pivot_table(index="component", columns="stratum", values="weight", aggfunc="sum", fill_value=0.0)
         vectors = table.to_numpy()
         order = np.argsort(-vectors.sum(axis=1), kind="stable")
@@ -205,7 +206,7 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
         return pd.DataFrame({"component": table.index.to_numpy()[order], "split": [names[k] for k in chosen[groups]]})
 
     light = (
-        w.join(F.broadcast(top), "component", "left_anti")
+        w.join(F.broadcast(top.select("component")), "component", "left_anti")
         .groupBy(F.pmod(F.xxhash64("component"), F.lit(shards)).alias("shard"))
         .applyInPandas(balance, "component string, split string")
     )
