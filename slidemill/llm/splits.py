@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from slidemill.operators.relational import join_skewed
 from slidemill.session import cut_lineage
 
-#: A component with more than 1/HEAVY of all weight is placed singly; there are fewer than HEAVY of them.
+#: Where there are several shards, a component with more than 1/HEAVY of all weight is allocated before them; there are fewer than HEAVY of them.
 HEAVY = 1000
 #: A node with more than 1/HOT of all links, and no fewer than HOT_LINKS, is joined by broadcast.
 HOT, HOT_LINKS = 1000, 100_000
@@ -22,8 +22,10 @@ HOT, HOT_LINKS = 1000, 100_000
 SHARD, BINS = 20_000, 100
 #: Heaviest strata whose shares are kept one by one in a shard; lighter ones count together.
 STRATA = 256
-#: Most swaps of two bins between splits in a shard.
+#: Most swaps and moves between splits in a shard.
 EXCHANGES = 200
+#: How much the overall shares count against those of all strata together.
+OVERALL = 1
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, hot_links: int = HOT_LINKS) -> DataFrame:
@@ -104,67 +106,84 @@ def differencing(weights: Sequence[float], bins: int) -> list[int]:
     return out
 
 
-def allocate(vectors: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """The split of every bin: heaviest first, into the split with room that keeps the strata's shares best.
+def allocate(vectors: np.ndarray, shares: np.ndarray, goals: np.ndarray | None = None, ups: np.ndarray | None = None, overall: np.ndarray | None = None) -> np.ndarray:
+    """The split of every item: heaviest first, into the split with room that keeps the strata's shares best.
 
-    ``vectors`` has one row of stratum weights per bin. A split has room while its weight with
-    half the bin stays below its share; if none has, the one furthest below takes it.
+    ``vectors`` has one row of stratum weights per item. ``goals`` has for every stratum the part
+    of the items' weight that each split should get (``shares``, if not given; it may be negative
+    or above 1 where other items are placed already), ``ups`` how often the items' weight the
+    whole stratum weighs, and ``overall`` the weight that each split should get. A split has room
+    while its weight with half the item stays below its goal; if none has, the one furthest below takes it.
     """
     totals = vectors.sum(axis=0)
-    goal = np.outer(shares, totals)
-    got = np.zeros_like(goal)
+    goals = np.tile(shares, (len(totals), 1)) if goals is None else goals
+    whole = np.maximum(totals * (1.0 if ups is None else ups), 1e-9)
+    weight = vectors.sum(axis=1)
+    overall = shares * weight.sum() if overall is None else overall
+    # deviations count by their squares over the stratum's whole weight, so what items do to each
+    # other is in their products, and what they do to the goals in one number per split
+    all_weight = max(whole.sum(), 1e-9) / OVERALL
+    products = (vectors / whole) @ vectors.T + np.outer(weight, weight) / all_weight
+    pull = vectors @ (goals * (totals / whole)[:, None]) + np.outer(weight, overall) / all_weight
+    scale = 1 / np.maximum(shares, 1e-9)
+    off, lack = -pull, overall.astype(float)
+    own = np.diag(products)
     out = np.zeros(len(vectors), int)
-    for i in np.argsort(-vectors.sum(axis=1), kind="stable"):
-        v = vectors[i]
-        lack = goal.sum(axis=1) - got.sum(axis=1) - v.sum() / 2
-        room = np.flatnonzero(lack > 0)
-        if len(room):
-            gain = ((got[room] + v - goal[room]) ** 2 - (got[room] - goal[room]) ** 2) / np.maximum(goal[room], 1e-9)
-            k = room[int(np.argmin(gain.sum(axis=1) - lack[room] / max(totals.sum(), 1e-9) * 1e-3))]
-        else:
-            k = int(np.argmax(lack))
-        got[k] += v
+    for i in np.argsort(-weight, kind="stable"):
+        open_to = lack - weight[i] / 2
+        room = np.flatnonzero(open_to > 0)
+        k = room[int(np.argmin((own[i] + 2 * off[i, room]) * scale[room]))] if len(room) else int(np.argmax(open_to))
+        off[:, k] += products[:, i]
+        lack[k] -= weight[i]
         out[i] = k
-    return exchange(vectors, out, goal)
+    return exchange(products, off, out, scale)
 
 
-def exchange(vectors: np.ndarray, split: np.ndarray, goal: np.ndarray, rounds: int = EXCHANGES) -> np.ndarray:
-    """Swaps two bins of different splits, the best swap each round, while the strata's shares get better.
+def exchange(products: np.ndarray, off: np.ndarray, split: np.ndarray, scale: np.ndarray, rounds: int = EXCHANGES) -> np.ndarray:
+    """Swaps two items of different splits or moves one, the best change each round, while the shares get better.
 
-    Bins of about equal weight leave the overall shares as they are.
+    ``off`` has for every item and split the product of the item with what the split has over its goal.
     """
-    split = split.copy()
-    weight = vectors.sum(axis=1)
-    scale = 1 / np.maximum(goal, 1e-9)
-    off = np.stack([vectors[split == k].sum(axis=0) for k in range(len(goal))]) - goal
+    off, split, own = off.copy(), split.copy(), np.diag(products)
     for _ in range(rounds):
         best, at = -1e-9, None
-        for k, m in itertools.combinations(range(len(goal)), 2):
-            a, b = np.flatnonzero(split == k), np.flatnonzero(split == m)
-            if not len(a) or not len(b):
+        for k, m in itertools.permutations(range(len(scale)), 2):
+            a = np.flatnonzero(split == k)
+            if not len(a):
+                continue
+            leave, enter = (own[a] - 2 * off[a, k]) * scale[k], (own[a] + 2 * off[a, m]) * scale[m]
+            i = int(np.argmin(leave + enter))
+            if (leave + enter)[i] < best:
+                best, at = (leave + enter)[i], (k, m, a[i], None)
+            b = np.flatnonzero(split == m)
+            if k > m or not len(b):
                 continue
-            moved = vectors[b][None, :, :] - vectors[a][:, None, :]
-            change = ((2 * off[k] + moved) * moved * scale[k]).sum(axis=2) + ((moved - 2 * off[m]) * moved * scale[m]).sum(axis=2)
-            change[np.abs(weight[a][:, None] - weight[b][None, :]) > 0.02 * weight.mean()] = 0
+            apart = own[a][:, None] + own[b][None, :] - 2 * products[np.ix_(a, b)]
+            change = (apart + 2 * (off[b, k][None, :] - off[a, k][:, None])) * scale[k] + (apart + 2 * (off[a, m][:, None] - off[b, m][None, :])) * scale[m]
             i, j = np.unravel_index(np.argmin(change), change.shape)
             if change[i, j] < best:
                 best, at = change[i, j], (k, m, a[i], b[j])
         if at is None:
             break
         k, m, i, j = at
-        off[k] += vectors[j] - vectors[i]
-        off[m] += vectors[i] - vectors[j]
-        split[i], split[j] = m, k
+        moved = products[:, i] - (0 if j is None else products[:, j])
+        off[:, k] -= moved
+        off[:, m] += moved
+        split[i] = m
+        if j is not None:
+            split[j] = k
     return split
 
 
 def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = SHARD, bins: int = BINS, heavy: int = HEAVY) -> DataFrame:
     """``(component, split)``: whole components allocated to splits in the given shares, overall and per stratum.
 
-    ``weights`` has ``component, stratum, weight``. Components above 1/``heavy`` of all weight,
-    fewer than ``heavy``, are placed first; the shares of the others make up for them. The
-    others are spread by hash over shards of about ``shard`` components; each shard is turned
-    into ``bins`` equal bins by largest differencing, and whole bins go to the splits.
+    ``weights`` has ``component, stratum, weight``. Components are spread by hash over shards of
+    about ``shard`` components; each shard is turned into ``bins`` equal bins by largest
+    differencing, and whole bins go to the splits. A component too big for an equal bin is an
+    item of its own beside the bins. If there are several shards, components above 1/``heavy``
+    of all weight, fewer than ``heavy``, are allocated before, by the same rules; what they leave
+    of every stratum's share is then the goal of the others.
 
     Deterministic for given rows, whatever their order. Null strata count as one stratum; null
     components are left out; components without weight get a split too; repeated rows add up;
@@ -180,39 +199,83 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
     )
     sums = w.groupBy("component").agg(F.sum("weight").alias("total"))
     count, everything = sums.agg(F.count("*"), F.coalesce(F.sum("total"), F.lit(0.0))).first()
-    top = sums.where(F.col("total") > everything / heavy)
-    left = goal * everything
-    fixed: dict[str, str] = {}
-    for row in sorted(top.collect(), key=lambda r: (-r.total, r.component)):  # fewer than ``heavy`` rows
-        k = int(np.argmax(left))
-        left[k] -= row.total
-        fixed[row.component] = names[k]
-    rest = np.maximum(left, 0.0)
-    rest = rest / rest.sum() if rest.sum() else goal
     shards = max(1, -(-int(count) // shard))
 
-    def balance(pdf: pd.DataFrame) -> pd.DataFrame:
+    def place(pdf: pd.DataFrame, n_bins: int, overall: np.ndarray, part: float) -> pd.DataFrame:
+        """The splits of components by ``allocate``: too big ones by themselves, the others in ``n_bins`` equal bins."""
         if not len(pdf):
             return pd.DataFrame({"component": [], "split": []}, dtype=str)
+        pdf = pdf.sort_values(["component", "stratum"], kind="stable")
         sizes = pdf.groupby("stratum")["weight"].sum().sort_values(ascending=False, kind="stable")
-        pdf = pdf.assign(stratum=pdf["stratum"].where(pdf["stratum"].isin(sizes.index[:STRATA]), ""))
-        table = pdf.pivot_table(index="component", columns="stratum", values="weight", aggfunc="sum", fill_value=0.0)
-        vectors = table.to_numpy()
-        order = np.argsort(-vectors.sum(axis=1), kind="stable")
-        groups = np.array(differencing(vectors.sum(axis=1)[order], bins))
-        per_bin = np.zeros((bins, vectors.shape[1]))
-        np.add.at(per_bin, groups, vectors[order])
-        chosen = allocate(per_bin, rest)
-        return pd.DataFrame({"component": table.index.to_numpy()[order], "split": [names[k] for k in chosen[groups]]})
+        kept = pdf["stratum"].isin(sizes.index[:STRATA])
+        at, component = pd.factorize(pdf["component"])
+        column, strata = pd.factorize(pdf["stratum"].where(kept, ""))
+        total = np.bincount(at, pdf["weight"], len(component))
+        alone = total > (total.sum() / n_bins if n_bins else -1.0)
+        order = np.argsort(-total, kind="stable")
+        small = order[~alone[order]]
+        group = np.zeros(len(component), int)
+        group[small] = differencing(total[small], n_bins)
+        group[alone] = np.arange(alone.sum()) + n_bins
+        vectors = np.zeros((n_bins + int(alone.sum()), len(strata)))
+        np.add.at(vectors, (group[at], column), pdf["weight"].to_numpy())
+        # a row has the goals and the whole weight per unit of its stratum's weight here
+        per_unit = np.column_stack([np.stack(pdf["goals"].to_numpy()), pdf["up"]]) * pdf["weight"].to_numpy()[:, None]
+        merged = np.zeros((len(strata), per_unit.shape[1]))
+        np.add.at(merged, column, per_unit)
+        weight = vectors.sum(axis=0)
+        mean = merged / np.where(weight > 0, weight, 1.0)[:, None]
+        chosen = allocate(vectors, goal, mean[:, :-1], mean[:, -1], overall * (total.sum() / part if part else 1.0))
+        return pd.DataFrame({"component": component, "split": [names[k] for k in chosen[group]]})
 
+    equal, whole = F.array(*map(F.lit, goal.tolist())), goal * everything
+    if shards == 1:
+        return w.withColumns({"goals": equal, "up": F.lit(1.0)}).groupBy(F.lit(0).alias("shard")).applyInPandas(
+            lambda pdf: place(pdf, bins, whole, everything), "component string, split string"
+        )
+    top = sums.where(F.col("total") > everything / heavy)
+    big = w.join(F.broadcast(top.select("component")), "component")
+    per_heavy = (
+        big.groupBy("stratum").agg(F.sum("weight").alias("here"))
+        .join(w.groupBy("stratum").agg(F.sum("weight").alias("whole")), "stratum")
+        .select("stratum", F.when(F.col("here") > 0, F.col("whole") / F.col("here")).otherwise(1.0).alias("up"))
+        .withColumn("goals", F.transform(equal, lambda g: g * F.col("up")))
+    )
+    placed = (
+        big.join(per_heavy, "stratum")
+        .groupBy(F.lit(0).alias("shard"))
+        .applyInPandas(lambda pdf: place(pdf, 0, whole, 0.0), "component string, split string")
+        .collect()
+    )  # fewer than ``heavy`` rows
+    if not placed:
+        light = w.withColumns({"goals": equal, "up": F.lit(1.0)})
+        return light.groupBy(F.pmod(F.xxhash64("component"), F.lit(shards)).alias("shard")).applyInPandas(
+            lambda pdf: place(pdf, bins, whole, everything), "component string, split string"
+        )
+    fixed = w.sparkSession.createDataFrame(sorted((r.component, r.split) for r in placed), "component string, split string")
+    marked = w.join(F.broadcast(fixed), "component", "left")
+    given = [F.coalesce(F.sum(F.when(F.col("split") == n, F.col("weight"))), F.lit(0.0)).alias(f"given_{k}") for k, n in enumerate(names)]
+    taken = np.array(marked.agg(*given).first(), float)
+    left = everything - taken.sum()
+    here = F.col("whole") - sum((F.col(f"given_{k}") for k in range(len(names))), F.lit(0.0))
+    per_stratum = (
+        marked.groupBy("stratum").agg(F.sum("weight").alias("whole"), F.count("*").alias("n"), *given)
+        .withColumn("here", here)
+        .select(
+            "stratum", "n",
+            F.when(F.col("here") > 0, F.col("whole") / F.col("here")).otherwise(1.0).alias("up"),
+            F.when(F.col("here") > 0, F.array(*((g * F.col("whole") - F.col(f"given_{k}")) / F.col("here") for k, g in enumerate(goal.tolist()))))
+            .otherwise(equal).alias("goals"),
+        )
+    )
+    all_rows = w.count()
     light = (
-        w.join(F.broadcast(top.select("component")), "component", "left_anti")
+        join_skewed(marked.where("split IS NULL").select("component", "stratum", "weight"), per_stratum, "stratum", F.col("n") > all_rows / heavy)
+        .select("component", "stratum", "weight", "up", "goals")
         .groupBy(F.pmod(F.xxhash64("component"), F.lit(shards)).alias("shard"))
-        .applyInPandas(balance, "component string, split string")
+        .applyInPandas(lambda pdf: place(pdf, bins, whole - taken, left), "component string, split string")
     )
-    if not fixed:
-        return light
-    return light.unionByName(w.sparkSession.createDataFrame(list(fixed.items()), "component string, split string"))
+    return light.unionByName(fixed)
 
 
 def related_groups(records: DataFrame, owner: Column, partner: Column) -> DataFrame:

@@ -94,3 +94,36 @@ def test_edges(spark):
     assert rows(balanced_splits(one, {"a": 0.7, "b": 0.3})) == [("c", "a")]
     with pytest.raises(ValueError):
         balanced_splits(one, {"a": 0.7})
+
+
+@pytest.mark.parametrize("shard", [20_000, 60])
+def test_big_components_keep_the_shares_per_stratum(spark, shard):
+    rng = random.Random(8)
+    # 100 components above 1/1000 of all weight, each in one of four strata, and small ones in another
+    data = [(f"b{k:03d}", f"t{k * 4 // 100}", 90 + rng.randrange(20)) for k in range(100)]
+    data += [(f"c{k:03d}", "t4", rng.randrange(1, 9)) for k in range(300)]
+    goal = {"train": 0.7, "val": 0.1, "test": 0.2}
+    w = spark.createDataFrame(data, "component string, stratum string, weight long")
+    out = balanced_splits(w, goal, shard=shard)
+    split = dict(out.select("component", "split").collect())
+    assert len(split) == out.count() == 400
+    per = Counter()
+    for c, t, n in data:
+        per[t, split[c]] += n
+    for t in ("t0", "t1", "t2", "t3", "t4"):
+        whole = sum(per[t, s] for s in goal)
+        assert all(abs(per[t, s] / whole - f) < 0.05 for s, f in goal.items()), (t, per)
+
+
+def test_small_components_make_up_for_big_ones_per_stratum(spark):
+    # the big component takes all that train should get of t0; the small ones of t0 must go elsewhere
+    data = [("big", "t0", 700)] + [(f"c{k:03d}", f"t{k % 2}", 1) for k in range(600)]
+    goal = {"train": 0.7, "val": 0.1, "test": 0.2}
+    out = balanced_splits(spark.createDataFrame(data, "component string, stratum string, weight long"), goal, shard=150)
+    split = dict(out.collect())
+    assert len(split) == 601 and split["big"] == "train"
+    per = Counter()
+    for c, t, n in data:
+        per[t, split[c]] += n
+    for t, whole in (("t0", 1000), ("t1", 300)):
+        assert all(abs(per[t, s] / whole - f) < 0.04 for s, f in goal.items()), per
