@@ -185,6 +185,9 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
     of all weight, fewer than ``heavy``, are allocated before, by the same rules; what they leave
     of every stratum's share is then the goal of the others.
 
+    In a shard only the STRATA heaviest strata keep their shares one by one; lighter ones and
+    the null stratum are balanced as one.
+
     Deterministic for given rows, whatever their order. Null strata count as one stratum; null
     components are left out; components without weight get a split too; repeated rows add up;
     an empty table gives an empty result; other columns are not read.
