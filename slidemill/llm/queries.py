@@ -19,7 +19,7 @@ from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
 from slidemill.llm.leakage import leaked_passages, without_leaks
 from slidemill.llm.representative import Bundle, Dependency, best_representatives, duplicate_pairs, flat_survivors, resolve_by_name
 from slidemill.llm.sampling import stable_sample
-from slidemill.llm.splits import balanced_splits, related_groups
+from slidemill.llm.splits import balanced_splits, related_groups, share_report
 from slidemill.session import cut_lineage
 from slidemill.sources.tables import table
 
@@ -29,6 +29,8 @@ SAMPLE_RATES = {"train": 0.05, "val": 0.2, "test": 0.2}
 #: Trust in a reliability score, higher is better.
 RELIABILITY_TRUST = {"enhanced": 3, "supported": 2, "approved": 2, "uncertain": 1}
 SPLIT_SHARES = {"train": 0.7, "val": 0.1, "test": 0.2}
+#: How far a tissue may be off its shares, and the rows that make it large.
+TISSUE_POINTS, TISSUE_ROWS = 0.01, 300
 #: Capacity of a container in tokens, and the vocabulary that measures them.
 CONTAINER_TOKENS = 2048
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -117,34 +119,70 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def antibody_links(spark: SparkSession, folder: str) -> DataFrame:
-    """The v2 rows of the dataset with canonical antibody, gene, label and tissue."""
-    return (
-        table(spark, folder, "dataset")
-        .where(version_identity(F.col("split_version")) == "v2")
-        .select(
-            antibody_identity(F.col("antibody_id")).alias("antibody_id"),
-            gene_identity(F.col("ensembl_id")).alias("ensembl_id"),
-            label_identity(F.col("set")).alias("label"),
-            normal_value(F.col("tissue")).alias("tissue"),
-        )
-        .where(F.col("antibody_id").isNotNull())
+    """The v2 rows of the dataset, counted by canonical antibody, gene, label and tissue; stored, as it is read several times."""
+    rows = table(spark, folder, "dataset").where(version_identity(F.col("split_version")) == "v2")
+    named = rows.select(
+        antibody_identity(F.col("antibody_id")).alias("antibody_id"),
+        gene_identity(F.col("ensembl_id")).alias("ensembl_id"),
+        label_identity(F.col("set")).alias("label"),
+        normal_value(F.col("tissue")).alias("tissue"),
     )
+    counted = named.groupBy(*named.columns).agg(F.count("*").alias("weight"))
+    return cut_lineage(counted.where(F.col("antibody_id").isNotNull()))
+
+
+def antibody_components(links: DataFrame) -> DataFrame:
+    return related_groups(links, F.col("antibody_id"), F.col("ensembl_id")).withColumnRenamed("owner", "antibody_id")
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = antibody_links(spark, folder)
-    groups = related_groups(rows, F.col("antibody_id"), F.col("ensembl_id")).withColumnRenamed("owner", "antibody_id")
-    labels = rows.where(F.col("label").isNotNull()).select("antibody_id", "label").distinct().join(groups, "antibody_id")
+    links = antibody_links(spark, folder)
+    groups = antibody_components(links)
+    # a component needs new labels, as a whole, where its antibodies carry several
+    labels = links.where(F.col("label").isNotNull()).select("antibody_id", "label").distinct().join(groups, "antibody_id")
     torn = labels.groupBy("component").agg(F.countDistinct("label").alias("n")).where("n > 1").select("component")
     return groups.join(torn, "component", "left_semi").select("antibody_id")
 
 
+def split_weights(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    links = antibody_links(spark, folder)
+    groups = cut_lineage(antibody_components(links))
+    weights = links.groupBy("antibody_id", "tissue").agg(F.sum("weight").alias("weight")).join(groups, "antibody_id")
+    return groups, weights.select("component", F.col("tissue").alias("stratum"), "weight", "antibody_id")
+
+
 def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
-    rows = antibody_links(spark, folder)
-    groups = related_groups(rows, F.col("antibody_id"), F.col("ensembl_id")).withColumnRenamed("owner", "antibody_id")
-    weights = rows.groupBy("antibody_id", "tissue").agg(F.count("*").alias("weight")).join(groups, "antibody_id")
-    splits = balanced_splits(weights.select("component", F.col("tissue").alias("stratum"), "weight"), SPLIT_SHARES)
-    return groups.join(splits, "component").select("antibody_id", "component", "split")
+    groups, weights = split_weights(spark, folder)
+    return groups.join(balanced_splits(weights, SPLIT_SHARES), "component").select("antibody_id", "component", "split")
+
+
+def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Per tissue: its rows, the largest deviation of its shares, the least that whole components allow, and whether it is within a point or that."""
+    _, weights = split_weights(spark, folder)
+    report = share_report(weights, balanced_splits(weights, SPLIT_SHARES), SPLIT_SHARES)
+    return report.select(F.col("stratum").alias("tissue"), F.col("weight").cast("long").alias("n_rows"), "deviation", "bound", (F.col("deviation") <= F.greatest(F.lit(TISSUE_POINTS), F.col("bound") * (1 + 1e-9))).alias("ok"))
+
+
+def p6_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts that prove the splits: everything has one, nothing related is torn, and no tissue of many rows is off by over a point."""
+    groups, weights = split_weights(spark, folder)
+    splits = cut_lineage(balanced_splits(weights, SPLIT_SHARES))
+    links = antibody_links(spark, folder).join(groups, "antibody_id", "left").join(splits, "component", "left")
+
+    def torn(key: str) -> DataFrame:
+        per_key = links.where(F.col(key).isNotNull()).groupBy(key).agg(F.countDistinct("split").alias("s"))
+        return per_key.agg(F.lit(f"{key} in several splits").alias("check"), F.count(F.when(F.col("s") > 1, 1)).alias("n"))
+
+    report = share_report(weights, splits, SPLIT_SHARES)
+    off = (F.col("weight") >= TISSUE_ROWS) & (F.col("deviation") > F.greatest(F.lit(TISSUE_POINTS), F.col("bound")))
+    rows = F.coalesce(F.sum("weight"), F.lit(0))
+    out = links.agg(F.lit("rows with a split").alias("check"), F.coalesce(F.sum(F.when(F.col("split").isNotNull(), F.col("weight"))), F.lit(0)).alias("n"))
+    out = out.unionByName(torn("antibody_id")).unionByName(torn("ensembl_id"))
+    for name, share in SPLIT_SHARES.items():
+        part = F.coalesce(F.sum(F.when(F.col("split") == name, F.col("weight"))), F.lit(0)) / F.greatest(rows, F.lit(1))
+        out = out.unionByName(links.agg(F.lit(f"{name} off by over a point").alias("check"), (F.abs(part - share) > TISSUE_POINTS).cast("long").alias("n")))
+    out = out.unionByName(report.agg(F.lit("tissues").alias("check"), F.count("*").alias("n")))
+    return out.unionByName(report.agg(F.lit("large tissues off by over a point").alias("check"), F.count(F.when(off, 1)).alias("n")))
 
 
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,6 +214,8 @@ QUERIES = {
     "p3_antibodies": p3_antibodies,
     "p6_found": p6_found,
     "p6_splits": p6_splits,
+    "p6_shares": p6_shares,
+    "p6_checks": p6_checks,
     "p8_containers": p8_containers,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
@@ -222,6 +262,11 @@ l AS (SELECT DISTINCT a.ab AS x, b.ab AS y FROM r a JOIN r b ON a.gene = b.gene
 reach AS (SELECT DISTINCT ab AS x, ab AS y FROM r WHERE ab IS NOT NULL UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x)
 SELECT x AS antibody_id FROM reach JOIN (SELECT DISTINCT ab, label FROM r WHERE label IS NOT NULL) s ON s.ab = reach.y
 GROUP BY x HAVING count(DISTINCT label) > 1""",
+    "p6_checks": f"""
+WITH r AS (SELECT {_ANTIBODY.format("antibody_id")} AS ab, nullif({_NORMAL.format("tissue")}, '') AS tissue FROM dataset WHERE {_VERSION.format("split_version")} = 'v2')
+SELECT 'rows with a split' AS "check", count(*) AS n FROM r WHERE ab IS NOT NULL
+UNION ALL SELECT 'tissues', count(DISTINCT coalesce(tissue, '')) FROM r WHERE ab IS NOT NULL
+UNION ALL SELECT unnest(['antibody_id in several splits', 'ensembl_id in several splits', 'train off by over a point', 'val off by over a point', 'test off by over a point', 'large tissues off by over a point']), 0""",
     "p9_found": """
 WITH d AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents)),
 i AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slidemill.operators.relational import join_skewed
@@ -19,13 +19,13 @@ HEAVY = 1000
 #: A node with more than 1/HOT of all links, and no fewer than HOT_LINKS, is joined by broadcast.
 HOT, HOT_LINKS = 1000, 100_000
 #: Components that one task balances, and the equal bins it makes of them.
-SHARD, BINS = 20_000, 100
-#: Heaviest strata whose shares are kept one by one in a shard; lighter ones count together.
-STRATA = 256
-#: Most swaps and moves between splits in a shard.
-EXCHANGES = 200
-#: How much the overall shares count against those of all strata together.
-OVERALL = 1
+SHARD, BINS = 5_000, 100
+#: Deviations of a stratum's share and of the overall share up to which there is little to gain.
+TOLERANCE, OVERALL_TOLERANCE = 0.006, 0.002
+#: What a deviation within the tolerance counts, and the part of the cost that a pass over all items must save to be followed by another.
+WITHIN, LEAST_GAIN = 0.01, 0.001
+#: Weight of a stratum up to which all sums of its components are tried for the bound of its shares.
+BOUND_WEIGHT = 200_000
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, hot_links: int = HOT_LINKS) -> DataFrame:
@@ -33,45 +33,46 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
 
     A component is named by its smallest node. ``a`` and ``b`` are columns of one type; null
     ends link nothing, a link of a node with itself keeps the node. Each round halves paths
-    and is checkpointed; links stay distributed throughout.
+    and is checkpointed once; links stay distributed throughout. A round is one shuffle per star
+    and one that removes repeated links; nodes that may be hot are looked for only where there
+    are enough links for one.
     """
-    base = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull()).distinct()
-    nodes = base.select(F.col("u").alias("node")).union(base.select(F.col("v"))).distinct()
-    edges = cut_lineage(base.where(F.col("u") != F.col("v")))
-    before: tuple | None = None
+    base = cut_lineage(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull()).distinct())
+    nodes = base.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    edges, before = base.where(F.col("u") != F.col("v")), None
+    n_links = base.count()
     for _ in range(rounds):
-        edges = cut_lineage(_small_star(cut_lineage(_large_star(edges, hot_links)), hot_links))
+        edges = cut_lineage(_small_star(_large_star(edges, n_links, hot_links), n_links, hot_links))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break
-        before = now
+        before, n_links = now, now[0]
     else:
         raise RuntimeError(f"no fixed point after {rounds} rounds")
     roots = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
-def _with_least(edges: DataFrame, least: Column, hot_links: int) -> DataFrame:
-    """Adds to every link the smallest node ``m`` at its ``u``; few hot nodes are joined by broadcast."""
-    per_node = edges.groupBy("u").agg(least.alias("m"), F.count("*").alias("degree"))
-    most, everything = per_node.agg(F.coalesce(F.max("degree"), F.lit(0)), F.coalesce(F.sum("degree"), F.lit(0))).first()
-    limit = max(hot_links, everything // HOT)
-    if most <= limit:
-        return edges.join(per_node, "u")
-    return join_skewed(edges, per_node, "u", F.col("degree") > limit)
+def _with_least(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
+    """Adds to every link the smallest other end ``m`` at its ``u``; few hot nodes are joined by broadcast."""
+    if n_links <= hot_links:
+        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    edges = cut_lineage(edges)
+    per_node = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    return join_skewed(edges, per_node, "u", F.col("degree") > max(hot_links, n_links // HOT)).select("u", "v", "m")
 
 
-def _large_star(edges: DataFrame, hot_links: int) -> DataFrame:
-    both = edges.union(edges.select("v", "u")).toDF("u", "v")
-    found = _with_least(both, F.least(F.min("v"), F.col("u")), hot_links)
-    return found.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+def _large_star(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
+    both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+    found = _with_least(both, 2 * n_links, hot_links)
+    return found.where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, hot_links: int) -> DataFrame:
+def _small_star(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    found = _with_least(down, F.min("v"), hot_links)
-    moved = found.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return moved.union(down.groupBy("u").agg(F.min("v").alias("v"))).distinct()
+    found = _with_least(down, n_links, hot_links)
+    moved = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+    return found.select(moved.alias("e")).select("e.u", "e.v").where("u <> v").distinct()
 
 
 def differencing(weights: Sequence[float], bins: int) -> list[int]:
@@ -106,73 +107,119 @@ def differencing(weights: Sequence[float], bins: int) -> list[int]:
     return out
 
 
-def allocate(vectors: np.ndarray, shares: np.ndarray, goals: np.ndarray | None = None, ups: np.ndarray | None = None, overall: np.ndarray | None = None) -> np.ndarray:
-    """The split of every item: heaviest first, into the split with room that keeps the strata's shares best.
+class Balance:
+    """How far the strata of items are from their goals, while the items are allocated to splits.
 
-    ``vectors`` has one row of stratum weights per item. ``goals`` has for every stratum the part
-    of the items' weight that each split should get (``shares``, if not given; it may be negative
-    or above 1 where other items are placed already), ``ups`` how often the items' weight the
-    whole stratum weighs, and ``overall`` the weight that each split should get. A split has room
-    while its weight with half the item stays below its goal; if none has, the one furthest below takes it.
+    Items are given as entries (item, stratum, weight), so an item costs what it holds and their
+    number of strata is not bounded; ``goals`` has the weight that each split should get of a
+    stratum, ``whole`` the weight that a deviation counts against, ``tolerance`` what it may be.
+    The sum over all strata is one more stratum with the goals ``overall``.
     """
-    totals = vectors.sum(axis=0)
-    goals = np.tile(shares, (len(totals), 1)) if goals is None else goals
-    whole = np.maximum(totals * (1.0 if ups is None else ups), 1e-9)
-    weight = vectors.sum(axis=1)
-    overall = shares * weight.sum() if overall is None else overall
-    # deviations count by their squares over the stratum's whole weight, so what items do to each
-    # other is in their products, and what they do to the goals in one number per split
-    all_weight = max(whole.sum(), 1e-9) / OVERALL
-    products = (vectors / whole) @ vectors.T + np.outer(weight, weight) / all_weight
-    pull = vectors @ (goals * (totals / whole)[:, None]) + np.outer(weight, overall) / all_weight
-    scale = 1 / np.maximum(shares, 1e-9)
-    off, lack = -pull, overall.astype(float)
-    own = np.diag(products)
-    out = np.zeros(len(vectors), int)
-    for i in np.argsort(-weight, kind="stable"):
-        open_to = lack - weight[i] / 2
-        room = np.flatnonzero(open_to > 0)
-        k = room[int(np.argmin((own[i] + 2 * off[i, room]) * scale[room]))] if len(room) else int(np.argmax(open_to))
-        off[:, k] += products[:, i]
-        lack[k] -= weight[i]
-        out[i] = k
-    return exchange(products, off, out, scale)
-
-
-def exchange(products: np.ndarray, off: np.ndarray, split: np.ndarray, scale: np.ndarray, rounds: int = EXCHANGES) -> np.ndarray:
-    """Swaps two items of different splits or moves one, the best change each round, while the shares get better.
-
-    ``off`` has for every item and split the product of the item with what the split has over its goal.
-    """
-    off, split, own = off.copy(), split.copy(), np.diag(products)
-    for _ in range(rounds):
-        best, at = -1e-9, None
-        for k, m in itertools.permutations(range(len(scale)), 2):
-            a = np.flatnonzero(split == k)
-            if not len(a):
-                continue
-            leave, enter = (own[a] - 2 * off[a, k]) * scale[k], (own[a] + 2 * off[a, m]) * scale[m]
-            i = int(np.argmin(leave + enter))
-            if (leave + enter)[i] < best:
-                best, at = (leave + enter)[i], (k, m, a[i], None)
-            b = np.flatnonzero(split == m)
-            if k > m or not len(b):
+
+    def __init__(self, item: np.ndarray, stratum: np.ndarray, weight: np.ndarray, goals: np.ndarray, whole: np.ndarray, overall: np.ndarray, everything: float, part: int = 1):
+        item, stratum, weight = _merged(item, stratum, weight)
+        n, last = int(item.max()) + 1, len(goals)
+        self.total = np.bincount(item, weight, n)
+        item, stratum, weight = np.append(item, np.arange(n)), np.append(stratum, np.full(n, last)), np.append(weight, self.total)
+        order = np.argsort(item, kind="stable")
+        self.item, self.stratum = item[order], stratum[order]
+        # of ``part`` shards each may use its part of the tolerance
+        scale = np.maximum(np.append(whole, everything), 1e-9) / part
+        self.weight = weight[order] / scale[self.stratum]
+        self.ends = np.searchsorted(self.item, np.arange(n + 1))
+        self.off = -np.vstack([goals, overall]) / scale[:, None]
+        self.tolerance = np.full(last + 1, TOLERANCE)
+        self.tolerance[last] = OVERALL_TOLERANCE
+        self.split = np.full(n, -1)
+
+    def cost(self, off: np.ndarray, tolerance: np.ndarray) -> np.ndarray:
+        return WITHIN * off * off + np.maximum(np.abs(off) - tolerance, 0.0) ** 2
+
+    def change(self, entries: slice | np.ndarray, split: int, sign: int) -> np.ndarray:
+        """What it costs, entry by entry, to put them into a split (or take them out)."""
+        s, w = self.stratum[entries], self.weight[entries]
+        off, tolerance = self.off[s, split], self.tolerance[s]
+        return self.cost(off + sign * w, tolerance) - self.cost(off, tolerance)
+
+    def put(self, i: int, split: int) -> None:
+        e = slice(self.ends[i], self.ends[i + 1])
+        if self.split[i] >= 0:
+            self.off[self.stratum[e], self.split[i]] -= self.weight[e]
+        self.off[self.stratum[e], split] += self.weight[e]
+        self.split[i] = split
+
+    def move(self, i: int, split: int) -> float:
+        e = slice(self.ends[i], self.ends[i + 1])
+        return float(self.change(e, self.split[i], -1).sum() + self.change(e, split, 1).sum())
+
+    def fill(self, shares: np.ndarray) -> None:
+        """Heaviest item first, into the split with room that keeps the shares best.
+
+        A split has room while its weight with half the item stays below its goal; if none has,
+        the one furthest below takes it.
+        """
+        for i in np.argsort(-self.total, kind="stable"):
+            e = slice(self.ends[i], self.ends[i + 1])
+            s, w = self.stratum[e], self.weight[e]
+            last = int(np.argmax(s))
+            open_to = -self.off[s[last]] - w[last] / 2
+            room = np.flatnonzero(open_to > 0)
+            if len(room):
+                # squares, by the goal of the split: early items are far from every goal
+                grown = ((self.off[s][:, room] * 2 + w[:, None]) * w[:, None]).sum(axis=0) / np.maximum(shares[room], 1e-9)
+                self.put(i, int(room[np.argmin(grown)]))
+            else:
+                self.put(i, int(np.argmax(open_to)))
+
+    def refine(self) -> None:
+        """Moves items between splits, or swaps two, while the shares get better by it."""
+        splits = self.off.shape[1]
+        while True:
+            before = self.total_cost()
+            gains: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+            listed: list[tuple[float, int, int]] = []
+            for k, m in itertools.permutations(range(splits), 2):
+                entries = np.flatnonzero((self.split == k)[self.item])
+                if not len(entries):
+                    continue
+                owner = self.item[entries]
+                gain = np.bincount(owner, self.change(entries, k, -1) + self.change(entries, m, 1), len(self.split))
+                ids = np.unique(owner)
+                best = ids[np.argsort(gain[ids], kind="stable")[:200]]
+                gains[k, m] = best, gain[best]
+                listed += [(g, int(i), m) for i, g in zip(best, gain[best].tolist()) if g < 0]
+            for _, i, m in sorted(listed):
+                if self.split[i] != m and self.move(i, m) < 0:
+                    self.put(i, m)
+            after = self.total_cost()
+            if before - after <= LEAST_GAIN * before:
+                after = self._swap(gains, after)
+            if before - after <= LEAST_GAIN * before:
+                return
+
+    def total_cost(self) -> float:
+        return float(self.cost(self.off, self.tolerance[:, None]).sum())
+
+    def _swap(self, gains: dict, now: float) -> float:
+        """Swaps of the items that cost least to move each way, each taken if it helps."""
+        for (k, m), (there, cost_there) in gains.items():
+            if k > m or (m, k) not in gains:
                 continue
-            apart = own[a][:, None] + own[b][None, :] - 2 * products[np.ix_(a, b)]
-            change = (apart + 2 * (off[b, k][None, :] - off[a, k][:, None])) * scale[k] + (apart + 2 * (off[a, m][:, None] - off[b, m][None, :])) * scale[m]
-            i, j = np.unravel_index(np.argmin(change), change.shape)
-            if change[i, j] < best:
-                best, at = change[i, j], (k, m, a[i], b[j])
-        if at is None:
-            break
-        k, m, i, j = at
-        moved = products[:, i] - (0 if j is None else products[:, j])
-        off[:, k] -= moved
-        off[:, m] += moved
-        split[i] = m
-        if j is not None:
-            split[j] = k
-    return split
+            back, cost_back = gains[m, k]
+            sums = cost_there[:60, None] + cost_back[None, :60]
+            for flat in np.argsort(sums, axis=None, kind="stable")[:600]:
+                i, j = int(there[flat // sums.shape[1]]), int(back[flat % sums.shape[1]])
+                if self.split[i] != k or self.split[j] != m:
+                    continue
+                first = self.move(i, m)
+                self.put(i, m)
+                second = self.move(j, k)
+                if first + second < 0:
+                    self.put(j, k)
+                    now += first + second
+                else:
+                    self.put(i, k)
+        return now
 
 
 def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = SHARD, bins: int = BINS, heavy: int = HEAVY) -> DataFrame:
@@ -180,13 +227,12 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
 
     ``weights`` has ``component, stratum, weight``. Components are spread by hash over shards of
     about ``shard`` components; each shard is turned into ``bins`` equal bins by largest
-    differencing, and whole bins go to the splits. A component too big for an equal bin is an
+    differencing, and whole bins go to the splits; then single components move or are swapped
+    while that brings strata nearer to their shares. A component too big for an equal bin is an
     item of its own beside the bins. If there are several shards, components above 1/``heavy``
     of all weight, fewer than ``heavy``, are allocated before, by the same rules; what they leave
-    of every stratum's share is then the goal of the others.
-
-    In a shard only the STRATA heaviest strata keep their shares one by one; lighter ones and
-    the null stratum are balanced as one.
+    of every stratum's share is then the goal of the others. Every stratum keeps its own shares,
+    however many there are; ``share_report`` tells how near whole components can come to them.
 
     Deterministic for given rows, whatever their order. Null strata count as one stratum; null
     components are left out; components without weight get a split too; repeated rows add up;
@@ -204,56 +250,56 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
     count, everything = sums.agg(F.count("*"), F.coalesce(F.sum("total"), F.lit(0.0))).first()
     shards = max(1, -(-int(count) // shard))
 
-    def place(pdf: pd.DataFrame, n_bins: int, overall: np.ndarray, part: float) -> pd.DataFrame:
-        """The splits of components by ``allocate``: too big ones by themselves, the others in ``n_bins`` equal bins."""
+    def place(pdf: pd.DataFrame, n_bins: int, overall: np.ndarray, part: float, parts: int) -> pd.DataFrame:
+        """The splits of components: too big ones by themselves, the others in ``n_bins`` equal bins, then one by one."""
         if not len(pdf):
             return pd.DataFrame({"component": [], "split": []}, dtype=str)
         pdf = pdf.sort_values(["component", "stratum"], kind="stable")
-        sizes = pdf.groupby("stratum")["weight"].sum().sort_values(ascending=False, kind="stable")
-        kept = pdf["stratum"].isin(sizes.index[:STRATA])
         at, component = pd.factorize(pdf["component"])
-        column, strata = pd.factorize(pdf["stratum"].where(kept, ""))
-        total = np.bincount(at, pdf["weight"], len(component))
+        column, strata = pd.factorize(pdf["stratum"])
+        weight = pdf["weight"].to_numpy(float)
+        total = np.bincount(at, weight, len(component))
         alone = total > (total.sum() / n_bins if n_bins else -1.0)
         order = np.argsort(-total, kind="stable")
         small = order[~alone[order]]
         group = np.zeros(len(component), int)
         group[small] = differencing(total[small], n_bins)
         group[alone] = np.arange(alone.sum()) + n_bins
-        vectors = np.zeros((n_bins + int(alone.sum()), len(strata)))
-        np.add.at(vectors, (group[at], column), pdf["weight"].to_numpy())
+        _, group = np.unique(group, return_inverse=True)
         # a row has the goals and the whole weight per unit of its stratum's weight here
-        per_unit = np.column_stack([np.stack(pdf["goals"].to_numpy()), pdf["up"]]) * pdf["weight"].to_numpy()[:, None]
-        merged = np.zeros((len(strata), per_unit.shape[1]))
-        np.add.at(merged, column, per_unit)
-        weight = vectors.sum(axis=0)
-        mean = merged / np.where(weight > 0, weight, 1.0)[:, None]
-        chosen = allocate(vectors, goal, mean[:, :-1], mean[:, -1], overall * (total.sum() / part if part else 1.0))
-        return pd.DataFrame({"component": component, "split": [names[k] for k in chosen[group]]})
+        sums = np.zeros((len(strata), len(names) + 1))
+        np.add.at(sums, column, np.column_stack([np.stack(pdf["goals"].to_numpy()), pdf["up"]]) * weight[:, None])
+        given = (sums[:, :-1], sums[:, -1], overall * (total.sum() / part if part else 1.0), everything, parts)
+        bins_first = Balance(group[at], column, weight, *given)
+        bins_first.fill(goal)
+        single = Balance(at, column, weight, *given)
+        for i, k in enumerate(bins_first.split[group]):
+            single.put(i, int(k))
+        single.refine()
+        return pd.DataFrame({"component": component, "split": [names[k] for k in single.split]})
 
     equal, whole = F.array(*map(F.lit, goal.tolist())), goal * everything
     if shards == 1:
         return w.withColumns({"goals": equal, "up": F.lit(1.0)}).groupBy(F.lit(0).alias("shard")).applyInPandas(
-            lambda pdf: place(pdf, bins, whole, everything), "component string, split string"
+            lambda pdf: place(pdf, bins, whole, everything, 1), "component string, split string"
         )
     top = sums.where(F.col("total") > everything / heavy)
     big = w.join(F.broadcast(top.select("component")), "component")
     per_heavy = (
         big.groupBy("stratum").agg(F.sum("weight").alias("here"))
         .join(w.groupBy("stratum").agg(F.sum("weight").alias("whole")), "stratum")
-        .select("stratum", F.when(F.col("here") > 0, F.col("whole") / F.col("here")).otherwise(1.0).alias("up"))
-        .withColumn("goals", F.transform(equal, lambda g: g * F.col("up")))
+        .select("stratum", F.when(F.col("here") > 0, F.col("whole") / F.col("here")).otherwise(1.0).alias("up"), equal.alias("goals"))
     )
     placed = (
         big.join(per_heavy, "stratum")
         .groupBy(F.lit(0).alias("shard"))
-        .applyInPandas(lambda pdf: place(pdf, 0, whole, 0.0), "component string, split string")
+        .applyInPandas(lambda pdf: place(pdf, 0, whole, everything, 1), "component string, split string")
         .collect()
     )  # fewer than ``heavy`` rows
     if not placed:
         light = w.withColumns({"goals": equal, "up": F.lit(1.0)})
         return light.groupBy(F.pmod(F.xxhash64("component"), F.lit(shards)).alias("shard")).applyInPandas(
-            lambda pdf: place(pdf, bins, whole, everything), "component string, split string"
+            lambda pdf: place(pdf, bins, whole, everything, shards), "component string, split string"
         )
     fixed = w.sparkSession.createDataFrame(sorted((r.component, r.split) for r in placed), "component string, split string")
     marked = w.join(F.broadcast(fixed), "component", "left")
@@ -276,11 +322,67 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
         join_skewed(marked.where("split IS NULL").select("component", "stratum", "weight"), per_stratum, "stratum", F.col("n") > all_rows / heavy)
         .select("component", "stratum", "weight", "up", "goals")
         .groupBy(F.pmod(F.xxhash64("component"), F.lit(shards)).alias("shard"))
-        .applyInPandas(lambda pdf: place(pdf, bins, whole - taken, left), "component string, split string")
+        .applyInPandas(lambda pdf: place(pdf, bins, whole - taken, left, shards), "component string, split string")
     )
     return light.unionByName(fixed)
 
 
+def _merged(item: np.ndarray, stratum: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One entry per item and stratum."""
+    key, at = np.unique(item.astype(np.int64) * (int(stratum.max()) + 1) + stratum, return_inverse=True)
+    return key // (int(stratum.max()) + 1), key % (int(stratum.max()) + 1), np.bincount(at, weight, len(key))
+
+
+def share_bound(histogram: Sequence[tuple[float, int]], shares: Sequence[float]) -> float:
+    """The least largest deviation from ``shares`` that whole components of these (weight, number) can reach, or less.
+
+    For whole weights of at most BOUND_WEIGHT in all, every sum of components is tried for each
+    split alone; beyond, only whether the largest component fits.
+    """
+    histogram = [(w, n) for w, n in histogram if w > 0]
+    whole = sum(w * n for w, n in histogram)
+    if not whole:
+        return 0.0
+    bound = max(0.0, max(w for w, _ in histogram) / whole - max(shares))
+    if whole > BOUND_WEIGHT or any(w != int(w) for w, _ in histogram):
+        return bound
+    reach, whole = 1, int(whole)
+    for weight, n in histogram:
+        power = 1
+        while n > 0:
+            take = min(power, n)
+            reach |= reach << (int(weight) * take)
+            n, power = n - take, power * 2
+    for share in shares:
+        want = share * whole
+        above = reach >> ((low := int(want)) + 1)
+        up = (above & -above).bit_length() + low if above else whole
+        down = (reach & ((1 << (low + 1)) - 1)).bit_length() - 1
+        bound = max(bound, min(abs(up - want), abs(want - down)) / whole)
+    return bound
+
+
+def share_report(weights: DataFrame, splits: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """``(stratum, weight, deviation, bound)``: the largest deviation of a stratum's shares from the wanted ones, and the least that whole components allow.
+
+    ``weights`` and ``splits`` are as in and from ``balanced_splits``. A stratum's components are
+    counted by their weight, so no stratum is brought together. Null strata are one; strata
+    without weight have no row; empty tables give none.
+    """
+    per = weights.where(F.col("component").isNotNull()).groupBy(F.col("component").cast("string").alias("component"), "stratum").agg(F.sum("weight").cast("double").alias("weight"))
+    placed = per.where("weight > 0").join(splits, "component")
+    off = F.greatest(*(F.abs(F.coalesce(F.sum(F.when(F.col("split") == n, F.col("weight"))), F.lit(0.0)) / F.sum("weight") - F.lit(float(f))) for n, f in shares.items()), F.lit(0.0))
+    wanted = list(shares.values())
+
+    @F.pandas_udf("double")
+    def bound(groups: pd.Series) -> pd.Series:
+        return pd.Series([share_bound([(r["weight"], r["n"]) for r in g], wanted) for g in groups], dtype=float)
+
+    got = placed.groupBy("stratum").agg(F.sum("weight").alias("weight"), off.alias("deviation"))
+    counted = placed.groupBy("stratum", "weight").agg(F.count("*").alias("n")).groupBy("stratum").agg(bound(F.collect_list(F.struct("weight", "n"))).alias("bound"))
+    return got.join(counted, got["stratum"].eqNullSafe(counted["stratum"])).select(got["stratum"], got["weight"], "deviation", "bound")
+
+
 def related_groups(records: DataFrame, owner: Column, partner: Column) -> DataFrame:
     """``(owner, component)``: owners linked by a shared partner, directly or through others; without partner alone."""
     pairs = records.select(owner.alias("owner"), partner.alias("partner")).where(F.col("owner").isNotNull()).distinct()

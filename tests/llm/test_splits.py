@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slidemill.llm.splits import allocate, balanced_splits, connected_components, differencing, related_groups
+from slidemill.llm.splits import Balance, balanced_splits, connected_components, differencing, related_groups, share_bound, share_report
 from tests.conftest import rows
 
 
@@ -56,8 +57,53 @@ def test_differencing_makes_equal_bins():
 
 
 def test_bins_follow_shares():
-    out = allocate(np.ones((100, 1)), np.array([0.7, 0.1, 0.2]))
-    assert Counter(out.tolist()) == {0: 70, 1: 10, 2: 20}
+    shares, items = np.array([0.7, 0.1, 0.2]), np.arange(100)
+    b = Balance(items, np.zeros(100, int), np.ones(100), shares[None, :] * 100, np.array([100.0]), shares * 100, 100.0)
+    b.fill(shares)
+    assert Counter(b.split.tolist()) == {0: 70, 1: 10, 2: 20}
+
+
+def test_refining_keeps_its_sums_and_never_gets_worse():
+    rng = np.random.default_rng(5)
+    n, strata, shares = 300, 12, np.array([0.7, 0.1, 0.2])
+    item, stratum = np.repeat(np.arange(n), 2), rng.integers(0, strata, 2 * n)
+    weight = rng.integers(1, 9, 2 * n).astype(float)
+    whole = np.bincount(stratum, weight, strata)
+    b = Balance(item, stratum, weight, whole[:, None] * shares, whole, shares * whole.sum(), whole.sum())
+    b.fill(shares)
+    before = b.total_cost()
+    b.refine()
+    assert b.total_cost() <= before
+    for s in range(strata):
+        got = np.array([weight[(stratum == s) & (b.split[item] == k)].sum() for k in range(3)])
+        assert np.allclose(got / whole[s] - shares, b.off[s])
+        assert np.abs(got / whole[s] - shares).max() < 0.01
+
+
+@pytest.mark.parametrize("shares", [(0.7, 0.1, 0.2), (0.5, 0.5)])
+def test_bound_is_below_every_allocation(shares):
+    rng = random.Random(3)
+    for _ in range(40):
+        sizes = [rng.randrange(1, 12) for _ in range(rng.randrange(1, 7))]
+        least = min(
+            max(abs(sum(w for w, k in zip(sizes, given) if k == s) / sum(sizes) - f) for s, f in enumerate(shares))
+            for given in itertools.product(range(len(shares)), repeat=len(sizes))
+        )
+        bound = share_bound(list(Counter(sizes).items()), shares)
+        assert bound <= least + 1e-12
+        if len(shares) == 2:
+            assert bound == pytest.approx(least)
+    assert share_bound([], shares) == 0 and share_bound([(0.5, 3)], shares) == 0
+
+
+def test_report(spark):
+    data = [("a", "s", 7), ("b", "s", 1), ("c", "s", 2), ("a", None, 1), ("d", "u", 0)]
+    w = spark.createDataFrame(data, "component string, stratum string, weight long")
+    splits = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z"), ("d", "x")], "component string, split string")
+    out = {r.stratum: r for r in share_report(w, splits, {"x": 0.7, "y": 0.1, "z": 0.2}).collect()}
+    assert set(out) == {"s", None} and out["s"].deviation < 1e-9 and out["s"].bound < 1e-9
+    assert out[None].deviation == pytest.approx(0.3) and out[None].bound == pytest.approx(0.3)
+    assert share_report(w.limit(0), splits, {"x": 1.0}).count() == 0
 
 
 def weights(spark, heavy=False):
@@ -81,9 +127,10 @@ def test_shares_overall_and_per_stratum(spark, heavy):
     everything = sum(total.values())
     for s, f in goal.items():
         assert abs(total[s] / everything - f) < 0.02
-        for t in ("t1", "t2", "t3") if not heavy else ():
+        for t in ("t0", "t1", "t2", "t3"):
             whole = sum(per[t, x] for x in goal)
-            assert abs(per[t, s] / whole - f) < 0.05
+            # the big component is a good half of t0, which train takes
+            assert abs(per[t, s] / whole - f) < 0.02
     assert rows(out) == rows(balanced_splits(w.repartition(5).orderBy(F.rand(1)), goal, shard=400))
 
 
