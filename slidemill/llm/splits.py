@@ -130,16 +130,19 @@ class Balance:
         self.off = -np.vstack([goals, overall]) / scale[:, None]
         self.tolerance = np.full(last + 1, TOLERANCE)
         self.tolerance[last] = OVERALL_TOLERANCE
+        # the overall shares count as much as those of all strata together
+        self.worth = np.ones(last + 1)
+        self.worth[last] = max(last, 1)
         self.split = np.full(n, -1)
 
-    def cost(self, off: np.ndarray, tolerance: np.ndarray) -> np.ndarray:
-        return WITHIN * off * off + np.maximum(np.abs(off) - tolerance, 0.0) ** 2
+    def cost(self, off: np.ndarray, tolerance: np.ndarray, worth: np.ndarray) -> np.ndarray:
+        return worth * (WITHIN * off * off + np.maximum(np.abs(off) - tolerance, 0.0) ** 2)
 
     def change(self, entries: slice | np.ndarray, split: int, sign: int) -> np.ndarray:
         """What it costs, entry by entry, to put them into a split (or take them out)."""
         s, w = self.stratum[entries], self.weight[entries]
-        off, tolerance = self.off[s, split], self.tolerance[s]
-        return self.cost(off + sign * w, tolerance) - self.cost(off, tolerance)
+        off, tolerance, worth = self.off[s, split], self.tolerance[s], self.worth[s]
+        return self.cost(off + sign * w, tolerance, worth) - self.cost(off, tolerance, worth)
 
     def put(self, i: int, split: int) -> None:
         e = slice(self.ends[i], self.ends[i + 1])
@@ -198,7 +201,7 @@ class Balance:
                 return
 
     def total_cost(self) -> float:
-        return float(self.cost(self.off, self.tolerance[:, None]).sum())
+        return float(self.cost(self.off, self.tolerance[:, None], self.worth[:, None]).sum())
 
     def _swap(self, gains: dict, now: float) -> float:
         """Swaps of the items that cost least to move each way, each taken if it helps."""
