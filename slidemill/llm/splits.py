@@ -22,8 +22,10 @@ HOT, HOT_LINKS = 1000, 100_000
 SHARD, BINS = 5_000, 100
 #: Deviations of a stratum's share and of the overall share up to which there is little to gain.
 TOLERANCE, OVERALL_TOLERANCE = 0.006, 0.002
+#: How much more the overall shares count than those of all strata together.
+OVERALL = 100
 #: What a deviation within the tolerance counts, and the part of the cost that a pass over all items must save to be followed by another.
-WITHIN, LEAST_GAIN = 0.01, 0.001
+WITHIN, LEAST_GAIN = 0.01, 0.0001
 #: Weight of a stratum up to which all sums of its components are tried for the bound of its shares.
 BOUND_WEIGHT = 200_000
 
@@ -130,9 +132,9 @@ class Balance:
         self.off = -np.vstack([goals, overall]) / scale[:, None]
         self.tolerance = np.full(last + 1, TOLERANCE)
         self.tolerance[last] = OVERALL_TOLERANCE
-        # the overall shares count as much as those of all strata together
+        # the overall shares come first: small strata may be far from theirs by no fault
         self.worth = np.ones(last + 1)
-        self.worth[last] = max(last, 1)
+        self.worth[last] = OVERALL * max(last, 1)
         self.split = np.full(n, -1)
 
     def cost(self, off: np.ndarray, tolerance: np.ndarray, worth: np.ndarray) -> np.ndarray:
