@@ -17,7 +17,7 @@ from slidemill.llm.containers import TOKENIZERS, fill_containers, token_counts
 from slidemill.llm.encoding import garbled_documents
 from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
 from slidemill.llm.leakage import leaked_passages, without_leaks
-from slidemill.llm.representative import Bundle, Dependency, best_representatives, duplicate_pairs, flat_survivors, resolve_by_name
+from slidemill.llm.representative import Bundle, Dependency, Representatives, best_representatives, duplicate_classes, duplicate_pairs, flat_survivors, resolve_by_name
 from slidemill.llm.sampling import stable_sample
 from slidemill.llm.splits import balanced_splits, related_groups, share_report
 from slidemill.session import cut_lineage
@@ -73,7 +73,7 @@ def image_bundles() -> list[Bundle]:
     ]
 
 
-def image_groups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def image_groups(spark: SparkSession, folder: str) -> Representatives:
     images = table(spark, folder, "images")
     group = F.coalesce(image_identity(F.col("image_id")), image_identity(F.col("image_url")))
     same_file = Dependency("file", ("image_type",), "download", ("download_date", "file_size", "url_used"))
@@ -86,38 +86,45 @@ def antibody_bundles() -> list[Bundle]:
     for name, level in RELIABILITY_TRUST.items():
         trust = F.when(score == name, level).otherwise(trust)
     return [
-        Bundle("gene", ("ensembl_id", "gene_name"), F.when(F.length("ensembl_id") == 15, 1)),
+        Bundle("gene", ("ensembl_id",), F.when(F.length("ensembl_id") == 15, 1)),
+        Bundle("name", ("gene_name",)),
         Bundle("spelling", ("antibody_id",), F.when(F.col("antibody_id") == antibody_identity(F.col("antibody_id")), 1)),
         Bundle("reliability", ("Reliability score",), trust),
     ]
 
 
-def antibody_groups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def antibody_groups(spark: SparkSession, folder: str) -> Representatives:
     antibodies = table(spark, folder, "antibodies")
     named = resolve_by_name(antibodies, gene_identity(F.col("ensembl_id")), F.col("gene_name"), "gene")
     group = F.concat_ws("/", antibody_identity(F.col("antibody_id")), F.col("gene"))
     known = antibody_identity(F.col("antibody_id")).isNotNull() & F.col("gene").isNotNull()
-    return best_representatives(named, F.when(known, group), "row_id", antibody_bundles(), [], F.col("updated_at"))
+    of_gene = [Dependency("gene", ("ensembl_id",), "name", ("gene_name",)), Dependency("gene", ("ensembl_id",), "reliability", ("Reliability score",))]
+    return best_representatives(named, F.when(known, group), "row_id", antibody_bundles(), of_gene, F.col("updated_at"))
 
 
 def p3_images(spark: SparkSession, folder: str) -> DataFrame:
-    return flat_survivors(image_groups(spark, folder)[1], image_bundles(), "image_id")
+    return flat_survivors(image_groups(spark, folder).survivors, image_bundles(), "image_key")
 
 
 def p3_antibodies(spark: SparkSession, folder: str) -> DataFrame:
-    return flat_survivors(antibody_groups(spark, folder)[1], antibody_bundles(), "antibody_gene")
+    return flat_survivors(antibody_groups(spark, folder).survivors, antibody_bundles(), "antibody_gene")
+
+
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per repeated row: its class and the number of its duplicates, the form that does not grow with their pairs."""
+    parts = [duplicate_classes(groups(spark, folder)).withColumn("src_table", F.lit(name)) for name, groups in GROUPS.items()]
+    return parts[0].unionByName(parts[1]).withColumnRenamed("row_key", "row_id")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    parts = []
-    for name, groups in (("images", image_groups), ("antibodies", antibody_groups)):
-        members, survivors = groups(spark, folder)
-        # the survivors are built and stored whole; the pairs are read from what each of them stands for
-        pairs = duplicate_pairs(members, cut_lineage(survivors))
-        parts.append(pairs.select(F.lit(name).alias("src_table"), "row_a", "row_b"))
+    # the survivors are built and stored whole; the pairs are read from what each of them stands for
+    parts = [duplicate_pairs(groups(spark, folder)).withColumn("src_table", F.lit(name)) for name, groups in GROUPS.items()]
     return parts[0].unionByName(parts[1])
 
 
+GROUPS = {"images": image_groups, "antibodies": antibody_groups}
+
+
 def antibody_links(spark: SparkSession, folder: str) -> DataFrame:
     """The v2 rows of the dataset, counted by canonical antibody, gene, label and tissue; stored, as it is read several times."""
     rows = table(spark, folder, "dataset").where(version_identity(F.col("split_version")) == "v2")
@@ -211,6 +218,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_images": p3_images,
     "p3_antibodies": p3_antibodies,
+    "p3_classes": p3_classes,
     "p6_found": p6_found,
     "p6_splits": p6_splits,
     "p6_shares": p6_shares,
@@ -238,8 +246,51 @@ _FREQUENCIES = "WITH tokens AS (" + " UNION ALL ".join(
 ), marked AS (
   SELECT *, CASE WHEN n_rows < 5 THEN 'rare' WHEN n_rows > 0.2 * (SELECT count(*) FROM cells) THEN 'common' END AS mark FROM counts
 ) """
+_GROUPED = f"""i AS (SELECT row_id, coalesce({_IMAGE.format("image_id")}, {_IMAGE.format("image_url")}) AS g FROM images),
+a0 AS (SELECT row_id, {_ANTIBODY.format("antibody_id")} AS ab, {_GENE.format("ensembl_id")} AS gene, lower(trim(gene_name)) AS n FROM antibodies),
+m AS (SELECT n, arg_min(gene, (-c, gene)) AS gene FROM (SELECT n, gene, count(*) AS c FROM a0 WHERE gene IS NOT NULL AND n <> '' GROUP BY ALL) GROUP BY n),
+a AS (SELECT row_id, ab || '/' || coalesce(a0.gene, m.gene) AS g FROM a0 LEFT JOIN m USING (n))
+"""
 _PAIRS = """SELECT '{0}' AS src_table, a.row_id AS row_a, b.row_id AS row_b FROM {1} a JOIN {1} b ON a.g = b.g AND a.row_id < b.row_id"""
 
+
+def _survivors(key: str, groups: str, name: str, moment: str, bundles: dict, star: tuple) -> str:
+    """SQL of the survivors: every bundle's best value, and for the linked ones the best sum that keeps the dependencies."""
+    of, of_fields, on = star
+    blank = {f: f"""nullif(CASE WHEN trim("{f}") = '' THEN '' ELSE "{f}" END, '')""" for fields, _ in bundles.values() for f in fields}
+
+    def texts(fields: list[str]) -> str:
+        return "[" + ", ".join(f"coalesce({blank[f]}, '')" for f in fields) + "]"
+
+    def link(fields: list[str]) -> str:
+        return f"CASE WHEN coalesce({', '.join(blank[f] for f in fields)}) IS NOT NULL THEN {texts(fields)} END"
+
+    columns = []
+    for b, (fields, trust) in bundles.items():
+        filled = " + ".join(f"CASE WHEN {blank[f]} IS NULL THEN 0 ELSE 1 END" for f in fields)
+        columns.append(f"CAST(round(({filled}) * 1000.0 / {len(fields)}) AS BIGINT) * 1000 + coalesce({trust}, 0) AS q_{b}, {texts(fields)} AS v_{b}")
+    columns += [f"{link(of_fields)} AS x", *(f"{link(fields)} AS y_{b}" for b, fields in on.items())]
+    sql = f"WITH {_GROUPED}, r AS (SELECT g, coalesce(epoch_us({moment}), 0) AS r, {', '.join(columns)} FROM {name} JOIN {groups} USING (row_id) WHERE g IS NOT NULL)"
+    for b in bundles:
+        if b != of and b not in on:
+            sql += f", t_{b} AS (SELECT g, v_{b} FROM r QUALIFY row_number() OVER (PARTITION BY g ORDER BY q_{b} DESC, r DESC, v_{b} DESC) = 1)"
+    sql += f", c AS (SELECT g, x, v_{of}, q_{of} AS q, r FROM r QUALIFY row_number() OVER (PARTITION BY g, x ORDER BY q_{of} DESC, r DESC, v_{of} DESC) = 1)"
+    joins, total, recent, order = "", "c.q", "c.r", f"v_{of} DESC"
+    for b in on:
+        best = f"ORDER BY q_{b} DESC, r DESC, v_{b} DESC) = 1"
+        sql += f", f_{b} AS (SELECT g, x, y_{b} AS y FROM r WHERE x IS NOT NULL AND y_{b} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY g, x {best})"
+        sql += f", l_{b} AS (SELECT g, y_{b} AS y, v_{b}, q_{b}, r FROM r WHERE y_{b} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY g, y_{b} {best})"
+        sql += f", o_{b} AS (SELECT g, v_{b}, q_{b}, r FROM r QUALIFY row_number() OVER (PARTITION BY g {best})"
+        sql += f", k_{b} AS (SELECT c.g, c.x, coalesce(l.v_{b}, o.v_{b}) AS v_{b}, coalesce(l.q_{b}, o.q_{b}) AS q, coalesce(l.r, o.r) AS r FROM c JOIN o_{b} o ON c.g = o.g LEFT JOIN f_{b} f ON c.g = f.g AND c.x = f.x LEFT JOIN l_{b} l ON f.g = l.g AND f.y = l.y)"
+        joins += f" JOIN k_{b} ON c.g = k_{b}.g AND c.x IS NOT DISTINCT FROM k_{b}.x"
+        total, recent, order = f"{total} + k_{b}.q", f"{recent} + k_{b}.r", f"{order}, v_{b} DESC"
+    values = ", ".join(f"v_{b}" for b in (of, *on))
+    sql += f", w AS (SELECT c.g, {values} FROM c{joins} QUALIFY row_number() OVER (PARTITION BY c.g ORDER BY {total} DESC, {recent} DESC, {order}) = 1)"
+    plain = ", ".join(f"""nullif(v_{b}[{i + 1}], '') AS "{f}\"""" for b, (fields, _) in bundles.items() for i, f in enumerate(fields))
+    free = "".join(f" JOIN t_{b} USING (g)" for b in bundles if b != of and b not in on)
+    return sql + f", n AS (SELECT g, count(*) AS n_rows FROM r GROUP BY g) SELECT g AS {key}, n_rows, {plain} FROM w JOIN n USING (g){free}"
+
+
 ORACLE = {
     "p1_found": _FREQUENCIES + "SELECT field, val, mark FROM marked WHERE mark IS NOT NULL",
     "p1_frequencies": _FREQUENCIES + "SELECT * FROM marked",
@@ -248,12 +299,24 @@ WITH r AS (SELECT {_IMAGE.format("image_id")} AS image_id, {_LABEL.format('"set"
 e AS (SELECT image_id, before AS label FROM r WHERE before IS NOT NULL UNION SELECT image_id, label FROM r WHERE v = 'v1' AND label IS NOT NULL),
 c AS (SELECT DISTINCT image_id, label FROM r WHERE v = 'v2' AND label IS NOT NULL)
 SELECT DISTINCT e.image_id FROM e JOIN c ON e.image_id = c.image_id AND e.label <> c.label""",
-    "p3_found": f"""
-WITH i AS (SELECT row_id, coalesce({_IMAGE.format("image_id")}, {_IMAGE.format("image_url")}) AS g FROM images),
-a0 AS (SELECT row_id, {_ANTIBODY.format("antibody_id")} AS ab, {_GENE.format("ensembl_id")} AS gene, lower(trim(gene_name)) AS n FROM antibodies),
-m AS (SELECT n, min(gene) AS gene FROM a0 WHERE gene IS NOT NULL AND n <> '' GROUP BY n),
-a AS (SELECT row_id, ab || '/' || coalesce(a0.gene, m.gene) AS g FROM a0 LEFT JOIN m USING (n))
-""" + _PAIRS.format("images", "i") + " UNION ALL " + _PAIRS.format("antibodies", "a"),
+    "p3_found": f"WITH {_GROUPED}" + _PAIRS.format("images", "i") + " UNION ALL " + _PAIRS.format("antibodies", "a"),
+    "p3_classes": f"WITH {_GROUPED}" + " UNION ALL ".join(
+        f"SELECT '{n}' AS src_table, row_id, min(row_id) OVER w AS class_id, count(*) OVER w - 1 AS n_links FROM {t} WHERE g IS NOT NULL WINDOW w AS (PARTITION BY g) QUALIFY count(*) OVER w > 1"
+        for n, t in (("images", "i"), ("antibodies", "a"))
+    ),
+    "p3_images": _survivors("image_key", "i", "images", "crawled_at", {
+        "target": (["antibody_id", "ensembl_id", "gene_name"], f"CASE WHEN {_GENE.format('ensembl_id')} IS NOT NULL THEN 2 ELSE 0 END"),
+        "place": (["tissue", "organ"], "0"),
+        "patient": (["patient_id"], "CASE WHEN regexp_matches(patient_id, '^[0-9]+$') THEN 1 ELSE 0 END"),
+        "file": (["image_type", "image_url", "local_path"], "CASE WHEN lower(image_type) = 'tif' THEN 2 ELSE 0 END"),
+        "download": (["download_status", "download_date", "file_size", "url_used"], "CASE lower(trim(download_status)) WHEN 'downloaded' THEN 3 WHEN 'ftp_available' THEN 2 WHEN 'pending' THEN 1 ELSE 0 END"),
+    }, ("file", ["image_type"], {"download": ["download_date", "file_size", "url_used"]})),
+    "p3_antibodies": _survivors("antibody_gene", "a", "antibodies", "updated_at", {
+        "gene": (["ensembl_id"], "CASE WHEN length(ensembl_id) = 15 THEN 1 ELSE 0 END"),
+        "name": (["gene_name"], "0"),
+        "spelling": (["antibody_id"], f"CASE WHEN antibody_id = {_ANTIBODY.format('antibody_id')} THEN 1 ELSE 0 END"),
+        "reliability": (["Reliability score"], "CASE lower(trim(\"Reliability score\")) WHEN 'enhanced' THEN 3 WHEN 'supported' THEN 2 WHEN 'approved' THEN 2 WHEN 'uncertain' THEN 1 ELSE 0 END"),
+    }, ("gene", ["ensembl_id"], {"name": ["gene_name"], "reliability": ["Reliability score"]})),
     "p6_found": f"""
 WITH RECURSIVE r AS (SELECT {_ANTIBODY.format("antibody_id")} AS ab, {_GENE.format("ensembl_id")} AS gene, {_LABEL.format('"set"')} AS label
   FROM dataset WHERE {_VERSION.format("split_version")} = 'v2'),

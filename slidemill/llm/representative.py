@@ -8,20 +8,21 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from slidemill.operators.relational import join_skewed
+from slidemill.operators.relational import BROADCAST_ROWS, join_skewed, small_enough
 from slidemill.session import cut_lineage
 
-#: A group with more than 1/HOT_GROUPS of all rows, and no fewer than HOT_ROWS, is joined by broadcast.
+#: A group with more than 1/HOT_GROUPS of all repeated rows, and no fewer than HOT_ROWS, is hot.
 HOT_GROUPS, HOT_ROWS = 1000, 100_000
-#: Most candidates of a group that go into one search; larger groups are solved by joins, as exactly.
+#: Most distinct candidates of a group that go into one search; larger groups are solved by joins, to the same result.
 SEARCH_LIMIT = 512
+#: Rows of a group that one task pairs with all others of the group.
+PAIRED_ROWS = 1000
 
 
 @dataclass(frozen=True)
 class Bundle:
-    """Fields that depend on each other and are only taken together, with the trust in a row's values."""
+    """Fields that depend on each other and are only taken together, with the trust in a row's values (0 to 9)."""
 
     name: str
     fields: tuple[str, ...]
@@ -30,7 +31,11 @@ class Bundle:
 
 @dataclass(frozen=True)
 class Dependency:
-    """The chosen values of ``of`` determine those of ``on``: both must occur together in a row of the group."""
+    """A functional dependency: within a group, ``of_fields`` of the bundle ``of`` determine ``on_fields`` of ``on``.
+
+    What a value determines is what the most trusted row that holds it says; where either side
+    is missing there, nothing is determined.
+    """
 
     of: str
     of_fields: tuple[str, ...]
@@ -38,55 +43,109 @@ class Dependency:
     on_fields: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class Representatives:
+    """``survivors``: one row per group with ``n_rows`` and a struct of every bundle; ``merged``: those of
+    several rows, stored; ``members``: ``group_key, row_key`` of every row with a group; ``duplicates``:
+    those of groups with several rows."""
+
+    survivors: DataFrame
+    merged: DataFrame
+    members: DataFrame
+    duplicates: DataFrame
+
+
 def filled(column: str) -> Column:
     value = F.col(f"`{column}`").cast("string")
-    return F.when(value.isNull() | (F.trim(value) == ""), 0.0).otherwise(1.0)
+    return value.isNotNull() & (F.trim(value) != "")
 
 
 def _score(bundle: Bundle, recency: Column | None) -> Column:
-    """Completeness first (steps of 10), then trust (below 10), then recency (below 1e-3), all exact at any partitioning."""
-    full = sum((filled(f) for f in bundle.fields), F.lit(0.0)) / F.lit(float(len(bundle.fields)))
-    out = F.round(full * 1000) * F.lit(10.0)
+    """Completeness (steps of 1000) and trust (0 to 9), then recency in microseconds: whole numbers, compared in this order."""
+    full = sum((filled(f).cast("long") for f in bundle.fields), F.lit(0)) * 1000 / F.lit(len(bundle.fields))
+    quality = F.round(full).cast("long") * 1000
     if bundle.trust is not None:
-        out = out + F.least(F.greatest(F.coalesce(bundle.trust.cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(9.0))
-    if recency is not None:
-        out = out + F.coalesce(F.unix_timestamp(recency), F.lit(0)) / F.lit(1e14)
+        quality = quality + F.least(F.greatest(F.coalesce(bundle.trust.cast("long"), F.lit(0)), F.lit(0)), F.lit(9))
+    moment = F.lit(0).cast("long") if recency is None else F.coalesce(F.unix_micros(recency.cast("timestamp")), F.lit(0))
+    return F.struct(quality.alias("q"), moment.alias("r"))
+
+
+def _sum(scores: Sequence[Column]) -> Column:
+    """Scores add up part by part, so a sum is compared as its parts are."""
+    return F.struct(sum((s["q"] for s in scores[1:]), scores[0]["q"]).alias("q"), sum((s["r"] for s in scores[1:]), scores[0]["r"]).alias("r"))
+
+
+def _stars(bundles: Sequence[Bundle], dependencies: Sequence[Dependency]) -> dict[str, list[Dependency]]:
+    """The dependencies by their determining bundle."""
+    names = [b.name for b in bundles]
+    out: dict[str, list[Dependency]] = {}
+    for d in dependencies:
+        out.setdefault(d.of, []).append(d)
+    determined = [d.on for d in dependencies]
+    if len(set(names)) != len(names) or not {*out, *determined} <= set(names):
+        raise ValueError("bundles need different names, and dependencies name bundles")
+    if len(set(determined)) != len(determined) or set(determined) & set(out):
+        raise ValueError("a bundle is determined by one other at most, and determines others or is determined")
     return out
 
 
-def choose_pair(first: Sequence[tuple], second: Sequence[tuple], linked: set[tuple]) -> tuple[int, int]:
-    """The most trusted consistent pair by branch and bound.
+def _order(value: Sequence[str | None]) -> tuple:
+    """Values in the order of the engine: field by field, missing first, by bytes."""
+    return tuple((v is not None, (v or "").encode()) for v in value)
 
-    ``first`` and ``second`` hold ``(score, value, link)`` in falling order of score; ``linked``
-    the links that occur together. Branches follow the falling scores; one is cut as soon as its
-    score plus the best of the other bundle cannot exceed what is already reached.
-    """
-    best, at = float("-inf"), (0, 0)
-    for i, (a, _, x) in enumerate(first):
-        if a + second[0][0] <= best:
-            break
-        for j, (b, _, y) in enumerate(second):
-            if a + b <= best:
-                break
-            if (x, y) in linked:
-                best, at = a + b, (i, j)
-                break
-    return at
 
+def choose(determining: Sequence[tuple], determined: Sequence[Sequence[tuple]], meant: Sequence[dict]) -> tuple:
+    """The most trusted consistent combination by branch and bound.
 
-def _search(rows: Sequence[dict]) -> tuple[str, str]:
-    """The chosen value texts of both bundles, out of a group's distinct joint candidates."""
-    sides = []
-    for k in ("a", "b"):
-        top: dict[tuple, float] = {}
+    ``determining`` and each of ``determined`` hold ``(score, order, value, link)`` of distinct
+    values in falling order; ``meant`` has for every determined bundle what a link of the
+    determining one means there. Branches follow the falling scores; one is cut as soon as what
+    it has, with the best that the open bundles could add, stays below what is reached. Between
+    equal sums the greatest values win, the determining bundle's first.
+    """
+    most = [side[0][0] for side in determined]
+    best: tuple | None = None
+    for score, order, value, link in determining:
+        total, orders, values = score, [order], [value]
+        for k, side in enumerate(determined):
+            bound = (total[0] + sum(q for q, _ in most[k:]), total[1] + sum(r for _, r in most[k:]))
+            if best is not None and bound < best[0]:
+                break
+            want = meant[k].get(link)
+            found = side[0] if want is None else next(c for c in side if c[3] == want)
+            total = (total[0] + found[0][0], total[1] + found[0][1])
+            orders.append(found[1])
+            values.append(found[2])
+        else:
+            if best is None or (total, orders) > best[:2]:
+                best = (total, orders, values)
+            continue
+        if k == 0:
+            break  # all that follow have no higher score
+    return tuple(best[2])
+
+
+def _search(rows: Sequence[dict], n: int) -> tuple:
+    """The chosen values of a determining bundle and ``n`` determined ones, out of a group's distinct candidates."""
+
+    def side(name: str, rows_of: Sequence[dict]) -> list[tuple]:
+        top: dict[tuple, tuple] = {}
+        for r in rows_of:
+            value = tuple(r[f"{name}_val"])
+            link = None if r[f"{name}_link"] is None else tuple(r[f"{name}_link"])
+            top[value, link] = max(top.get((value, link), (-1, 0)), (r[f"{name}_q"], r[f"{name}_r"]))
+        return sorted(((s, _order(v), v, x) for (v, x), s in top.items()), key=lambda t: t[:2], reverse=True)
+
+    meant: list[dict] = []
+    for k in range(n):
+        of: dict[tuple, tuple] = {}
         for r in rows:
-            if r[f"{k}_score"] is None:
-                continue
-            key = (r[f"{k}_val"], r[f"{k}_link"])
-            top[key] = max(top.get(key, float("-inf")), r[f"{k}_score"])
-        sides.append(sorted(((s, v, x) for (v, x), s in top.items()), key=lambda t: (-t[0], t[1])))
-    i, j = choose_pair(sides[0], sides[1], {(r["a_link"], r["b_link"]) for r in rows})
-    return sides[0][i][1], sides[1][j][1]
+            if r["a_link"] is not None and r[f"b{k}_link"] is not None:
+                says = ((r[f"b{k}_q"], r[f"b{k}_r"]), _order(r[f"b{k}_val"]), tuple(r[f"b{k}_link"]))
+                at = tuple(r["a_link"])
+                of[at] = max(of.get(at, ((-1, 0),)), says, key=lambda t: t[:2])
+        meant.append({x: says[2] for x, says in of.items()})
+    return choose(side("a", rows), [side(f"b{k}", rows) for k in range(n)], meant)
 
 
 def best_representatives(
@@ -98,40 +157,35 @@ def best_representatives(
     recency: Column | None = None,
     search_limit: int = SEARCH_LIMIT,
     hot_rows: int = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """``(members, survivors)`` of the duplicate groups.
-
-    ``members`` has ``group_key, row_key`` of every row with a group; ``survivors`` one row
-    per group with ``n_rows`` and, as structs of strings, the chosen value of every bundle.
-    A bundle's fields always come from one row. A bundle without dependency takes the value
-    with the highest score (completeness, then trust, then recency, ties by value). Two
-    bundles with a dependency take the pair with the highest sum of scores whose dependent
-    fields occur together in a row of the group.
-
-    What a group needs is aggregated with map-side combining. If one row is best in both
-    bundles of a dependency, it is the answer. Otherwise values whose score plus the best
-    of the other bundle stays below the best single row are pruned (the bound), and the
-    distinct candidates that are left are stored once (checkpointed) and go into a search; with
-    more than ``search_limit`` of them the best consistent pair of a group is found by joins, so
-    no group is ever collected whole. Groups with a large share of all rows, fewer than HOT_GROUPS,
-    are not brought together but joined by broadcast and solved by joins on their links.
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> Representatives:
+    """The survivors of duplicate groups, with the rows that they stand for.
+
+    A bundle's fields always come from one row. A bundle in no dependency takes the value with
+    the highest score: completeness, then trust, then recency, all as whole numbers, ties by the
+    greatest value. Bundles linked by dependencies take the combination with the highest sum of
+    scores among those that keep every dependency, ties by the greatest values in the order
+    of the dependencies. A bundle may determine several others or be determined by one.
+
+    Group sizes are counted first, from the keys alone. Rows that are alone in their group are
+    their own survivors and never shuffled whole; only rows of groups with several are brought
+    together (the list of such groups is broadcast where it is counted to be short, and joined
+    otherwise) and stored once (checkpointed). Where the best values of all linked bundles
+    stand in one row they are the answer; the distinct candidates of the other groups go into a
+    branch and bound search. Groups of more than ``search_limit`` candidates, and hot ones, are
+    solved by joins on their links instead, to the same result, so no group is ever collected
+    whole.
 
     Rows with null group are left out; null and empty fields count as missing and an
     all-missing bundle survives as nulls; repeated rows change only ``n_rows``; empty input
     gives empty results; fields in no bundle are dropped, so extra columns cannot clash.
-    A bundle may be in one dependency at most.
     """
-    names = [b.name for b in bundles]
-    used = [n for d in dependencies for n in (d.of, d.on)]
-    if len(set(names)) != len(names) or len(set(used)) != len(used) or not set(used) <= set(names):
-        raise ValueError("bundles need different names, and each may be in one dependency at most")
+    stars = _stars(bundles, dependencies)
     by_name = {b.name: b for b in bundles}
+    linked = {n for of, ds in stars.items() for n in (of, *(d.on for d in ds))}
 
     def value(b: Bundle) -> Column:
-        return F.struct(*(F.when(filled(f) > 0, F.col(f"`{f}`").cast("string")).alias(f) for f in b.fields))
-
-    def text(c: Column) -> Column:
-        return F.to_json(c, {"ignoreNullFields": "false"})
+        return F.array(*(F.when(filled(f), F.col(f"`{f}`").cast("string")) for f in b.fields))
 
     base = rows.select(
         group.cast("string").alias("group_key"),
@@ -139,82 +193,111 @@ def best_representatives(
         *(value(b).alias(f"v_{b.name}") for b in bundles),
         *(_score(b, recency).alias(f"s_{b.name}") for b in bundles),
     ).where(F.col("group_key").isNotNull())
-    free = [n for n in names if n not in used]
-    sums = {f"{d.of}_{d.on}": F.col(f"s_{d.of}") + F.col(f"s_{d.on}") for d in dependencies}
-    per_group = base.groupBy("group_key").agg(
-        F.count("*").alias("n_rows"),
-        *(F.max(F.struct(F.col(f"s_{n}").alias("s"), F.col(f"v_{n}").alias("v"))).alias(f"m_{n}") for n in names),
-        *(
-            F.max(F.struct(sums[f"{d.of}_{d.on}"].alias("s"), F.col(f"v_{d.of}").alias("a"), F.col(f"v_{d.on}").alias("b"))).alias(f"r_{d.of}_{d.on}")
-            for d in dependencies
-        ),
+    sizes = cut_lineage(base.groupBy("group_key").agg(F.count("*").alias("n_rows")).where("n_rows > 1"))
+    repeated_rows = sizes.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar()
+    hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") * HOT_GROUPS > repeated_rows)
+    if small_enough(sizes, broadcast_rows):
+        repeated = base.join(F.broadcast(sizes), "group_key")
+        single = base.join(F.broadcast(sizes.select("group_key")), "group_key", "left_anti")
+    else:
+        repeated = join_skewed(base, sizes, "group_key", hot).drop("is_hot")
+        single = base.join(sizes.select("group_key"), "group_key", "left_anti")
+    repeated = cut_lineage(repeated)
+
+    per_group = repeated.groupBy("group_key", "n_rows").agg(
+        *(F.max(F.struct(F.col(f"s_{b.name}").alias("s"), F.col(f"v_{b.name}").alias("v"))).alias(f"m_{b.name}") for b in bundles),
+        *(_best_row(by_name, of, ds) for of, ds in stars.items()),
     )
-    members = base.select("group_key", "row_key")
-    if not dependencies:
-        return members, per_group.select("group_key", "n_rows", *(F.col(f"m_{n}.v").alias(n) for n in free))
-
-    all_rows = per_group.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar()
-    hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") * HOT_GROUPS > all_rows)
+    if stars:
+        per_group = cut_lineage(per_group)
+    chosen = {b.name: F.col(f"m_{b.name}.v") for b in bundles}
     out = per_group
-    for d in dependencies:
-        r, a, b = f"r_{d.of}_{d.on}", by_name[d.of], by_name[d.on]
-        open_groups = per_group.where(F.col(f"{r}.s") < F.col(f"m_{d.of}.s") + F.col(f"m_{d.on}.s")).select(
-            "group_key", hot.alias("hot"), F.col(f"m_{d.of}.s").alias("a_most"), F.col(f"m_{d.on}.s").alias("b_most"), F.col(f"{r}.s").alias("reached")
-        )
-        links = [text(F.struct(*(F.col(f"v_{n}.`{f}`") for f in fs))) for n, fs in ((d.of, d.of_fields), (d.on, d.on_fields))]
-        joint = (
-            join_skewed(base, open_groups, "group_key", F.col("hot"))
-            .select(
-                "group_key", "is_hot",
-                text(F.col(f"v_{d.of}")).alias("a_val"), links[0].alias("a_link"), F.col(f"s_{d.of}").alias("a_score"),
-                text(F.col(f"v_{d.on}")).alias("b_val"), links[1].alias("b_link"), F.col(f"s_{d.on}").alias("b_score"),
-                "a_most", "b_most", "reached",
-            )
-        )
-        found = _search_groups(joint, search_limit)
-        shapes = [T.StructType([T.StructField(f, T.StringType()) for f in x.fields]) for x in (a, b)]
-        picked = found.select("group_key", F.from_json("a_val", shapes[0]).alias(f"p_{d.of}"), F.from_json("b_val", shapes[1]).alias(f"p_{d.on}"))
+    for of, ds in stars.items():
+        picked = _solve(repeated, per_group, by_name, of, ds, hot, search_limit)
         out = out.join(picked, "group_key", "left")
-    chosen = [F.col(f"m_{n}.v").alias(n) for n in free]
-    for d in dependencies:
-        chosen += [F.coalesce(f"p_{n}", f"r_{d.of}_{d.on}.{k}").alias(n) for n, k in ((d.of, "a"), (d.on, "b"))]
-    return members, out.select("group_key", "n_rows", *chosen)
-
-
-def _search_groups(joint: DataFrame, limit: int) -> DataFrame:
-    """``(group_key, a_val, b_val)`` of the best consistent pair of every group in ``joint``."""
-    # the bound: a value that cannot beat the best single row even with the best partner is out;
-    # which links occur together stays known, as other values may need it
-    a_ok = F.col("a_score") + F.col("b_most") >= F.col("reached")
-    b_ok = F.col("b_score") + F.col("a_most") >= F.col("reached")
-    columns = ["a_val", "a_link", "b_val", "b_link"]
-    kept = cut_lineage(
-        joint.withColumns({c: F.when(ok, F.col(c)) for ok, k in ((a_ok, "a"), (b_ok, "b")) for c in (f"{k}_val", f"{k}_score")})
-        .groupBy("group_key", "is_hot", *columns)
-        .agg(F.max("a_score").alias("a_score"), F.max("b_score").alias("b_score"))
-    )
-    rest = kept.where("NOT is_hot")
-    sizes = rest.groupBy("group_key").agg(F.count("*").alias("size"))
-    small = rest.join(sizes.where(F.col("size") <= limit).select("group_key"), "group_key", "left_semi")
-    large = rest.join(sizes.where(F.col("size") > limit).select("group_key"), "group_key", "left_semi").unionByName(kept.where("is_hot"))
-
-    @F.pandas_udf("a_val string, b_val string")
+        for n in (of, *(d.on for d in ds)):
+            chosen[n] = F.coalesce(f"p_{n}", f"m_{n}.v")
+
+    def bundle_struct(b: Bundle, v: Column) -> Column:
+        return F.struct(*(v[i].alias(f) for i, f in enumerate(b.fields))).alias(b.name)
+
+    merged = out.select("group_key", "n_rows", *(bundle_struct(b, chosen[b.name]) for b in bundles))
+    if linked:
+        merged = cut_lineage(merged)
+    alone = single.select("group_key", F.lit(1).cast("long").alias("n_rows"), *(bundle_struct(b, F.col(f"v_{b.name}")) for b in bundles))
+    return Representatives(alone.unionByName(merged), merged, base.select("group_key", "row_key"), repeated.select("group_key", "row_key"))
+
+
+def _link(b: Bundle, fields: Sequence[str], v: Column) -> Column:
+    """The values of some fields of a bundle; null if all are missing."""
+    parts = [v[b.fields.index(f)] for f in fields]
+    return F.when(F.coalesce(*parts).isNotNull(), F.array(*parts))
+
+
+def _best_row(by_name: dict, of: str, ds: Sequence[Dependency]) -> Column:
+    """The highest sum of the linked bundles' scores in one row that keeps the dependencies, with a hash of its values."""
+    names = [of, *(d.on for d in ds)]
+    keeps = F.lit(True)
+    for d in ds:
+        x, y = _link(by_name[of], d.of_fields, F.col(f"v_{of}")), _link(by_name[d.on], d.on_fields, F.col(f"v_{d.on}"))
+        keeps = keeps & (x.isNull() | y.isNotNull())
+    return F.max(F.when(keeps, F.struct(_sum([F.col(f"s_{n}") for n in names]).alias("s"), _hash([F.col(f"v_{n}") for n in names]).alias("h")))).alias(f"r_{of}")
+
+
+def _hash(values: Sequence[Column]) -> Column:
+    return F.xxhash64(*(F.transform(v, lambda x: F.coalesce(x, F.lit("\0"))) for v in values))
+
+
+def _solve(repeated: DataFrame, per_group: DataFrame, by_name: dict, of: str, ds: Sequence[Dependency], hot: Column, limit: int) -> DataFrame:
+    """``group_key, p_<bundle>...`` of the groups whose best linked values do not stand in one row."""
+    names = [of, *(d.on for d in ds)]
+    best = F.col(f"r_{of}")
+    closed = (best["s"] == _sum([F.col(f"m_{n}.s") for n in names])) & (best["h"] == _hash([F.col(f"m_{n}.v") for n in names]))
+    open_groups = per_group.where(~F.coalesce(closed, F.lit(False))).select("group_key", hot.alias("hot"), *(F.col(f"m_{d.on}").alias(f"most{k}") for k, d in enumerate(ds)))
+    sides = [("a", of, [f for d in ds for f in d.of_fields]), *((f"b{k}", d.on, d.on_fields) for k, d in enumerate(ds))]
+    if len({d.of_fields for d in ds}) > 1:
+        raise ValueError("the dependencies of a bundle start from the same fields")
+    sides[0] = ("a", of, list(ds[0].of_fields))
+    columns = []
+    for short, name, fields in sides:
+        v, s = F.col(f"v_{name}"), F.col(f"s_{name}")
+        columns += [v.alias(f"{short}_val"), _link(by_name[name], fields, v).alias(f"{short}_link"), s["q"].alias(f"{short}_q"), s["r"].alias(f"{short}_r")]
+    wide = repeated.drop("n_rows")
+    joint = join_skewed(wide, open_groups, "group_key", F.col("hot")).select("group_key", "is_hot", *columns).distinct()
+    joint = cut_lineage(joint)
+    rest = joint.where("NOT is_hot")
+    counts = rest.groupBy("group_key").agg(F.count("*").alias("size"))
+    small = rest.join(counts.where(F.col("size") <= limit).select("group_key"), "group_key", "left_semi")
+    large = rest.join(counts.where(F.col("size") > limit).select("group_key"), "group_key", "left_semi").unionByName(joint.where("is_hot"))
+    shorts = [short for short, *_ in sides]
+    shape = ", ".join(f"{x} array<string>" for x in shorts)
+
+    @F.pandas_udf(shape)
     def search(groups: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_search(rows) for rows in groups], columns=["a_val", "b_val"])
+        return pd.DataFrame([[list(v) for v in _search(rows, len(shorts) - 1)] for rows in groups], columns=shorts)
 
-    listed = small.groupBy("group_key").agg(F.collect_list(F.struct(*columns, "a_score", "b_score")).alias("rows"))
-    searched = listed.select("group_key", search("rows").alias("p")).select("group_key", "p.a_val", "p.b_val")
+    fields = [c for c in joint.columns if c not in ("group_key", "is_hot")]
+    searched = small.groupBy("group_key").agg(F.collect_list(F.struct(*fields)).alias("rows")).select("group_key", search("rows").alias("p")).select("group_key", *(f"p.{x}" for x in shorts))
+    found = searched.unionByName(_by_joins(large, open_groups, shorts))
+    return found.select("group_key", *(F.col(x).alias(f"p_{n}") for x, n in zip(shorts, names)))
 
-    side_a = large.where("a_score IS NOT NULL").groupBy("group_key", "a_link").agg(F.max(F.struct("a_score", "a_val")).alias("a"))
-    side_b = large.where("b_score IS NOT NULL").groupBy("group_key", "b_link").agg(F.max(F.struct("b_score", "b_val")).alias("b"))
-    joined = (
-        large.select("group_key", "a_link", "b_link").distinct()
-        .join(side_a, ["group_key", "a_link"]).join(side_b, ["group_key", "b_link"])
-        .groupBy("group_key")
-        .agg(F.max(F.struct((F.col("a.a_score") + F.col("b.b_score")).alias("s"), "a.a_val", "b.b_val")).alias("t"))
-        .select("group_key", "t.a_val", "t.b_val")
-    )
-    return searched.unionByName(joined)
+
+def _by_joins(large: DataFrame, open_groups: DataFrame, shorts: Sequence[str]) -> DataFrame:
+    """What the search finds, for groups of any size: best values per link, what links mean, and the best sum per group."""
+
+    def best(short: str) -> Column:
+        return F.max(F.struct(F.struct(F.col(f"{short}_q").alias("q"), F.col(f"{short}_r").alias("r")).alias("s"), F.col(f"{short}_val").alias("v")))
+
+    out = large.groupBy("group_key", "a_link").agg(best("a").alias("a")).join(open_groups.drop("hot"), "group_key")
+    for k, b in enumerate(shorts[1:]):
+        says = F.max(F.struct(F.struct(F.col(f"{b}_q").alias("q"), F.col(f"{b}_r").alias("r")).alias("s"), F.col(f"{b}_val").alias("v"), F.col(f"{b}_link").alias("l")))
+        meant = large.where(F.col("a_link").isNotNull() & F.col(f"{b}_link").isNotNull()).groupBy("group_key", "a_link").agg(says.alias("m")).select("group_key", "a_link", F.col("m.l").alias(f"{b}_link"))
+        per_link = large.where(F.col(f"{b}_link").isNotNull()).groupBy("group_key", f"{b}_link").agg(best(b).alias(b))
+        known = meant.join(per_link, ["group_key", f"{b}_link"]).drop(f"{b}_link")
+        out = out.join(known, ["group_key", "a_link"], "left").withColumn(b, F.coalesce(b, f"most{k}"))
+    total = _sum([F.col(f"{x}.s") for x in shorts])
+    won = F.max(F.struct(total.alias("total"), *(F.col(f"{x}.v").alias(x) for x in shorts)))
+    return out.groupBy("group_key").agg(won.alias("w")).select("group_key", *(f"w.{x}" for x in shorts))
 
 
 def flat_survivors(survivors: DataFrame, bundles: Sequence[Bundle], key: str = "group_key") -> DataFrame:
@@ -223,11 +306,26 @@ def flat_survivors(survivors: DataFrame, bundles: Sequence[Bundle], key: str = "
     return survivors.select(F.col("group_key").alias(key), "n_rows", *fields)
 
 
-def duplicate_pairs(members: DataFrame, survivors: DataFrame) -> DataFrame:
-    """All pairs ``row_a < row_b`` of the rows that one survivor of several rows stands for."""
-    merged = members.join(survivors.where(F.col("n_rows") > 1).select("group_key"), "group_key")
-    a, b = (merged.select("group_key", F.col("row_key").alias(x)) for x in ("row_a", "row_b"))
-    return a.join(b, "group_key").where(F.col("row_a") < F.col("row_b")).select("row_a", "row_b").distinct()
+def duplicate_classes(found: Representatives) -> DataFrame:
+    """One row ``(row_key, class_id, n_links)`` per row of a group of several: the group's smallest row and the number of its other rows."""
+    rows = found.duplicates.distinct()
+    per_group = rows.groupBy("group_key").agg(F.min("row_key").alias("class_id"), F.count("*").alias("n"))
+    classes = per_group.where("n > 1").join(found.merged.select("group_key"), "group_key")
+    hot = F.col("n") > HOT_ROWS
+    return join_skewed(rows, classes, "group_key", hot).select("row_key", "class_id", (F.col("n") - 1).alias("n_links"))
+
+
+def duplicate_pairs(found: Representatives) -> DataFrame:
+    """All pairs ``row_a < row_b`` of the rows that one survivor stands for.
+
+    A group of many rows is cut into parts of about PAIRED_ROWS, each of which meets all rows of
+    its group in a task of its own.
+    """
+    parts = F.ceil(F.col("n_links") / F.lit(float(PAIRED_ROWS))).cast("int")
+    classes = cut_lineage(duplicate_classes(found))
+    a = classes.select("class_id", F.pmod(F.xxhash64("row_key"), parts).cast("int").alias("part"), F.col("row_key").alias("row_a"))
+    b = classes.select("class_id", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("row_key").alias("row_b"))
+    return a.join(b, ["class_id", "part"]).where(F.col("row_a") < F.col("row_b")).select("row_a", "row_b")
 
 
 def resolve_by_name(df: DataFrame, identity: Column, name: Column, out: str = "resolved") -> DataFrame:
