@@ -105,11 +105,13 @@ def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard:
     """``(key, piece, size, container)``: every item in containers of ``capacity``.
 
     An item that fits is one piece (0) and whole. A longer one is cut into pieces of exactly
-    ``capacity`` and a rest. Items are spread by hash of the key over shards of about ``shard``
-    items; each shard is packed by minimum bin slack on the number of items per length, so the
-    space left over is at most that of a few last containers per shard. The container id is
-    unique over all shards and equal in every rerun over the same rows. ``n_items`` saves
-    counting items that are costly to make, such as token counts.
+    ``capacity``, each of which is a container at once, and a rest. Items that fit and rests, one
+    an item at most, are spread by hash over shards of about ``shard``; each shard is packed by
+    minimum bin slack on the number of pieces per length, so the space left over is at most
+    that of a few last containers per shard. Equal items, as those of a repeated row, are counted and
+    spread in parts. A container's name tells its shard or its full piece; names are unique
+    and equal in every rerun over the same rows. ``n_items`` saves counting items that are
+    costly to make, such as token counts.
 
     Items of size 0 or null go into their shard's first container; a null key is an item like
     any other; repeated rows are further items; an empty table gives an empty result; no other
@@ -120,28 +122,37 @@ def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard:
     shards = max(1, -(-(items.count() if n_items is None else n_items) // shard))
     kind = items.schema[key].dataType.simpleString()
     whole = items.select(F.col(key).alias("key"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("size"))
-    pieces = F.greatest(F.ceil(F.col("size") / F.lit(capacity)).cast("int"), F.lit(1))
-    piece = F.col("piece").cast("long")
-    cut = whole.select("key", "size", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece")).select(
-        "key", piece.alias("piece"), F.least(F.col("size") - piece * capacity, F.lit(capacity)).alias("size")
-    )
-    # the full pieces of a huge item are spread over the shards as well
-    spread = F.pmod(F.xxhash64("key", "piece"), F.lit(shards))
+    counted = whole.groupBy("key", "size").agg(F.count("*").alias("copies")).withColumn("full", F.floor(F.col("size") / F.lit(capacity)).cast("long"))
+    name = F.coalesce(F.col("key").cast("string"), F.lit(""))
+    full = (
+        counted.where("full > 0")
+        .select("key", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"), "full")
+        .select("key", "size", "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"))
+        .select("key", "piece", F.lit(capacity).cast("long").alias("size"), F.concat_ws("/", F.lit("full"), name, "size", "copy", "piece").alias("container"))
+    )
+    left = F.col("size") - F.col("full") * capacity
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / F.lit(shard)).cast("long"))
+    rests = (
+        counted.where((left > 0) | (F.col("size") == 0))
+        .select("key", "full", left.alias("left"), "copies", F.explode(parts).alias("part"))
+        .select("key", F.col("full").alias("piece"), F.col("left").alias("size"), F.least(F.lit(shard), F.col("copies") - F.col("part") * shard).alias("copies"), F.pmod(F.xxhash64("key", "full", "left", "part"), F.lit(shards)).alias("shard"))
+    )
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.loc[pdf.index.repeat(pdf["copies"])]
         pdf = pdf.sort_values(["size", "key", "piece"], kind="stable", na_position="first").reset_index(drop=True)
         rows: dict[int, list[int]] = {}
         for i, n in enumerate(pdf["size"].tolist()):
             rows.setdefault(n, []).append(i)
-        container = [0] * len(pdf)
-        base, k = int(pdf["shard"].iloc[0]) << 32, 0
+        container, k = [0] * len(pdf), 0
         for content, times in pack({n: len(x) for n, x in rows.items()}, capacity):
             for _ in range(times):
                 for n, c in content.items():
                     for _ in range(c):
                         container[rows[n].pop()] = k
                 k += 1
-        return pdf[["key", "piece", "size"]].assign(container=[base + c for c in container])
+        shard_name = f"shard/{int(pdf['shard'].iloc[0])}/"
+        return pdf[["key", "piece", "size"]].assign(container=[f"{shard_name}{c}" for c in container])
 
-    out = cut.withColumn("shard", spread).groupBy("shard").applyInPandas(place, f"key {kind}, piece bigint, size bigint, container bigint")
-    return out.withColumnRenamed("key", key)
+    packed = rests.groupBy("shard").applyInPandas(place, f"key {kind}, piece bigint, size bigint, container string")
+    return packed.unionByName(full).withColumnRenamed("key", key)

@@ -18,14 +18,16 @@ from slidemill.llm.encoding import garbled_documents
 from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
 from slidemill.llm.leakage import leaked_passages, without_leaks
 from slidemill.llm.representative import Bundle, Dependency, Representatives, best_representatives, duplicate_classes, duplicate_pairs, flat_survivors, resolve_by_name
-from slidemill.llm.sampling import stable_sample
+from slidemill.llm.sampling import raised, rate_table, stable_sample
 from slidemill.llm.splits import balanced_splits, related_groups, share_report
 from slidemill.session import cut_lineage
 from slidemill.sources.tables import table
 
 CELL_FIELDS = ["cell_type", "intensity", "quantity"]
-#: Shares of the images of a label that are sampled.
-SAMPLE_RATES = {"train": 0.05, "val": 0.2, "test": 0.2}
+#: Shares of the images of a label that are sampled: those stored with the first release, and those wanted now.
+FIRST_RATES = {"train": 0.05, "val": 0.2, "test": 0.2}
+SAMPLE_RATES = {"train": 0.1, "val": 0.1, "test": 0.25}
+SALT = "release"
 #: Trust in a reliability score, higher is better.
 RELIABILITY_TRUST = {"enhanced": 3, "supported": 2, "approved": 2, "uncertain": 1}
 SPLIT_SHARES = {"train": 0.7, "val": 0.1, "test": 0.2}
@@ -48,17 +50,26 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_frequencies(spark, folder).where(F.col("mark").isNotNull()).select("field", "val", "mark")
 
 
-def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
+def image_choices(spark: SparkSession, folder: str, stored: dict[str, float], rates: dict[str, float]) -> DataFrame:
+    """The images of the dataset sampled by label, with the labels that they were chosen for before and are chosen for now."""
     data = table(spark, folder, "dataset")
     label, version = label_identity(F.col("set")), version_identity(F.col("split_version"))
-    earlier = F.array(label_identity(F.col("set_v1")), F.when(version == "v1", label))
-    current = F.array(F.when(version == "v2", label))
-    out = stable_sample(data, image_identity(F.col("image_id")), label, earlier, current, SAMPLE_RATES, salt="release")
+    earlier = F.array_compact(F.array(label_identity(F.col("set_v1")), F.when(version == "v1", label)))
+    current = F.array_compact(F.array(F.when(version == "v2", label)))
+    thresholds = raised(rate_table(spark, stored), rate_table(spark, rates))
+    out = stable_sample(data, image_identity(F.col("image_id")), earlier, current, thresholds, salt=SALT)
     return out.withColumnRenamed("sample_key", "image_id")
 
 
+def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
+    out = image_choices(spark, folder, FIRST_RATES, SAMPLE_RATES)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("earlier", "current")})
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_sample(spark, folder).where("kept = false").select("image_id")
+    # the split itself is the choice: all images of a label are chosen for it, in every release
+    whole = dict.fromkeys(SPLIT_SHARES, 1.0)
+    return image_choices(spark, folder, whole, whole).where("kept = false").select("image_id")
 
 
 def image_bundles() -> list[Bundle]:
@@ -197,6 +208,27 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return fill_containers(sizes, "doc_id", "tokens", CONTAINER_TOKENS, n_items=documents.count())
 
 
+def p8_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts that prove the containers: every document whole in them, none over its capacity, hardly any room left."""
+    documents = table(spark, folder, "documents")
+    sizes = cut_lineage(token_counts(documents, "doc_id", "text", f"{TOKENIZERS}/{VOCABULARY}"))
+    pieces = cut_lineage(fill_containers(sizes, "doc_id", "tokens", CONTAINER_TOKENS))
+    per_document = pieces.groupBy("doc_id").agg(F.sum("size").alias("placed"), F.count("*").alias("n_pieces"))
+    least = F.greatest(F.ceil(F.col("tokens") / F.lit(CONTAINER_TOKENS)), F.lit(1))
+    placed = sizes.join(per_document, "doc_id", "left")
+    filled = pieces.where("size > 0").groupBy("container").agg(F.sum("size").alias("used"))
+    slack = F.count("*") * CONTAINER_TOKENS - F.coalesce(F.sum("used"), F.lit(0))
+    # what may be left over: a container and a fiftieth
+    much = slack > CONTAINER_TOKENS + F.count("*") * CONTAINER_TOKENS / 50
+    return (
+        placed.agg(F.lit("documents").alias("check"), F.count("*").alias("n"))
+        .unionByName(placed.agg(F.lit("documents not whole").alias("check"), F.count(F.when(~F.coalesce(F.col("tokens") == F.col("placed"), F.lit(False)), 1)).alias("n")))
+        .unionByName(placed.agg(F.lit("documents cut without need").alias("check"), F.count(F.when(F.col("n_pieces") > least, 1)).alias("n")))
+        .unionByName(filled.agg(F.lit("containers over capacity").alias("check"), F.count(F.when(F.col("used") > CONTAINER_TOKENS, 1)).alias("n")))
+        .unionByName(filled.agg(F.lit("much room left").alias("check"), much.cast("long").alias("n")))
+    )
+
+
 def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
@@ -224,6 +256,7 @@ QUERIES = {
     "p6_shares": p6_shares,
     "p6_checks": p6_checks,
     "p8_containers": p8_containers,
+    "p8_checks": p8_checks,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
     "p9_clean": p9_clean,
@@ -291,6 +324,12 @@ def _survivors(key: str, groups: str, name: str, moment: str, bundles: dict, sta
     return sql + f", n AS (SELECT g, count(*) AS n_rows FROM r GROUP BY g) SELECT g AS {key}, n_rows, {plain} FROM w JOIN n USING (g){free}"
 
 
+_PASSAGES = """
+WITH d AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents)),
+e AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS j FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items)),
+hits AS (SELECT DISTINCT doc_id, item_id, i, j FROM (SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS g FROM d) JOIN (SELECT item_id, j, array_to_string(w[j:j+7], ' ') AS g FROM e) USING (g))
+"""
+
 ORACLE = {
     "p1_found": _FREQUENCIES + "SELECT field, val, mark FROM marked WHERE mark IS NOT NULL",
     "p1_frequencies": _FREQUENCIES + "SELECT * FROM marked",
@@ -299,6 +338,18 @@ WITH r AS (SELECT {_IMAGE.format("image_id")} AS image_id, {_LABEL.format('"set"
 e AS (SELECT image_id, before AS label FROM r WHERE before IS NOT NULL UNION SELECT image_id, label FROM r WHERE v = 'v1' AND label IS NOT NULL),
 c AS (SELECT DISTINCT image_id, label FROM r WHERE v = 'v2' AND label IS NOT NULL)
 SELECT DISTINCT e.image_id FROM e JOIN c ON e.image_id = c.image_id AND e.label <> c.label""",
+    "p2_sample": f"""
+WITH r AS (SELECT {_IMAGE.format("image_id")} AS image_id, {_LABEL.format('"set"')} AS label, {_LABEL.format("set_v1")} AS before, {_VERSION.format("split_version")} AS v FROM dataset),
+s AS (SELECT image_id, before AS stratum, true AS e FROM r WHERE before IS NOT NULL UNION SELECT image_id, label, true FROM r WHERE v = 'v1' AND label IS NOT NULL
+ UNION SELECT image_id, label, false FROM r WHERE v = 'v2' AND label IS NOT NULL
+ UNION SELECT image_id, NULL, false FROM r WHERE before IS NULL AND (label IS NULL OR v IS NULL)),
+t AS (SELECT *, CAST('0x' || substr(md5('{SALT}:' || image_id), 1, 13) AS BIGINT) / 4503599627370496.0 AS unit,
+  CASE stratum {" ".join(f"WHEN '{k}' THEN {r}" for k, r in FIRST_RATES.items())} ELSE 0.1 END AS was,
+  CASE stratum {" ".join(f"WHEN '{k}' THEN {max(r, FIRST_RATES[k])}" for k, r in SAMPLE_RATES.items())} ELSE 0.1 END AS level FROM s WHERE image_id IS NOT NULL),
+k AS (SELECT image_id, any_value(unit) AS unit, max(level)::DOUBLE AS threshold,
+  coalesce(string_agg(DISTINCT stratum, ',' ORDER BY stratum) FILTER (e AND unit < was), '') AS earlier, coalesce(string_agg(DISTINCT stratum, ',' ORDER BY stratum) FILTER (NOT e AND unit < level), '') AS current,
+  count(DISTINCT stratum) FILTER (unit < CASE WHEN e THEN was ELSE level END) AS n FROM t GROUP BY image_id)
+SELECT image_id, unit, threshold, unit < threshold AS sampled, earlier, current, CASE WHEN earlier <> '' AND current <> '' THEN n = 1 END AS kept FROM k""",
     "p3_found": f"WITH {_GROUPED}" + _PAIRS.format("images", "i") + " UNION ALL " + _PAIRS.format("antibodies", "a"),
     "p3_classes": f"WITH {_GROUPED}" + " UNION ALL ".join(
         f"SELECT '{n}' AS src_table, row_id, min(row_id) OVER w AS class_id, count(*) OVER w - 1 AS n_links FROM {t} WHERE g IS NOT NULL WINDOW w AS (PARTITION BY g) QUALIFY count(*) OVER w > 1"
@@ -329,10 +380,13 @@ WITH r AS (SELECT {_ANTIBODY.format("antibody_id")} AS ab, nullif({_NORMAL.forma
 SELECT 'rows with a split' AS "check", count(*) AS n FROM r WHERE ab IS NOT NULL
 UNION ALL SELECT 'tissues', count(DISTINCT coalesce(tissue, '')) FROM r WHERE ab IS NOT NULL
 UNION ALL SELECT unnest(['antibody_id in several splits', 'ensembl_id in several splits', 'all rows off by over a point', 'large tissues off by over a point']), 0""",
-    "p9_found": """
-WITH d AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents)),
-i AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items))
-SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, array_to_string(w[k:k+7], ' ') AS g FROM d) JOIN (SELECT item_id, array_to_string(w[k:k+7], ' ') AS g FROM i) USING (g)""",
+    "p8_checks": """SELECT 'documents' AS "check", count(*) AS n FROM documents
+UNION ALL SELECT unnest(['documents not whole', 'documents cut without need', 'containers over capacity', 'much room left']), 0""",
+    "p9_found": _PASSAGES + "SELECT DISTINCT doc_id, item_id FROM hits",
+    "p9_passages": _PASSAGES + """, runs AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS run FROM hits),
+long AS (SELECT doc_id, item_id, min(i) - 1 AS doc_word, min(j) - 1 AS item_word, count(*) + 7 AS n_words FROM runs GROUP BY doc_id, item_id, i - j, run)
+SELECT * FROM long QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_words DESC, doc_word, item_word) = 1""",
+    "p9_clean": _PASSAGES + "SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hits)",
 }
 
 

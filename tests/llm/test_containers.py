@@ -41,14 +41,15 @@ def test_pack_places_everything_once():
 
 def test_frame(spark):
     rng = random.Random(3)
-    data = [(k, rng.randrange(0, 120)) for k in range(2000)] + [(5000, 1050), (5001, 100), (None, 7), (6000, None), (1, 5), (1, 5)]
+    data = [(k, rng.randrange(0, 120)) for k in range(2000)] + [(5000, 1050), (5001, 100), (None, 7), (6000, None), (1, 5), (1, 5), (5002, 200), (5002, 200)] + [(7000, 25)] * 1500
     df = spark.createDataFrame(data, "id long, n long").withColumn("container", F.lit("clash"))
     out = fill_containers(df, "id", "n", 100, shard=700).collect()
     used, pieces = Counter(), defaultdict(list)
     for r in out:
         used[r.container] += r.size
         pieces[r.id].append(r.size)
-    assert max(used.values()) <= 100
+    assert max(used.values()) <= 100 and pieces[5002] == [100] * 4 and pieces[7000] == [25] * 1500
+    assert len({r.container for r in out if r.id == 7000}) > 370
     assert sorted(pieces[5000]) == [50] + [100] * 10 and pieces[5001] == [100] and pieces[None] == [7] and pieces[6000] == [0]
     assert sum(used.values()) == sum(n or 0 for _, n in data)
     assert len(used) <= sum(used.values()) / 100 * 1.02 + 6
@@ -59,7 +60,7 @@ def test_frame(spark):
 def test_edges(spark):
     df = spark.createDataFrame([(1, 3)], "id long, n long")
     assert fill_containers(df.limit(0), "id", "n", 10).count() == 0
-    assert fill_containers(df, "id", "n", 10).first().container == 0
+    assert fill_containers(df, "id", "n", 10).first().container == "shard/0/0"
     with pytest.raises(ValueError):
         fill_containers(df, "id", "n", 0)
 
