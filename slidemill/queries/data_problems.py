@@ -50,7 +50,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def entry_children(spark: SparkSession, folder: str) -> DataFrame:
     """The flat tables cells, tissues and patients of the raw entries, in one frame with their keys."""
-    rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS)
+    rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS, wanted=ENTRY_CHILDREN)
     child, item = F.lit(None).cast("string"), F.lit(None).cast("string")
     for path, (name, field) in ENTRY_CHILDREN.items():
         child = F.when(F.col("path") == path, name).otherwise(child)
@@ -75,6 +75,12 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("child", "entry_id", "antibody_id", "tissue", "item").distinct()
 
 
+def p5_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """How often every row of the flat tables occurs."""
+    rows = entry_children(spark, folder).where(F.col("item").isNotNull())
+    return rows.groupBy("child", "entry_id", "antibody_id", "tissue", "item").agg(F.count(F.lit(1)).alias("n"))
+
+
 def references(spark: SparkSession, folder: str) -> DataFrame:
     paths, data = table(spark, folder, "idr_ftp_paths"), table(spark, folder, "dataset")
 
@@ -123,7 +129,7 @@ def xml_antibodies(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(F.col("ordinal").alias("entry_id"), "antibody_id", "gene.ensembl_id", F.col("gene.name").alias("gene_name"), "reliability_score", F.size("blocks").alias("n_tissues"))
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_tables": entry_children, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
 
 _SPLIT = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS src_table, '{field}' AS field, row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM (
@@ -154,7 +160,46 @@ WITH refs AS (
   WHERE r.key IS NOT NULL AND (t.key IS NULL OR NOT t.alive OR t.first_period > r.period)
 )"""
 
+_STRIP = r"regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+_SNAKE = "payload"
+for _camel, _snake in (("cellType", "cell_type"), ("tissueCells", "tissue_cells"), ("ontologyTerms", "ontology_terms"), ("patientId", "patient_id")):
+    _SNAKE = f"replace({_SNAKE}, '{_camel}', '{_snake}')"
+
+
+def _items(x: str) -> str:
+    """A JSON value as a list: an array's items, an object alone, and what a text of JSON holds."""
+    plain = "CASE json_type({0}) WHEN 'ARRAY' THEN CAST({0} AS JSON[]) WHEN 'OBJECT' THEN [{0}] ELSE [] END"
+    return f"CASE WHEN json_type({x}) = 'VARCHAR' THEN {plain.format(f'CAST({x} ->> chr(36) AS JSON)')} ELSE {plain.format(x)} END"
+
+
+_AB = r"""CASE WHEN regexp_matches({0}, '^[^A-Za-z0-9]*[A-Za-z]{{3}}[^A-Za-z0-9]*[0-9]+[^A-Za-z0-9]*$') THEN
+ upper(regexp_extract({0}, '([A-Za-z]{{3}})', 1)) || regexp_extract({0}, '[A-Za-z]{{3}}[^A-Za-z0-9]*0*([0-9]+)', 1) ELSE trim({0}) END"""
+_PLAIN = "replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&apos;', chr(39)), '&amp;', '&')"
+_CHILDREN = f"""
+WITH j AS (SELECT entry_id, CASE WHEN json_valid(payload) THEN CAST({_SNAKE} AS JSON) END AS d FROM raw_entries WHERE lower(trim(fmt)) = 'json'),
+ja AS (SELECT entry_id, d -> '$.antibodies' AS a, json_exists(d, '$.antibodies.id') OR json_exists(d, '$.antibodies.tissues') AS alone FROM j WHERE d IS NOT NULL),
+jk AS (SELECT entry_id, a, unnest(json_keys(a)) AS k FROM ja WHERE json_type(a) = 'OBJECT' AND NOT alone),
+jb AS (SELECT entry_id, x ->> '$.id' AS ab, x -> '$.tissues' AS t FROM (SELECT entry_id, unnest({_items("a")}) AS x FROM ja WHERE alone OR json_type(a) <> 'OBJECT')
+  UNION ALL SELECT entry_id, k, a -> ('$."' || k || '".tissues') FROM jk),
+jt AS (SELECT entry_id, ab, unnest({_items("t")}) AS t FROM jb),
+x AS (SELECT entry_id, regexp_replace(regexp_replace(payload, '(?s)<!--.*?-->', '', 'g'), '(?s)<!\\[CDATA\\[(.*?)\\]\\]>', '\\1', 'g') AS p FROM raw_entries
+  WHERE lower(trim(fmt)) = 'xml' AND ends_with(rtrim(payload, E' \\n\\r\\t'), '</entry>')),
+xa AS (SELECT entry_id, unnest(regexp_extract_all(p, '(?s)<antibody\\s.*?</antibody>')) AS a FROM x),
+xd AS (SELECT entry_id, regexp_extract(a, '<antibody[^>]*?\\sid="([^"]*)"', 1) AS ab, unnest(regexp_extract_all(a, '(?s)<data[\\s>].*?</data>')) AS d FROM xa),
+xt AS (SELECT *, regexp_extract(d, '(?s)<tissue(?:\\s[^>]*)?>(.*?)</tissue>', 1) AS tissue, regexp_extract(d, '<tissue\\s[^>]*?ontologyTerms="([^"]*)"', 1) AS terms FROM xd),
+c AS (
+  SELECT 'cells' AS child, entry_id, ab, t ->> '$.tissue' AS tissue, i ->> '$.cell_type' AS item FROM (SELECT *, unnest({_items("(t -> '$.tissue_cells')")}) AS i FROM jt)
+  UNION ALL SELECT 'tissues', entry_id, ab, t ->> '$.tissue', t ->> '$.ontology_terms' FROM jt
+  UNION ALL SELECT 'patients', entry_id, ab, t ->> '$.tissue', i ->> '$.patient_id' FROM (SELECT *, unnest({_items("(t -> '$.patients')")}) AS i FROM jt)
+  UNION ALL SELECT 'cells', entry_id, ab, {_PLAIN.format("tissue")}, {_PLAIN.format("i")} FROM (SELECT *, unnest(regexp_extract_all(d, '(?s)<cellType>(.*?)</cellType>', 1)) AS i FROM xt)
+  UNION ALL SELECT 'tissues', entry_id, ab, {_PLAIN.format("tissue")}, {_PLAIN.format("terms")} FROM xt
+  UNION ALL SELECT 'patients', entry_id, ab, {_PLAIN.format("tissue")}, {_PLAIN.format("i")} FROM (SELECT *, unnest(regexp_extract_all(d, '(?s)<patientId>(.*?)</patientId>', 1)) AS i FROM xt)
+), s AS (SELECT child, entry_id, {_AB.format("ab")} AS antibody_id, {_STRIP.format("tissue")} AS tissue, nullif({_STRIP.format("item")}, '') AS item FROM c)
+"""
+
 ORACLE = {
+    "p5_found": _CHILDREN + "SELECT DISTINCT * FROM s WHERE item IS NOT NULL",
+    "p5_tables": _CHILDREN + "SELECT child, entry_id, antibody_id, tissue, item, count(*) AS n FROM s WHERE item IS NOT NULL GROUP BY ALL",
     "p4_found": _SPLIT,
     "p7_found": _ORPHANS + " SELECT DISTINCT ref_field, regexp_extract(key, '([^/:]+)$', 1) AS image_id, period FROM orphans",
     "p7_report": _ORPHANS + " SELECT ref_field, period, reason, count(*) AS n_references, count(DISTINCT key) AS n_keys FROM orphans GROUP BY ALL",
