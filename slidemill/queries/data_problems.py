@@ -50,7 +50,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def entry_children(spark: SparkSession, folder: str) -> DataFrame:
     """The flat tables cells, tissues and patients of the raw entries, in one frame with their keys."""
-    rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS, wanted=ENTRY_CHILDREN)
+    rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS, wanted={path: [field, "tissue", "tissue.text"] for path, (_, field) in ENTRY_CHILDREN.items()})
     child, item = F.lit(None).cast("string"), F.lit(None).cast("string")
     for path, (name, field) in ENTRY_CHILDREN.items():
         child = F.when(F.col("path") == path, name).otherwise(child)
