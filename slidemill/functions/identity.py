@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: White space of any kind: control blanks, no-break and other Unicode separators.
 BLANK = r"[\s\p{Z}\x{0B}\x{85}]"
+#: The same characters one by one.
+BLANKS = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 # The accepted spellings of labels and versions, after lower-casing
 # and removing everything but letters and digits.
@@ -28,7 +30,7 @@ def none_if(value: Column, empty: str = "") -> Column:
 
 def strip_blank(value: Column) -> Column:
     """Without outer white space of any kind."""
-    return F.regexp_replace(value, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(value, F.lit(BLANKS))
 
 
 def squash_blank(value: Column) -> Column:

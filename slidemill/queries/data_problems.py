@@ -51,15 +51,13 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 def entry_children(spark: SparkSession, folder: str) -> DataFrame:
     """The flat tables cells, tissues and patients of the raw entries, in one frame with their keys."""
     rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS, wanted={path: [field, "tissue", "tissue.text"] for path, (_, field) in ENTRY_CHILDREN.items()})
-    child, item = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for path, (name, field) in ENTRY_CHILDREN.items():
+    child, item = F.lit(None).cast("string"), F.coalesce(*(F.col("fields")[f] for f in dict.fromkeys(f for _, f in ENTRY_CHILDREN.values())))
+    for path, (name, _) in ENTRY_CHILDREN.items():
         child = F.when(F.col("path") == path, name).otherwise(child)
-        item = F.when(F.col("path") == path, F.col("fields")[field]).otherwise(item)
     tissue = F.coalesce(F.col("above")["tissue"], F.col("fields")["tissue"], F.col("fields")["tissue.text"])
     antibody = F.col("above")["antibody"]
     return (
-        rows.where(F.col("path").isin(list(ENTRY_CHILDREN)))
-        .select(
+        rows.select(
             child.alias("child"),
             F.col("entry").alias("entry_id"),
             F.coalesce(antibody_identity(antibody), strip_blank(antibody)).alias("antibody_id"),
