@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,21 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def p4_unquoted(spark: SparkSession, folder: str) -> DataFrame:
+    """Values with a delimiter that stand elsewhere without quotes: kept whole where another delimiter separates them, else cut."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(F.col("n_nationkey").cast("long").alias("key"), "n_name", "r_name")
+    forms = {
+        0: F.concat_ws("", F.lit('"'), "n_name", F.lit(", "), "r_name", F.lit('"')),
+        100: F.concat_ws("", F.lit('"'), "n_name", F.lit("; "), "r_name", F.lit('"')),
+        200: F.concat_ws("", "n_name", F.lit(", "), "r_name", F.lit("; "), F.col("key").cast("string")),
+        300: F.concat_ws("; ", "n_name", "r_name", F.col("key").cast("string")),
+        400: F.concat_ws(", ", "n_name", "r_name"),
+    }
+    rows = [places.select((F.col("key") + k).alias("row_id"), text.alias("places")) for k, text in forms.items()]
+    return split_packed(reduce(DataFrame.unionByName, rows), "places", ["row_id"])
+
+
 def entry_children(spark: SparkSession, folder: str) -> DataFrame:
     """The flat tables cells, tissues and patients of the raw entries, in one frame with their keys."""
     rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS, wanted={path: [field, "tissue", "tissue.text"] for path, (_, field) in ENTRY_CHILDREN.items()})
@@ -127,7 +144,7 @@ def xml_antibodies(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(F.col("ordinal").alias("entry_id"), "antibody_id", "gene.ensembl_id", F.col("gene.name").alias("gene_name"), "reliability_score", F.size("blocks").alias("n_tissues"))
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
+QUERIES = {"p4_found": p4_found, "p4_unquoted": p4_unquoted, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
 
 _SPLIT = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS src_table, '{field}' AS field, row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM (
@@ -199,6 +216,11 @@ ORACLE = {
     "p5_found": _CHILDREN + "SELECT DISTINCT * FROM s WHERE item IS NOT NULL",
     "p5_tables": _CHILDREN + "SELECT child, entry_id, antibody_id, tissue, item, count(*) AS n FROM s WHERE item IS NOT NULL GROUP BY ALL",
     "p4_found": _SPLIT,
+    "p4_unquoted": """
+WITH p AS (SELECT CAST(n_nationkey AS BIGINT) AS k, n_name AS n, r_name AS r, CAST(n_nationkey AS VARCHAR) AS t FROM nation JOIN region ON n_regionkey = r_regionkey),
+v AS (SELECT k AS row_id, [n || ', ' || r] AS v FROM p UNION ALL SELECT k + 100, [n || '; ' || r] FROM p UNION ALL SELECT k + 200, [n || ', ' || r, t] FROM p
+ UNION ALL SELECT k + 300, [n, r, t] FROM p UNION ALL SELECT k + 400, [n, r] FROM p)
+SELECT row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM v""",
     "p7_found": _ORPHANS + " SELECT DISTINCT ref_field, regexp_extract(key, '([^/:]+)$', 1) AS image_id, period FROM orphans",
     "p7_report": _ORPHANS + " SELECT ref_field, period, reason, count(*) AS n_references, count(DISTINCT key) AS n_keys FROM orphans GROUP BY ALL",
 }
