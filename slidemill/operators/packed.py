@@ -160,11 +160,14 @@ def span_counts(df: DataFrame, column: str) -> DataFrame:
     return quoted.where(F.col("v").rlike(_DELIMITER) & ~F.col("v").contains('"')).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def slot_counts(df: DataFrame, column: str) -> DataFrame:
-    """``(v, n)``: the values without quotes between delimiters, with how often each occurs in all rows."""
-    bare = F.regexp_replace(F.regexp_replace(F.col(column), f'"{_INNER}"', ""), r"(?s)^\s*[\[{](.*)[\]}]\s*$", "$1")
-    values = F.explode(F.split(bare, _DELIMITER))
-    return df.select(values.alias("v")).select(F.trim("v").alias("v")).where("v <> ''").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+def plain_slots(df: DataFrame, column: str) -> DataFrame:
+    """``v``, a row per value without quotes between delimiters. Patterns run only over fields that hold what they look for."""
+    bare = F.when(F.col(column).contains('"'), F.regexp_replace(F.col(column), f'"{_INNER}"', "")).otherwise(F.col(column))
+    bracketed = bare.contains("[") | bare.contains("{")
+    bare = F.when(bracketed, F.regexp_replace(bare, r"(?s)^\s*[\[{](.*)[\]}]\s*$", "$1")).otherwise(bare)
+    bare = F.when(bare.contains("/"), F.regexp_replace(bare, r"\s/(?=\s)", ";")).otherwise(bare)
+    values = F.explode(F.split(F.translate(bare, DELIMITERS, ";" * len(DELIMITERS)), ";"))
+    return df.select(values.alias("v")).select(F.trim("v").alias("v")).where("v <> ''")
 
 
 def _parts(spans: DataFrame) -> DataFrame:
@@ -182,9 +185,8 @@ def learned(df: DataFrame, column: str, limit: int = DICTIONARY_LIMIT) -> Dictio
         return None
     if not found:
         return Dictionary()
-    slots_of = slot_counts(df, column)
-    marked = slots_of.join(F.broadcast(_parts(spans.sparkSession.createDataFrame(found, "v string, n long"))).withColumn("part", F.lit(True)), "v", "left")
-    told = marked.groupBy(F.when(F.col("part"), F.col("v")).alias("v")).agg(F.sum("n").alias("n")).collect()
+    parts = _parts(df.sparkSession.createDataFrame(found, "v string, n long")).withColumn("part", F.col("v"))
+    told = plain_slots(df, column).join(F.broadcast(parts), "v", "left").groupBy(F.col("part").alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r.v: r.n for r in told if r.v is not None}
     return Dictionary({r.v: r.n for r in found}, counts, sum(r.n for r in told) + sum(r.n for r in found))
 
@@ -207,7 +209,7 @@ def known_by_text(df: DataFrame, column: str) -> DataFrame:
     """
     spans = span_counts(df, column)
     sizes = sorted(r.s for r in spans.select(F.size(F.split("v", _DELIMITER)).alias("s")).distinct().collect())
-    total = slot_counts(df, column).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar() + spans.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    total = plain_slots(df, column).agg(F.count(F.lit(1))).scalar() + spans.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
 
     def list_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -217,7 +219,8 @@ def known_by_text(df: DataFrame, column: str) -> DataFrame:
     texts = df.select(F.col(column).cast("string").alias("text")).where(F.col("text").rlike(_DELIMITER)).groupBy("text").agg(F.count(F.lit(1)).alias("rows"))
     held = texts.select("text").mapInArrow(list_windows, "text string, v string").join(spans, "v").select("text", "v", "n", F.lit(True).alias("span"))
     needed = held.select("text", F.explode(F.split("v", _DELIMITER)).alias("v")).select("text", F.trim("v").alias("v")).where("v <> ''").distinct()
-    plain = needed.join(slot_counts(df, column), "v").select("text", "v", "n", F.lit(False).alias("span"))
+    counts = plain_slots(df, column).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    plain = needed.join(counts, "v").select("text", "v", "n", F.lit(False).alias("span"))
     whole = held.select("text").distinct().select("text", F.lit(None).cast("string").alias("v"), total.cast("long").alias("n"), F.lit(False).alias("span"))
     known = held.unionByName(plain).unionByName(whole).groupBy("text").agg(F.collect_list(F.struct("v", "n", "span")).alias("known"))
     return known.join(texts, "text")
@@ -246,7 +249,7 @@ def split_packed(df: DataFrame, column: str, keys: list[str], known: Dictionary
         known = learned(df, column, limit)
     own = df.select(*(F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)), F.col(f"`{column}`").cast("string").alias("text")).where(F.col("text").isNotNull())
     if known is not None:
-        return _exploded(own.withColumn("known", F.lit(None).cast("array<struct<v: string, n: bigint, span: boolean>>")), df, keys, known, least)
+        return _exploded(own, df, keys, known, least)
     held = cut_lineage(known_by_text(df, column))
     hot = F.col("rows") > HOT_ROWS
     with_known = join_skewed(own, held, "text", hot).select(*(c for c in own.columns), "known")
@@ -262,9 +265,11 @@ def _exploded(rows: DataFrame, df: DataFrame, keys: list[str], shared: Dictionar
         base = Segmenter(shared)
         for b in batches:
             at, pos, val = [], [], []
-            lists = [None] * b.num_rows if b.column(b.num_columns - 1).null_count == b.num_rows else b.column(b.num_columns - 1).to_pylist()
-            for i, (text, known) in enumerate(zip(b.column(len(names)).to_pylist(), lists)):
-                values = (base if known is None else _segmenter(_from_list(known))).cut(text)
+            cuts = map(base.cut, b.column(len(names)).to_pylist())
+            if b.num_columns > len(names) + 1:
+                lists = b.column(len(names) + 1).to_pylist()
+                cuts = ((base if k is None else _segmenter(_from_list(k))).cut(t) for t, k in zip(b.column(len(names)).to_pylist(), lists))
+            for i, values in enumerate(cuts):
                 if len(values) >= least:
                     at += [i] * len(values)
                     pos += range(1, len(values) + 1)
@@ -272,7 +277,7 @@ def _exploded(rows: DataFrame, df: DataFrame, keys: list[str], shared: Dictionar
             places = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([*(c.take(places) for c in b.columns[: len(names)]), pa.array(pos, pa.int64()), pa.array(val, pa.string())], names=[*names, "pos", "val"])
 
-    out = rows.select(*names, "text", "known").mapInArrow(explode, shape)
+    out = rows.mapInArrow(explode, shape)
     return out.select(*(F.col(n).alias(k) for n, k in zip(names, keys)), "pos", "val")
 
 
