@@ -15,15 +15,14 @@ from slidemill.functions.scalars import named_paths, source_urls
 from slidemill.images import work
 from slidemill.images.paths import crop_path, image_path, mask_path
 from slidemill.operators import annotate, quality
-from slidemill.operators.folders import document_aggregate, gene_documents
-from slidemill.operators.relational import value_counts
-from slidemill.operators.split import check_split_version
+from slidemill.operators.folders import document_aggregate, parent_folders
+from slidemill.operators.relational import keep_first, value_counts
+from slidemill.operators.split import attach_legacy_set, check_split_version
 from slidemill.plans import pipeline
-from slidemill.queries.table_ops import PILOT_TISSUES
-from slidemill.session import build_session
-from slidemill.sources import sinks
-from slidemill.sources.atlas_xml import atlas_tables, parse_counts, read_entries
-from slidemill.sources.files import existing_paths, exists, fetch_if_absent, list_files, mirror_table, read_csv, read_locations, read_path_map
+from slidemill.session import build_session, cut_lineage
+from slidemill.sources import sinks, store
+from slidemill.sources.atlas_xml import antibody_rows, atlas_tables, gene_trees, parse_counts, read_entries
+from slidemill.sources.files import existing_paths, exists, fetch_if_absent, files_in, list_files, mirror_table, read_csv, read_locations, read_path_map
 
 
 def numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -36,8 +35,7 @@ def log_rows(df: DataFrame, path: str | None) -> None:
     lines = ["\t".join(df.columns), *("\t".join(map(str, r)) for r in df.collect())]
     print(*lines, sep="\n")
     if path:
-        with open(path, "a") as f:
-            print(*lines, sep="\n", file=f)
+        store.append_text(path, "\n".join([*lines, ""]))
 
 
 def crawl(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -48,18 +46,21 @@ def crawl(spark: SparkSession, a: argparse.Namespace) -> int:
         for name, df in tables.items():
             sinks.write_csv(df, f"{a.output_dir}/metadata/{name}")
     if a.format in ("json", "all"):
-        docs = gene_documents(tables["antibodies"].withColumn("ordinal", F.monotonically_increasing_id()))
-        sinks.write_json_lines(docs, f"{a.output_dir}/genes")
+        docs = gene_trees(antibody_rows(read_entries(spark, a.xml_file))).cache()
+        sinks.write_json_lines(docs, f"{a.output_dir}/metadata/full_data")
+        report = sinks.write_documents(docs.withColumn("folder", F.lit("metadata/gene_documents")), a.output_dir, "folder", "ensembl_id").cache()
+        sinks.write_report(report, a.output_dir, "gene_json_failures", ["failed"])
     if a.format in ("img_json", "all"):
         docs = document_aggregate(tables["images"]).withColumn("folder", F.concat_ws("/", "local_path", F.lit("metadata")))
         report = sinks.write_documents(docs, a.output_dir, "folder", "image_id").cache()
         sinks.write_report(report, a.output_dir, "image_json_failures", ["failed"])
+        known = mirror if mirror is not None else spark.createDataFrame([], "image_id string, ftp_path string")
+        sinks.write_json_lines(parent_folders(tables["images"], known), f"{a.output_dir}/metadata/parent_folder_mapping")
     return 0
 
 
 def mirror(spark: SparkSession, a: argparse.Namespace) -> int:
-    files = [os.path.join(a.idr_dir, f) for f in sorted(os.listdir(a.idr_dir)) if f.endswith(".csv")]
-    sinks.write_csv(mirror_table(spark, files, a.listing, a.listing_root), a.output)
+    sinks.write_csv(mirror_table(spark, files_in(spark, a.idr_dir, ".csv"), a.listing, a.listing_root), a.output)
     return 0
 
 
@@ -75,28 +76,31 @@ def dataset(spark: SparkSession, a: argparse.Namespace) -> int:
     images, antibodies = numbered(spark, a.images_csv), read_csv(spark, a.antibodies_csv)
     paths = numbered(spark, a.idr_table) if a.idr_table else None
     log = pipeline.StepLog("full")
-    full = pipeline.build_full(images, pipeline.guard_scores(antibodies), paths, a.source, a.seed, fractions, a.duplicate_policy, earlier, old, a.mirror_url, log)
+    report = lambda rows: sinks.write_csv(rows, f"{a.out_dir}/duplicate_report", single=True)
+    selected = pipeline.select_images(images, pipeline.guard_scores(antibodies), paths, a.source, a.seed, a.duplicate_policy, a.mirror_url, log, report)
+    selected = cut_lineage(selected)
     if a.stage in ("full", "both"):
-        sinks.write_csv(pipeline.finalize(full), f"{a.out_dir}/{a.full_output}")
+        sinks.write_csv(pipeline.finalize(pipeline.build_full(selected, a.seed, fractions, earlier, old)), f"{a.out_dir}/{a.full_output}")
     if a.stage in ("pilot", "both"):
         exclude = read_csv(spark, a.exclude_ids) if a.exclude_ids else None
-        pilot = pipeline.build_pilot(full, PILOT_TISSUES, a.seed, fractions, exclude=exclude, earlier=earlier, log=log)
+        labelled = selected if old is None else attach_legacy_set(selected, old, "row_id")
+        pilot = pipeline.build_pilot(labelled, pipeline.PILOT_TISSUES, a.seed, fractions, exclude=exclude, earlier=earlier, log=log)
         sinks.write_csv(pipeline.finalize(pilot), f"{a.out_dir}/{a.pilot_output}")
     log_rows(log.frame(), a.log_file)
     if a.save_plots:
         for column in ("tissue", "organ"):
-            sinks.write_csv(value_counts(full, column).orderBy(F.desc("n"), "value"), f"{a.plot_dir}/{column}_counts", single=True)
+            sinks.write_csv(value_counts(selected, column).orderBy(F.desc("n"), "value"), f"{a.plot_dir}/{column}_counts", single=True)
     return 0
 
 
 def checks(spark: SparkSession, a: argparse.Namespace) -> int:
     frames = {n: read_csv(spark, p) for n, p in named_paths(a.dataset).items()}
     fractions = tuple(float(x) for x in a.fracs.split(","))
-    stained = read_csv(spark, a.metadata) if a.metadata else None
+    stained = numbered(spark, a.metadata) if a.metadata else None
     results = []
     for name, df in frames.items():
         if stained is not None:
-            df = df.join(stained.select("image_id", "stained").dropDuplicates(["image_id"]), "image_id", "left")
+            df = df.join(keep_first(stained, ["image_id"], ["row_id"]).select("image_id", "stained"), "image_id", "left")
         results.append(quality.check_dataset(name, df, fractions, a.tissue_tol, a.strata_tol, "stained" if stained is not None else None, a.year_tvd))
     if len(frames) > 1:
         pairs = quality.gene_agreement(frames)
@@ -112,7 +116,7 @@ def annotations(spark: SparkSession, a: argparse.Namespace) -> int:
     cells, tissues = (numbered(spark, f"{a.metadata_dir}/{n}") for n in ("cells", "tissues"))
     patients = numbered(spark, f"{a.metadata_dir}/patients") if exists(spark, f"{a.metadata_dir}/patients") else None
     per_cell = annotate.cell_annotations(data, cells).cache()
-    per_image = annotate.image_annotations(data, per_cell, patients, tissues)
+    per_image = annotate.image_annotations(data, cells, patients, tissues)
     outputs = {"cell_annotations": per_cell, "cell_types": annotate.cell_vocabulary(per_cell).orderBy(F.desc("n_images"), "cell_type")}
     if a.subcellular_tsv:
         if a.subcellular_url:

@@ -12,7 +12,7 @@ STAINING_CODES = {"not detected": 0, "low": 1, "medium": 2, "high": 3}
 INTENSITY_CODES = {"negative": 0, "weak": 1, "moderate": 2, "strong": 3}
 QUANTITY_CODES = {"none": 0, "<25%": 1, "25%-75%": 2, "25-75%": 2, "25% - 75%": 2, ">75%": 3}
 # First bytes of a TIFF file and its least size in bytes.
-TIFF_MAGIC = (bytes.fromhex("49492a00"), bytes.fromhex("4d4d002a"))
+TIFF_MAGIC = (b"II*\0", b"MM\0*")
 TIFF_LEAST_BYTES = 1024
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import io
 import os
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from slidemill.functions.scalars import TIFF_LEAST_BYTES, TIFF_MAGIC
 from slidemill.images import mask as masks
 from slidemill.images import png, tiff
+from slidemill.sources import store
 
 #: ``(url, timeout) -> (status code, content type, body, announced length or None)``
 Fetcher = Callable[[str, float], tuple[int, str, bytes, int | None]]
@@ -38,22 +38,9 @@ def http_fetch(url: str, timeout: float) -> tuple[int, str, bytes, int | None]:
         return e.code, "", b"", None
 
 
-def write_atomic(path: str, data: bytes) -> None:
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    part = f"{path}.{uuid.uuid4().hex}.part"
-    try:
-        with open(part, "wb") as f:
-            f.write(data)
-        os.replace(part, path)
-    finally:
-        if os.path.exists(part):
-            os.remove(part)
-
-
 def valid_file(path: str) -> bool:
     try:
-        with open(path, "rb") as f:
-            return os.path.getsize(path) >= TIFF_LEAST_BYTES and f.read(4) in TIFF_MAGIC
+        return (store.size(path) or 0) >= TIFF_LEAST_BYTES and store.read(path, 4) in TIFF_MAGIC
     except OSError:
         return False
 
@@ -90,23 +77,21 @@ def array_bytes(pixels: np.ndarray, path: str) -> bytes:
 def load_mask(path: str) -> np.ndarray:
     """A mask of .npy or .png as 0/1."""
     if path.endswith(".png"):
-        with open(path, "rb") as f:
-            pixels = png.decode(f.read())
+        pixels = png.decode(store.read(path))
         return ((pixels if pixels.ndim == 2 else pixels.max(axis=2)) > 0).astype(np.uint8)
     if not path.endswith(".npy"):
         raise ValueError(f"mask format of {os.path.basename(path)} is not supported")
-    return (np.load(path) > 0).astype(np.uint8)
+    return (np.load(io.BytesIO(store.read(path))) > 0).astype(np.uint8)
 
 
 def make_masks(paths: DataFrame, downsample: float = 0.2, least_area: int = 1000, parts: int | None = None) -> DataFrame:
     """``(path, status, message)`` for ``path, target``: ok, skipped, no_tissue or failed. A target of zero bytes is made again."""
 
     def work(path: str, target: str) -> tuple[str, str]:
-        if os.path.exists(target) and os.path.getsize(target) > 0:
+        if store.size(target):
             return "skipped", ""
-        with open(path, "rb") as f:
-            mask = masks.tissue_mask(tiff.decode(f.read()), downsample, least_area)
-        write_atomic(target, array_bytes(mask * 255 if target.endswith(".png") else mask, target))
+        mask = masks.tissue_mask(tiff.decode(store.read(path)), downsample, least_area)
+        store.write(target, array_bytes(mask * 255 if target.endswith(".png") else mask, target))
         return ("ok", "") if mask.any() else ("no_tissue", "empty mask")
 
     return _tasks(paths, work, parts)
@@ -116,16 +101,15 @@ def make_crops(paths: DataFrame, mask_of: Callable[[str], str], padding: int = 5
     """Crops of ``path`` to ``target`` (.npy, .tif or .png): ok, skipped, missing_mask, no_tissue or failed."""
 
     def work(path: str, target: str) -> tuple[str, str]:
-        if os.path.exists(target) and os.path.getsize(target) > 0:
+        if store.size(target):
             return "skipped", ""
-        if not os.path.exists(mask_of(path)):
+        if store.size(mask_of(path)) is None:
             return "missing_mask", mask_of(path)
-        with open(path, "rb") as f:
-            pixels = tiff.decode(f.read())
+        pixels = tiff.decode(store.read(path))
         part = masks.crop(pixels, load_mask(mask_of(path)), padding)
         if part is None:
             return "no_tissue", "empty mask"
-        write_atomic(target, array_bytes(part, target))
+        store.write(target, array_bytes(part, target))
         return "ok", ""
 
     return _tasks(paths, work, parts)
@@ -145,7 +129,7 @@ def fetch_image(url: str, target: str, fetch: Fetcher, timeout: float) -> tuple[
         return False, f"{len(body)} of {size} bytes", True
     if len(body) < TIFF_LEAST_BYTES or body[:4] not in TIFF_MAGIC:
         return False, "no TIFF", True
-    write_atomic(target, body)
+    store.write(target, body)
     return True, "", False
 
 
@@ -186,12 +170,11 @@ def verify(paths: DataFrame, delete_corrupt: bool = False, parts: int | None = N
     """``(path, status, message)``: ok, missing or corrupt after a full decode; corrupt files may be deleted."""
 
     def work(path: str, _: str) -> tuple[str, str]:
-        if not os.path.exists(path):
+        if store.size(path) is None:
             return "missing", ""
-        with open(path, "rb") as f:
-            fine, message = tiff.describe(f.read())
+        fine, message = tiff.describe(store.read(path))
         if not fine and delete_corrupt:
-            os.remove(path)
+            store.delete(path)
         return ("ok" if fine else "corrupt"), message
 
     return _tasks(paths.select("path", F.lit("").alias("target")), work, parts)

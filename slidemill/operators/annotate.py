@@ -67,22 +67,28 @@ def ontology_terms(tissues: DataFrame, key: Sequence[str] = SAMPLE_KEY) -> DataF
     return tissues.groupBy(*key).agg(sorted_join(terms).alias("ontology_terms"))
 
 
-def cells_per_image(annotations: DataFrame) -> DataFrame:
-    return annotations.groupBy("image_id").agg(
+def cells_per_sample(cells: DataFrame, order: str = "row_id", key: Sequence[str] = SAMPLE_KEY) -> DataFrame:
+    """The number and names of a sample's cell types and its highest codes; all images of a sample have the same."""
+    codes = {"staining": STAINING_CODES, "intensity": INTENSITY_CODES, "quantity": QUANTITY_CODES}
+    unique = distinct_first(cells.select(*key, "cell_type", *codes, *(["location"] if "location" in cells.columns else []), order), [*key, "cell_type"], order)
+    return unique.groupBy(*key).agg(
         F.count(F.lit(1)).cast("int").alias("n_cell_types"),
         sorted_join(F.collect_list("cell_type")).alias("cell_types"),
-        *(F.max(f"{c}_code").alias(f"max_{c}_code") for c in ("staining", "intensity", "quantity")),
+        *(F.max(ordinal_code(F.col(c), values)).alias(f"max_{c}_code") for c, values in codes.items()),
     )
 
 
-def image_annotations(dataset: DataFrame, annotations: DataFrame, patients: DataFrame | None, tissues: DataFrame, order: str = "row_id") -> DataFrame:
-    """One row per image: patient, ontology and cell aggregates, with defaults where there is nothing."""
+def image_annotations(dataset: DataFrame, cells: DataFrame, patients: DataFrame | None, tissues: DataFrame, order: str = "row_id") -> DataFrame:
+    """One row per image: patient, ontology and cell aggregates, with defaults where there is nothing.
+
+    Cells are aggregated by sample, so an image is joined to one row of them.
+    """
     out = pick(dataset, CARRIED, SPLIT_COLUMNS)
     if patients is not None:
         key = [*SAMPLE_KEY, "patient_id"]
         out = out.join(distinct_first(patients.select(*key, "sex", "age", order), key, order), key, "left")
         out = out.withColumns({c: filled(F.col(c)) for c in ("sex", "age")})
-    out = out.join(ontology_terms(tissues), list(SAMPLE_KEY), "left").join(cells_per_image(annotations), "image_id", "left")
+    out = out.join(ontology_terms(tissues), list(SAMPLE_KEY), "left").join(cells_per_sample(cells, order), list(SAMPLE_KEY), "left")
     return out.withColumns({
         "ontology_terms": filled(F.col("ontology_terms")),
         "n_cell_types": filled(F.col("n_cell_types"), 0),

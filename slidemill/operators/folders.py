@@ -61,6 +61,13 @@ def resolve_folders(images: DataFrame, mirror: DataFrame, order: str = "ordinal"
     return mirrored.drop("ftp_path").unionByName(placed.drop("__parent", "batch", "ftp_path"))
 
 
+def parent_folders(images: DataFrame, mirror: DataFrame, order: str = "ordinal") -> DataFrame:
+    """``(parent, batch)`` of the parents that ``resolve_folders`` takes from the web."""
+    deep = mirror.where(F.size(F.split("ftp_path", "/")) >= 3).select(F.col("image_id").alias("__id"))
+    web = images.join(deep, F.col("image_id") == F.col("__id"), "left_anti").withColumn("parent", web_parent(F.col("image_url"), F.col("antibody_id")))
+    return assign_batches(web.where(F.col("parent").isNotNull()), "parent", order)
+
+
 def document_aggregate(images: DataFrame, order: str = "ordinal") -> DataFrame:
     """One document per image: the first row's scalars, the first TIF's URL if the first row is no TIF, and its distinct tissues in order."""
     scalars = ["antibody_id", "ensembl_id", "gene_name", "patient_id", "local_path"]

@@ -51,6 +51,11 @@ def variation_distance(df: DataFrame, value: Column, column: str = "set", first:
     return shares.agg((F.coalesce(F.sum(F.abs(F.col("p") - F.col("q"))), F.lit(0.0)) * 0.5).alias("distance"))
 
 
+def year_share(df: DataFrame, value: Column, years: Sequence[str], column: str = "set") -> DataFrame:
+    """``(column, percent)``: the percentage of each set's rows whose value is one of the years; a missing value is none of them."""
+    return df.groupBy(column).agg((F.avg(F.coalesce(value.isin(list(years)), F.lit(False)).cast("int")) * 100).alias("percent"))
+
+
 def disjoint_check(df: DataFrame, key: str, column: str = "set") -> DataFrame:
     """Keys in several sets."""
     return df.groupBy(key).agg(F.countDistinct(column).alias("n_sets")).agg(F.sum((F.col("n_sets") > 1).cast("int")).alias("n_shared"))
@@ -88,8 +93,9 @@ def check_dataset(
     joint = deviations[0].unionByName(deviations[1]).agg(F.max_by(F.struct("worst_index", "worst_value", "deviation"), F.abs("deviation")).alias("w")).select("w.*")
     out.append(joint.select(F.lit("strata and source shares"), F.abs("deviation") <= strata_tolerance, worst))
     if stained is not None:
-        year = variation_distance(df, F.substring(stained, 1, 4))
-        out.append(year.select(F.lit("staining years"), F.col("distance") <= year_distance, F.format_string("distance %.3f", "distance")))
+        year = F.substring(stained, 1, 4)
+        far = reduce(DataFrame.union, (variation_distance(df, year, "set", "train", other) for other in SETS[1:])).agg(F.max("distance").alias("distance"))
+        out.append(far.select(F.lit("staining years"), F.col("distance") <= year_distance, F.format_string("distance %.3f", "distance")))
     return reduce(DataFrame.union, out).select(F.lit(name).alias("dataset"), "check", "ok", "detail")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,32 +76,37 @@ def keep_preferred(df: DataFrame, keys: Sequence[str], preferred: Column, order:
     return ranked.where("__rn = 1").drop("__rn")
 
 
-def duplicated(df: DataFrame, keys: Sequence[str], out: str = "duplicated") -> DataFrame:
-    """Adds whether the key occurs in several rows."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
-
-
-def resolve_duplicates(df: DataFrame, policy: str, key: str = "image_id", tissue: str = "tissue", precedence: Sequence[str] = ("Soft tissue 1",)) -> DataFrame:
+def resolve_duplicates(df: DataFrame, policy: str, key: str = "image_id", tissue: str = "tissue", precedence: Sequence[str] = ("Soft tissue 1",), report: Callable[[DataFrame], object] | None = None) -> DataFrame:
     """Rows with unique keys.
 
     ``drop`` removes every row of a repeated key; ``prefer`` keeps of it the row of a preferred
-    tissue if there is exactly one; ``fail`` raises if a key is repeated.
+    tissue if there is exactly one; ``fail`` raises if a key is repeated, after ``report`` was given
+    all rows of repeated keys. Rows without key count as one key. Keys are counted by
+    themselves, so no key's rows are brought together; only repeated keys are joined back.
     """
-    w = Window.partitionBy(key)
-    counted = df.withColumns({"__n": F.count(F.lit(1)).over(w), "__p": F.sum(F.col(tissue).isin(list(precedence)).cast("int")).over(w)})
+    if policy not in ("drop", "prefer", "fail"):
+        raise ValueError(f"unknown policy {policy!r}")
     if policy == "fail":
-        if repeated := counted.where("__n > 1").limit(1).collect():
+        if repeated := df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").orderBy(key).limit(1).collect():
+            if report:
+                report(duplicate_report(df, key, [key, tissue]))
             raise ValueError(f"repeated {key}: {repeated[0][key]}")
         return df
-    if policy not in ("drop", "prefer"):
-        raise ValueError(f"unknown policy {policy!r}")
-    single = F.col("__n") == 1
-    kept = single | (F.col(tissue).isin(list(precedence)) & (F.col("__p") == 1)) if policy == "prefer" else single
-    return counted.where(kept).drop("__n", "__p")
+    preferred = F.coalesce(F.col(tissue).isin(list(precedence)), F.lit(False))
+    counts = [F.count(F.lit(1)).alias("__n"), F.sum(preferred.cast("int")).alias("__p")]
+    repeated = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(*counts).where("__n > 1")
+    blank = df.where(F.col(key).isNull()).agg(*counts)
+    chosen = preferred if policy == "prefer" else F.lit(False)
+    kept = F.col("__n").isNull() | (chosen & (F.col("__p") == 1))
+    known = df.where(F.col(key).isNotNull()).join(repeated, F.col(key) == F.col("__key"), "left").where(kept).drop("__key", "__n", "__p")
+    alone, one = blank.select(F.col("__n") == 1).scalar(), blank.select(F.coalesce(F.col("__p"), F.lit(0)) == 1).scalar()
+    return known.unionByName(df.where(F.col(key).isNull()).where(alone | (chosen & one)))
 
 
 def duplicate_report(df: DataFrame, key: str = "image_id", order: Sequence[str] = ("image_id", "tissue")) -> DataFrame:
-    return duplicated(df, [key]).where("duplicated").drop("duplicated").orderBy(*order)
+    """All rows of repeated keys, in order; rows without key count as one key."""
+    repeated = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    return df.join(repeated, F.col(key).eqNullSafe(F.col("__key")), "left_semi").orderBy(*order)
 
 
 def best_per_group(df: DataFrame, group: Sequence[str], rank: Column, key: str, seed: int) -> DataFrame:
@@ -133,9 +138,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def step_counts(df: DataFrame, stage: str, step: str) -> DataFrame:
-    """One row of the step log: rows and distinct antibodies, genes and tissues."""
-    return df.agg(
-        F.count(F.lit(1)).alias("images"),
+    """One row of the step log: rows and distinct antibodies, genes and tissues, counted over their few combinations."""
+    return df.groupBy("antibody_id", "ensembl_id", "tissue").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("images"),
         F.countDistinct("antibody_id").alias("antibodies"),
         F.countDistinct("ensembl_id").alias("genes"),
         F.countDistinct("tissue").alias("tissues"),

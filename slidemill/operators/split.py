@@ -65,13 +65,13 @@ def stratified_holdout(ids: DataFrame, size: int, column: str = "antibody_id", s
 def split_antibodies(df: DataFrame, fractions: Sequence[float] = (0.7, 0.1, 0.2), column: str = "antibody_id", seed: int = 42) -> DataFrame:
     """``(antibody, set)`` in the shares train, val, test: test is held out first, then val from the rest.
 
-    Fewer than three antibodies all go to train; val leaves at least one for train. The distinct
-    antibodies are stored first, so the plan that leads to them runs once.
+    Fewer than three antibodies all go to train; val leaves at least one for train. ``df`` is read
+    more than once, so it should be stored or cheap; the distinct antibodies are stored.
     """
     if abs(sum(fractions) - 1) > 1e-8:
         raise ValueError("fractions must sum to 1")
     _, val, test = fractions
-    ids = cut_lineage(antibody_strata(cut_lineage(df.select(column).where(F.col(column).isNotNull()).distinct()), column))
+    ids = cut_lineage(antibody_strata(df.select(column).where(F.col(column).isNotNull()).distinct(), column))
     n = ids.count()
     n_test = round(n * test) if n >= 3 else 0
     tested = cut_lineage(stratified_holdout(ids, n_test, column, seed, "test"))
@@ -111,11 +111,16 @@ def inherit_labels(df: DataFrame, earlier: DataFrame, image: str = "image_id", a
     """Adds ``set`` out of an earlier file: by image, then by the antibody and then by the gene of rows labelled so far.
 
     Each level fills only rows still without label. With ``check``, an image, antibody or gene with
-    several labels raises. A level whose column the earlier file lacks is taken from the rows labelled here.
+    several labels raises, and so does a row here or there without gene, where the earlier file has
+    genes. A level whose column the earlier file lacks is taken from the rows labelled here.
     """
     known = earlier.where(F.col("set").isin(*SETS))
     if check:
         guard_single_label(known, image)
+        if gene in earlier.columns and gene in df.columns:
+            blank = filled(F.col(gene)) == ""
+            if df.where(blank).select(gene).unionByName(earlier.where(blank).select(gene)).limit(1).count():
+                raise ValueError(f"empty {gene}: labels are inherited by gene, so every row needs one")
     by_image = known.groupBy(F.col(image)).agg(F.min("set").alias("__image"))
     out = df.drop("set").join(by_image, image, "left").withColumn("set", filled(F.col("__image"))).drop("__image")
     for key in (antibody, gene):
@@ -132,7 +137,10 @@ def inherit_labels(df: DataFrame, earlier: DataFrame, image: str = "image_id", a
 def assign_sets(df: DataFrame, fractions: Sequence[float] = (0.7, 0.1, 0.2), seed: int = 42, earlier: DataFrame | None = None, version: str = "v2") -> DataFrame:
     """Adds ``set`` and ``split_version``: inherited labels first, the other antibodies split afresh."""
     if earlier is None:
-        labelled = df.drop("set").join(split_antibodies(df, fractions, seed=seed), "antibody_id", "left")
+        # an antibody in two sets would be a fault of the split; it raises where it is read
+        one = F.when(F.min("set") == F.max("set"), F.min("set")).otherwise(F.raise_error(F.concat(F.lit("antibody in several sets: "), F.col("antibody_id"))))
+        sets = split_antibodies(df, fractions, seed=seed).groupBy("antibody_id").agg(one.alias("set"))
+        labelled = df.drop("set").join(sets, "antibody_id", "left")
     else:
         inherited = inherit_labels(df, earlier)
         todo = inherited.groupBy("antibody_id").agg(F.max("set").alias("__had")).where("__had = ''").select("antibody_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -12,9 +12,15 @@ from slidemill.functions.scalars import filled, mapped, tif_name, whole_number_i
 from slidemill.operators.relational import best_per_group, last_per_key, multi_target, pick, resolve_duplicates, step_counts
 from slidemill.operators.split import assign_sets, attach_legacy_set
 from slidemill.operators.thinning import thin_pairs, thin_triplets
+from slidemill.session import cut_lineage
 
 # Fixed values of the build.
 SECONDARY_TISSUES = ("Endometrium 2", "Stomach 2", "Soft tissue 2", "Skin 2")
+PILOT_TISSUES = (
+    "Adrenal gland", "Appendix", "Bone marrow", "Breast", "Caudate", "Cerebellum", "Cerebral cortex", "Colon", "Duodenum",
+    "Gallbladder", "Heart muscle", "Hippocampus", "Lung", "Lymph node", "Parathyroid gland", "Seminal vesicle",
+    "Small intestine", "Testis", "Tonsil", "Urinary bladder",
+)
 RELIABILITY_RANK = {"enhanced": 3, "supported": 2, "approved": 1}
 UNCERTAIN = "uncertain"
 OUTPUT_COLUMNS = (
@@ -90,32 +96,43 @@ def filter_antibodies(images: DataFrame, antibodies: DataFrame, seed: int, log:
     return note("one antibody per gene", images.join(best.select("antibody_id"), "antibody_id", "left_semi"))
 
 
-def build_full(
+def select_images(
     images: DataFrame,
     antibodies: DataFrame,
     mirror: DataFrame | None,
     source: str = "idr",
     seed: int = 42,
-    fractions: Sequence[float] = (0.7, 0.1, 0.2),
     policy: str = "prefer",
-    earlier: DataFrame | None = None,
-    set_v1_from: DataFrame | None = None,
     base_url: str = MIRROR_URL,
     log: StepLog | None = None,
+    report: Callable[[DataFrame], object] | None = None,
 ) -> DataFrame:
-    """The full dataset with labels; every column of ``OUTPUT_COLUMNS`` and the input's own."""
+    """The images of a dataset, not yet split."""
     note = log.add if log else (lambda _, df: df)
     df = note("crawl", images.withColumn("patient_id", whole_number_id(F.col("patient_id"))))
-    df = note("source", filter_source(attach_mirror(df, mirror, base_url), source))
+    df = filter_source(attach_mirror(df, mirror, base_url), source)
+    if log:
+        df = cut_lineage(df)  # the steps that follow are counted from here
+    df = note("source", df)
     df = note("no secondary tissues", df.where(~filled(F.col("tissue")).isin(list(SECONDARY_TISSUES))))
     df = filter_antibodies(df, antibodies, seed, log)
-    df = note("unique image id", resolve_duplicates(df, policy))
-    df = assign_sets(df, fractions, seed, earlier)
+    return note("unique image id", resolve_duplicates(df, policy, report=report))
+
+
+def build_full(
+    selected: DataFrame,
+    seed: int = 42,
+    fractions: Sequence[float] = (0.7, 0.1, 0.2),
+    earlier: DataFrame | None = None,
+    set_v1_from: DataFrame | None = None,
+) -> DataFrame:
+    """The full dataset with labels: every column of ``OUTPUT_COLUMNS`` and the input's own, of what ``select_images`` gives."""
+    df = assign_sets(cut_lineage(selected), fractions, seed, earlier)
     return df if set_v1_from is None else attach_legacy_set(df, set_v1_from, "row_id")
 
 
 def build_pilot(
-    full: DataFrame,
+    selected: DataFrame,
     tissues: Sequence[str],
     seed: int = 42,
     fractions: Sequence[float] = (0.7, 0.1, 0.2),
@@ -124,14 +141,14 @@ def build_pilot(
     earlier: DataFrame | None = None,
     log: StepLog | None = None,
 ) -> DataFrame:
-    """The pilot subset of the full dataset: its tissues, thinned triplets, then pairs, split afresh."""
+    """The pilot subset of the selected images: its tissues, thinned triplets, then pairs, split by itself."""
     note = log.add if log else (lambda _, df: df)
-    df = note("pilot tissues", full.where(F.col("tissue").isin(list(tissues))))
+    df = note("pilot tissues", selected.where(F.col("tissue").isin(list(tissues))))
     df = note("triplets thinned", thin_triplets(df, seed))
     df = note("pairs thinned", thin_pairs(df, seed, drop_probability))
     if exclude is not None:
         df = note("exclusions", df.join(exclude.select("image_id"), "image_id", "left_anti"))
-    return assign_sets(df.drop("set", "split_version"), fractions, seed, earlier)
+    return assign_sets(cut_lineage(df.drop("set", "split_version")), fractions, seed, earlier)
 
 
 def finalize(df: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from slidemill.operators import folders as FO
 from slidemill.operators import quality as Q
 from slidemill.operators import split as SP
 from slidemill.plans import pipeline as P
-from slidemill.queries.table_ops import PILOT_TISSUES, SEED
+from slidemill.plans.pipeline import PILOT_TISSUES
+from slidemill.queries.table_ops import SEED
 from slidemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,12 +195,15 @@ def cell_annotations(spark: SparkSession, d: str) -> DataFrame:
 WITH {_V2}, {_CELLS},
 o AS (SELECT antibody_id, ensembl_id, tissue, string_agg(DISTINCT ontology_terms, ';' ORDER BY ontology_terms) AS ontology_terms FROM tissues WHERE ontology_terms <> '' GROUP BY ALL),
 g AS (SELECT image_id, count(*) AS n_cell_types, string_agg(cell_type, ';' ORDER BY cell_type) AS cell_types, max(staining_code) AS ms, max(intensity_code) AS mi, max(quantity_code) AS mq FROM ann GROUP BY 1)
-SELECT d.image_id, coalesce(o.ontology_terms, '') AS ontology_terms, CAST(coalesce(n_cell_types, 0) AS INT) AS n_cell_types, coalesce(cell_types, '') AS cell_types,
+SELECT d.image_id, coalesce(q.sex, '') AS sex, coalesce(q.age, '') AS age, coalesce(o.ontology_terms, '') AS ontology_terms, CAST(coalesce(g.n_cell_types, 0) AS INT) AS n_cell_types, coalesce(g.cell_types, '') AS cell_types,
  coalesce(ms, -1) AS max_staining_code, coalesce(mi, -1) AS max_intensity_code, coalesce(mq, -1) AS max_quantity_code, coalesce(ms, -1) > 0 AS protein_detected
-FROM v2 d LEFT JOIN o ON d.antibody_id = o.antibody_id AND d.ensembl_id = o.ensembl_id AND d.tissue = o.tissue LEFT JOIN g ON d.image_id = g.image_id""")
+FROM v2 d LEFT JOIN o ON d.antibody_id = o.antibody_id AND d.ensembl_id = o.ensembl_id AND d.tissue = o.tissue LEFT JOIN g ON d.image_id = g.image_id
+LEFT JOIN (SELECT * FROM image_annotations QUALIFY row_number() OVER (PARTITION BY antibody_id, ensembl_id, tissue, patient_id ORDER BY row_id) = 1) q
+ ON d.antibody_id = q.antibody_id AND d.ensembl_id = q.ensembl_id AND d.tissue = q.tissue AND d.patient_id = q.patient_id""")
 def image_annotations(spark: SparkSession, d: str) -> DataFrame:
-    out = A.image_annotations(_release(spark, d), _annotations(spark, d), None, table(spark, d, "tissues"))
-    return out.select("image_id", "ontology_terms", "n_cell_types", "cell_types", "max_staining_code", "max_intensity_code", "max_quantity_code", "protein_detected")
+    patients = table(spark, d, "image_annotations").select(*A.SAMPLE_KEY, "patient_id", "sex", "age", "row_id")
+    out = A.image_annotations(_release(spark, d), table(spark, d, "cells"), patients, table(spark, d, "tissues"))
+    return out.select("image_id", "sex", "age", "ontology_terms", "n_cell_types", "cell_types", "max_staining_code", "max_intensity_code", "max_quantity_code", "protein_detected")
 
 
 @query("cell_vocabulary", f"""
@@ -326,15 +330,15 @@ f4 AS (SELECT * FROM f3 QUALIFY count(*) OVER (PARTITION BY image_id) = 1 OR (ti
 _LABELLED = f"{_FULL}, {_split_sql('SELECT DISTINCT antibody_id AS id FROM f4 WHERE antibody_id IS NOT NULL')}"
 
 
-def _full(spark: SparkSession, d: str, log: P.StepLog | None = None) -> DataFrame:
+def _selected(spark: SparkSession, d: str, log: P.StepLog | None = None) -> DataFrame:
     names = ("images", "antibodies", "idr_ftp_paths")
     images, antibodies, mirror = (table(spark, d, n) for n in names)
-    return P.build_full(images, antibodies, mirror, seed=SEED, base_url="https://mirror.example/", log=log)
+    return P.select_images(images, antibodies, mirror, seed=SEED, base_url="https://mirror.example/", log=log)
 
 
 @query("full_dataset", f"WITH {_LABELLED} SELECT f4.row_id, f4.image_id, f4.tissue, ftp AS idr_ftp_path, 'https://mirror.example/' || ftp AS idr_url, sets.\"set\", 'v2' AS split_version FROM f4 LEFT JOIN sets ON f4.antibody_id = sets.id")
 def full_dataset(spark: SparkSession, d: str) -> DataFrame:
-    return _full(spark, d).select("row_id", "image_id", "tissue", "idr_ftp_path", "idr_url", "set", "split_version")
+    return P.build_full(_selected(spark, d), seed=SEED).select("row_id", "image_id", "tissue", "idr_ftp_path", "idr_url", "set", "split_version")
 
 
 _PILOT = f"""{_FULL}, t0 AS (SELECT * FROM f4 WHERE tissue IN ({', '.join(f"'{t}'" for t in PILOT_TISSUES)})),
@@ -345,7 +349,7 @@ t2 AS (SELECT * FROM t1 QUALIFY NOT (count(*) OVER (PARTITION BY antibody_id, ti
 
 @query("pilot_dataset", f"WITH {_PILOT}, {_split_sql('SELECT DISTINCT antibody_id AS id FROM t2 WHERE antibody_id IS NOT NULL')} SELECT t2.row_id, t2.image_id, t2.tissue, sets.\"set\" FROM t2 LEFT JOIN sets ON t2.antibody_id = sets.id")
 def pilot_dataset(spark: SparkSession, d: str) -> DataFrame:
-    return P.build_pilot(_full(spark, d), PILOT_TISSUES, seed=SEED).select("row_id", "image_id", "tissue", "set")
+    return P.build_pilot(_selected(spark, d), PILOT_TISSUES, seed=SEED).select("row_id", "image_id", "tissue", "set")
 
 
 def _count(step: str, name: str, stage: str = "full") -> str:
@@ -357,5 +361,5 @@ def _count(step: str, name: str, stage: str = "full") -> str:
 ))
 def step_log(spark: SparkSession, d: str) -> DataFrame:
     log = P.StepLog("full")
-    _full(spark, d, log)
+    _selected(spark, d, log)
     return log.frame()

@@ -6,7 +6,7 @@ star-schema tables), over whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +15,11 @@ from slidemill.functions import scalars as S
 from slidemill.functions.seeded import seeded_key
 from slidemill.operators import relational as R
 from slidemill.operators.thinning import thin_pairs, thin_triplets
+from slidemill.plans import pipeline as P
+from slidemill.plans.pipeline import PILOT_TISSUES, RELIABILITY_RANK, SECONDARY_TISSUES
+from slidemill.sources.atlas_xml import NORMAL_CODE
 from slidemill.sources.tables import table
 
-# Tissue lists, the code of normal tissue, and ranks of reliability scores.
-SECONDARY_TISSUES = ["Endometrium 2", "Stomach 2", "Soft tissue 2", "Skin 2"]
-PILOT_TISSUES = [
-    "Adrenal gland", "Appendix", "Bone marrow", "Breast", "Caudate", "Cerebellum", "Cerebral cortex", "Colon", "Duodenum",
-    "Gallbladder", "Heart muscle", "Hippocampus", "Lung", "Lymph node", "Parathyroid gland", "Seminal vesicle",
-    "Small intestine", "Testis", "Tonsil", "Urinary bladder",
-]
-NORMAL_CODE = "M-00100"
-RELIABILITY_RANK = {"enhanced": 3, "supported": 2, "approved": 1}
 SEED = 42
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +36,7 @@ def query(name: str, sql: str | None = None):  # type: ignore[no-untyped-def]
     return register
 
 
-def _list(values: list[str]) -> str:
+def _list(values: Iterable[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
@@ -54,17 +48,17 @@ _IMAGE_BASE = "SELECT row_id, image_id, antibody_id, coalesce(ensembl_id, '') AS
 
 @query("filter_source", "SELECT row_id, image_id, tissue FROM dataset WHERE idr_available")
 def filter_source(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "dataset").where("idr_available").select("row_id", "image_id", "tissue")
+    return P.filter_source(table(spark, d, "dataset"), "idr").select("row_id", "image_id", "tissue")
 
 
 @query("exclude_in_list", f"SELECT row_id, tissue FROM images WHERE tissue NOT IN ({_list(SECONDARY_TISSUES)})")
 def exclude_in_list(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "images").where(~F.col("tissue").isin(SECONDARY_TISSUES)).select("row_id", "tissue")
+    return table(spark, d, "images").where(~F.col("tissue").isin(list(SECONDARY_TISSUES))).select("row_id", "tissue")
 
 
 @query("include_in_list", f"SELECT row_id, tissue, \"set\" FROM dataset WHERE tissue IN ({_list(PILOT_TISSUES)}) AND \"set\" IN ('train', 'val', 'test')")
 def include_in_list(spark: SparkSession, d: str) -> DataFrame:
-    kept = F.col("tissue").isin(PILOT_TISSUES) & F.col("set").isin("train", "val", "test")
+    kept = F.col("tissue").isin(list(PILOT_TISSUES)) & F.col("set").isin("train", "val", "test")
     return table(spark, d, "dataset").where(kept).select("row_id", "tissue", "set")
 
 

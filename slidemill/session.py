@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -31,16 +33,29 @@ def build_session(app: str = "slidemill", master: str | None = None, **conf: str
     return builder.config(map=settings).getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder that the cluster names, and return the stored rows.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stored intermediate rows, in storage that all machines share.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset,
-    as on a single machine in tests, a temporary folder is set. The files are in
-    shared storage, so losing an executor loses nothing.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset a temporary folder is
+    set, but only on a single machine, as in tests; a cluster must name one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="slidemill-")
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+            folder = tempfile.mkdtemp(prefix="slidemill-")
         context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder, and return the stored rows; losing an executor loses nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a table that a step writes and reads again."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

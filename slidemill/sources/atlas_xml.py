@@ -84,8 +84,12 @@ def antibody_rows(entries: DataFrame) -> DataFrame:
 
 
 def atlas_tables(spark: SparkSession, path: str, mirror: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The tables genes, antibodies, tissues, cells, patients and images."""
-    kept = antibody_rows(read_entries(spark, path))
+    """The tables genes, antibodies, tissues, cells, patients and images of a release."""
+    return tables_of(spark, antibody_rows(read_entries(spark, path)), mirror)
+
+
+def tables_of(spark: SparkSession, kept: DataFrame, mirror: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The six tables of what ``antibody_rows`` keeps."""
     ids = [F.col("antibody_id"), F.col("gene.ensembl_id").alias("ensembl_id")]
     genes = keep_first(kept.where("gene.ensembl_id <> ''").withColumn("ensembl_id", F.col("gene.ensembl_id")), ["ensembl_id"], ["ordinal", "antibody_pos"])
     blocks = kept.select("ordinal", "antibody_pos", *ids, F.col("gene.name").alias("gene_name"), F.posexplode("blocks").alias("block_pos", "b")).withColumns({
@@ -132,12 +136,60 @@ def number_rows(df: DataFrame, order: str, out: str) -> DataFrame:
     return df.sort(order).withColumn(out, F.monotonically_increasing_id()).drop(order)
 
 
+def gene_trees(kept: DataFrame) -> DataFrame:
+    """One nested document per gene, of what ``antibody_rows`` keeps: its antibodies in order with their tissues, cells, patients and images.
+
+    Antibodies without gene are left out. The name and synonyms are those of the gene's first entry.
+    """
+
+    def image(i: Column) -> Column:
+        tif = F.coalesce(i["imageUrlTif"], F.lit(""))
+        return F.struct(F.when(tif != "", "tif").otherwise("jpg").alias("type"), F.when(tif != "", tif).otherwise(i["imageUrl"]).alias("url"))
+
+    def patient(p: Column) -> Column:
+        found = F.flatten(F.transform(p["sample"], lambda s: F.coalesce(s["assayImage"]["image"], F.array())))
+        told = F.filter(found, lambda i: F.coalesce(F.when(i["imageUrlTif"] != "", i["imageUrlTif"]), i["imageUrl"], F.lit("")) != "")
+        return F.struct(p["sex"].alias("sex"), p["age"].alias("age"), p["patientId"].alias("patient_id"), F.transform(told, image).alias("images"))
+
+    def cell(c: Column) -> Column:
+        return F.struct(c["cellType"].alias("cell_type"), _last_level(c, "staining").alias("staining"), _last_level(c, "intensity").alias("intensity"), c["quantity"].alias("quantity"), c["location"].alias("location"))
+
+    def block(b: Column) -> Column:
+        cells = F.coalesce(b["tissueCell"], F.array())
+        return F.struct(b["tissue"]["_VALUE"].alias("tissue"), b["tissue"]["_organ"].alias("organ"), b["tissue"]["_ontologyTerms"].alias("ontology_terms"), F.transform(cells, cell).alias("tissue_cells"), F.transform(b["patient"], patient).alias("patients"))
+
+    own = F.struct(F.col("antibody_id").alias("id"), F.col("gene"), "reliability_score", F.transform("blocks", block).alias("tissues"))
+    place = F.struct("ordinal", "antibody_pos")
+    docs = kept.where("gene.ensembl_id <> ''").groupBy(F.col("gene.ensembl_id").alias("ensembl_id")).agg(
+        F.min_by("gene", place).alias("g"), F.array_sort(F.collect_list(F.struct(place.alias("place"), own.alias("antibody")))).alias("a")
+    )
+    return docs.select("ensembl_id", "g.name", "g.synonyms", F.transform("a", lambda x: x["antibody"]).alias("antibodies"))
+
+
 def parse_counts(entries: DataFrame) -> DataFrame:
-    """Numbers of entries, kept antibodies, genes, tissue blocks, and of cancer sections skipped."""
+    """Counters of a release in one row.
+
+    Entries, cancer sections skipped, verifications, tissue blocks seen and cells without location among
+    them; kept antibodies, genes, blocks, and images by type with the TIF percentage.
+    """
     cancer = F.size(F.filter(F.flatten(F.transform(F.col("entry.antibody"), lambda a: F.coalesce(a["tissueExpression"], F.array()))), lambda t: t["_assayType"] == "cancer"))
-    skipped = entries.agg(F.count(F.lit(1)).alias("entries"), F.coalesce(F.sum(F.greatest(cancer, F.lit(0))), F.lit(0)).alias("cancer_sections"))
+    sections = F.flatten(F.transform(F.col("entry.antibody"), lambda a: F.filter(F.coalesce(a["tissueExpression"], F.array()), lambda t: t["_assayType"] == "tissue")))
+    verified = F.size(F.flatten(F.transform(sections, lambda t: F.coalesce(t["verification"], F.array()))))
+    blocks = F.flatten(F.transform(sections, lambda t: F.coalesce(t["data"], F.array())))
+    unplaced = F.size(F.filter(F.flatten(F.transform(blocks, lambda b: F.coalesce(b["tissueCell"], F.array()))), lambda c: F.coalesce(c["location"], F.lit("")) == ""))
+
+    def total(size: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.greatest(size, F.lit(0))), F.lit(0)).alias(name)
+
+    skipped = entries.agg(F.count(F.lit(1)).alias("entries"), total(cancer, "cancer_sections"), total(verified, "verifications"), total(F.size(blocks), "tissues_seen"), total(unplaced, "cells_without_location"))
+    patients = F.flatten(F.transform("blocks", lambda b: b["patient"]))
+    found = F.flatten(F.transform(patients, lambda p: F.flatten(F.transform(p["sample"], lambda s: F.coalesce(s["assayImage"]["image"], F.array())))))
+    is_tif = lambda i: F.coalesce(i["imageUrlTif"], F.lit("")) != ""
+    tif, jpg = F.size(F.filter(found, is_tif)), F.size(F.filter(found, lambda i: ~is_tif(i) & (F.coalesce(i["imageUrl"], F.lit("")) != "")))
     kept = antibody_rows(entries).agg(
         F.count(F.lit(1)).alias("antibodies"), F.countDistinct("gene.ensembl_id").alias("genes"),
-        F.coalesce(F.sum(F.size("blocks")), F.lit(0)).alias("tissues"), F.sum((F.col("reliability_score") == "").cast("int")).alias("without_reliability"),
+        F.coalesce(F.sum(F.size("blocks")), F.lit(0)).alias("tissues"), F.coalesce(F.sum((F.col("reliability_score") == "").cast("int")), F.lit(0)).alias("without_reliability"),
+        total(tif, "tif_images"), total(jpg, "jpg_images"),
     )
-    return skipped.select("entries", "cancer_sections", *(kept.select(c).scalar().alias(c) for c in kept.columns))
+    kept = kept.withColumn("tif_percent", F.round(F.try_divide(F.col("tif_images") * 100.0, F.col("tif_images") + F.col("jpg_images")), 1))
+    return skipped.crossJoin(F.broadcast(kept))  # one row each

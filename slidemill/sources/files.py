@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import io
+import itertools
 import os
-import shutil
-import tempfile
 import urllib.request
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slidemill.functions.scalars import after_marker, basename, stem
+from slidemill.session import scratch
+from slidemill.sources import store
 
 #: Columns of a mirror annotation file that all runs share, as far as the pipeline reads them.
 MIRROR_COLUMNS = ("Image Name", "Antibody identifier", "Characteristics [Organism Part]", "Characteristics [Pathology] Accession")
@@ -21,10 +24,13 @@ NORMAL_CODE = "M-00100"
 LISTING_ROOT = ""
 
 
+def _status(spark: SparkSession, pattern: str) -> list:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return list(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop) or [])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-    return found is not None and len(found) > 0
+    return len(_status(spark, path)) > 0
 
 
 def header_of(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
@@ -100,8 +106,10 @@ def read_listing(spark: SparkSession, path: str, root: str = LISTING_ROOT) -> Da
 
 def mirror_table(spark: SparkSession, run_files: Sequence[str], listing: str, root: str = LISTING_ROOT) -> DataFrame:
     """The mirror table: rows of all runs with the listed path of their image, empty if it is not listed."""
-    rows = read_mirror_runs(spark, run_files)
-    paths = read_listing(spark, listing, root)
+    return attach_listing(read_mirror_runs(spark, run_files), read_listing(spark, listing, root))
+
+
+def attach_listing(rows: DataFrame, paths: DataFrame) -> DataFrame:
     return rows.join(paths, F.col("`Image Name`") == F.col("name"), "left").drop("name").na.fill("", ["ftp_path"])
 
 
@@ -111,18 +119,41 @@ def read_path_map(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(stem(F.col("ftp_path")).alias("image_id")).agg(F.max_by("ftp_path", "ordinal").alias("ftp_path"))
 
 
-def read_locations(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """The location table, a TSV or a zip of one; the first row of a gene is kept."""
+def unzipped(spark: SparkSession, path: str) -> str:
+    """The lines of a zip's first file, stored in the shared folder by the task that reads the zip."""
+
+    def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for content in pdf["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(z.namelist()[0]) as f:
+                    text = io.TextIOWrapper(f, "utf-8", newline="")
+                    while block := list(itertools.islice(text, 50_000)):
+                        yield pd.DataFrame({"value": [x.rstrip("\r\n") for x in block]})
+
+    out = scratch(spark, "unzipped")
+    spark.read.format("binaryFile").load(path).select("content").mapInPandas(lines, "value string").write.text(out)
+    return out
+
+
+def files_in(spark: SparkSession, folder: str, ending: str) -> list[str]:
+    """The files of a folder of any file system, by name."""
+    found = _status(spark, f"{folder.rstrip('/')}/*{ending}")
+    return sorted(s.getPath().toString() for s in found if s.isFile())
+
+
+def read_locations(spark: SparkSession, path: str, columns: Sequence[str], multiline: bool = False) -> DataFrame:
+    """The location table, a TSV or a zip of one; the first row of a gene is kept.
+
+    ``multiline`` reads quoted values over several lines, at the price of one task a file.
+    """
     from slidemill.operators.relational import keep_first
 
     if path.endswith(".zip"):
-        folder = tempfile.mkdtemp(prefix="slidemill-")
-        with zipfile.ZipFile(path) as z:
-            path = z.extract(z.namelist()[0], folder)
+        path = unzipped(spark, path)
     lacking = [c for c in ("Gene", *columns) if c not in header_of(spark, path, "\t")]
     if lacking:
         raise ValueError(f"{os.path.basename(path)} lacks {', '.join(lacking)}")
-    rows = with_ordinal(_reader(spark, "\t").csv(path))
+    rows = with_ordinal(_reader(spark, "\t", multiline).csv(path))
     return keep_first(rows.select("Gene", *(f"`{c}`" for c in columns), "ordinal"), ["Gene"], ["ordinal"]).drop("ordinal").na.fill("")
 
 
@@ -153,14 +184,8 @@ def read_images(spark: SparkSession, root: str, pattern: str = "*.tif") -> DataF
 
 def fetch_if_absent(url: str, path: str) -> bool:
     """Downloads a file unless it exists, atomically; whether it was fetched."""
-    if os.path.exists(path):
+    if store.size(path) is not None:
         return False
-    part = f"{path}.{os.getpid()}.part"
-    try:
-        with urllib.request.urlopen(url) as source, open(part, "wb") as out:
-            shutil.copyfileobj(source, out)
-        os.replace(part, path)
-    finally:
-        if os.path.exists(part):
-            os.remove(part)
+    with urllib.request.urlopen(url) as source:
+        store.write(path, source.read())
     return True

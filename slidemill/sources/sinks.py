@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.sources import store
+
 
 def as_text(df: DataFrame) -> DataFrame:
     """Booleans as True and False, all else as strings, missing values empty."""
@@ -21,11 +23,11 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False, compression: str = "none") -> None:
+def write_csv(df: DataFrame, path: str, single: bool = False, compression: str = "none", separator: str = ",") -> None:
     """A CSV folder with doubled quotes and untouched white space; ``single`` makes one file for hand-off."""
     frame = as_text(df)
     frame = frame.coalesce(1) if single else frame
-    frame.write.mode("overwrite").options(header="true", quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", compression=compression).csv(path)
+    frame.write.mode("overwrite").options(header="true", sep=separator, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", compression=compression).csv(path)
 
 
 def write_report(df: DataFrame, folder: str, name: str, problems: list[str], status: str = "status") -> str | None:
@@ -48,7 +50,8 @@ def write_documents(df: DataFrame, root: str, folder: str, name: str) -> DataFra
     """One JSON file per row at ``root/<folder column>/<name column>.json``, written by the tasks.
 
     Returns ``(path, status, message)``; a document that cannot be written is reported and does
-    not stop the others. Files appear atomically, so repeated tasks do no harm.
+    not stop the others. Files appear as a whole, so repeated tasks do no harm. ``root`` is a folder
+    that all machines share, or the address of an object store.
     """
     body = F.to_json(F.struct(*(c for c in df.columns if c != folder)), {"ignoreNullFields": "false"})
     rows = df.select(F.concat_ws("/", F.lit(root), F.col(folder), F.concat(F.col(name), F.lit(".json"))).alias("path"), body.alias("body"))
@@ -58,11 +61,7 @@ def write_documents(df: DataFrame, root: str, folder: str, name: str) -> DataFra
             out = []
             for path, text in zip(pdf["path"], pdf["body"]):
                 try:
-                    os.makedirs(os.path.dirname(path), exist_ok=True)
-                    part = f"{path}.{os.getpid()}.part"
-                    with open(part, "w") as f:
-                        json.dump(json.loads(text), f, indent=2)
-                    os.replace(part, path)
+                    store.write(path, json.dumps(json.loads(text), indent=2).encode())
                     out.append((path, "ok", ""))
                 except (OSError, ValueError, TypeError) as e:
                     out.append((path, "failed", str(e)))

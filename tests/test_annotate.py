@@ -27,7 +27,7 @@ def test_cells_and_images(spark):
     ann = A.cell_annotations(dataset, cells)
     got = rows(ann.select("image_id", "cell_type", "staining_code", "intensity_code", "quantity_code", "location_code"))
     assert got == [(i, *x) for i in ("i1", "i2") for x in (("x cells", 3, 3, 3, 2), ("y cells", -1, -1, -1, 3))]
-    images = {r.image_id: r for r in A.image_annotations(dataset, ann, patients, tissues).collect()}
+    images = {r.image_id: r for r in A.image_annotations(dataset, cells, patients, tissues).collect()}
     one, three = images["i1"], images["i3"]
     assert (one.sex, one.age, one.ontology_terms, one.n_cell_types, one.cell_types, one.max_staining_code, one.protein_detected) == ("Male", "40", "U1;U2", 2, "x cells;y cells", 3, True)
     assert (three.sex, three.n_cell_types, three.cell_types, three.max_quantity_code, three.protein_detected) == ("", 0, "", -1, False)

@@ -82,6 +82,11 @@ def test_xml_release(spark, tmp_path):
     assert (counts.entries, counts.cancer_sections, counts.antibodies, counts.genes) == (4, 1, 2, 2)
     assert cli.main(["crawl", "--xml-file", str(path), "--output-dir", str(tmp_path / "out"), "--format", "all"], spark) == 0
     assert files.read_csv(spark, str(tmp_path / "out/metadata/genes")).count() == 2
+    gene = json.loads((tmp_path / "out/metadata/gene_documents/ENSG1.json").read_text())
+    assert (gene["name"], gene["synonyms"], [a["id"] for a in gene["antibodies"]]) == ("NENSG1", ["s1", "s2"], ["HPA1"])
+    tissue = gene["antibodies"][0]["tissues"][0]
+    assert tissue["tissue_cells"][0]["cell_type"] == "c" and tissue["patients"][0]["images"] == [{"type": "tif", "url": "http://x/4049/1_A_1_8.tif"}]
+    assert spark.read.json(str(tmp_path / "out/metadata/parent_folder_mapping")).collect()[0].asDict() == {"parent": "4049", "batch": "20250612-xml"}
     document = json.loads(next((tmp_path / "out").rglob("1_A_1_8.json")).read_text())
     assert document["tissues"] == [{"tissue": "Lung", "organ": "O", "ontology_terms": "U"}]
 
