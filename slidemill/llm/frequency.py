@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Buckets over which the records of one term are spread, so that no term is one task.
+#: Least number of buckets over which the records of one term are spread; there are as many as shuffle partitions.
 BUCKETS = 64
 COUNTS = "field string, val string, occurrences bigint, records bigint"
 _PARTIAL = "field string, val string, record string, n bigint"
@@ -76,19 +76,22 @@ def _last_seen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([term[0]], pa.string()), pa.array([term[1]], pa.string()), pa.array([occurrences]), pa.array([records])], schema=schema)
 
 
-def value_frequencies(tokens: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def value_frequencies(tokens: DataFrame, buckets: int | None = None) -> DataFrame:
     """``(field, val, occurrences, records)`` for every distinct value of every field.
 
     ``tokens`` has ``field, val, record``. Equal tokens of an input batch are counted
     before the shuffle. Tokens are hash-partitioned by term and a bucket of the record,
     sorted by record, and scanned with one last-seen counter per term; a record falls
     into one bucket, so the buckets' counters add up. No set of records is kept anywhere,
-    and a term with any share of all rows is spread over ``buckets`` tasks.
+    and a term with any share of all rows is spread over ``buckets`` tasks, by default all that
+    the session's shuffles have.
 
     Values are compared as given. A null value is no token; a null record counts as an
     occurrence but as no record; repeated rows are further occurrences in the same record;
     an empty table gives an empty result; other columns are not read.
     """
+    if buckets is None:
+        buckets = max(BUCKETS, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bucket = F.pmod(F.xxhash64("record"), F.lit(buckets))
     part = (
         tokens.select("field", "val", "record").where(F.col("val").isNotNull() & F.col("field").isNotNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from slidemill.functions.identity import (
     version_identity,
 )
 from slidemill.llm.containers import TOKENIZERS, fill_containers, token_counts
-from slidemill.llm.encoding import garbled_documents
+from slidemill.llm.encoding import garbled_documents, repair_text, sampled_models
 from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
 from slidemill.llm.leakage import leaked_passages, without_leaks
 from slidemill.llm.representative import Bundle, Dependency, Representatives, best_representatives, duplicate_classes, duplicate_pairs, flat_survivors, resolve_by_name
@@ -398,4 +399,29 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_repairs(spark, folder).select("doc_id")
 
 
-QUERIES |= {"p10_found": p10_found, "p10_repairs": p10_repairs}
+def p10_round_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean texts decoded wrongly in known ways, once to five times: of how many texts, and whether nearly all are restored."""
+    models = sampled_models(table(spark, folder, "documents"))
+
+    @F.pandas_udf("string")
+    def garble(texts: pd.Series, chains: pd.Series) -> pd.Series:
+        return pd.Series([misread(t, c) for t, c in zip(texts, chains)])
+
+    chain = F.explode(F.array(*map(F.lit, PLANTED))).alias("chain")
+    planted = table(spark, folder, "eval_items").select("text", "lang", chain).withColumn("seen", garble("text", "chain"))
+    fixed = repair_text(planted, models, "seen", "lang")
+    return fixed.groupBy("chain").agg(F.count("*").alias("n"), (F.avg((F.col("repair.repaired") == F.col("text")).cast("int")) >= RESTORED).alias("ok"))
+
+
+def misread(text: str, chain: str) -> str:
+    """The text written in UTF-8 and read in each of the chain's encodings in turn."""
+    for encoding in chain.split(">"):
+        text = text.encode("utf-8").decode(encoding)
+    return text
+
+
+#: Ways to decode wrongly in which no byte is lost, and the share of texts that must come back.
+PLANTED = ["latin-1", "mac_roman", "cp850", "cp437", "latin-1>latin-1", "mac_roman>latin-1", "latin-1>latin-1>latin-1", "latin-1>cp850>latin-1>latin-1", "latin-1>latin-1>latin-1>latin-1>latin-1"]
+RESTORED = 0.97
+ORACLE["p10_round_trips"] = f"SELECT unnest({PLANTED}) AS chain, (SELECT count(*) FROM eval_items) AS n, true AS ok"
+QUERIES |= {"p10_found": p10_found, "p10_repairs": p10_repairs, "p10_round_trips": p10_round_trips}
