@@ -143,7 +143,7 @@ def build_pilot(
 ) -> DataFrame:
     """The pilot subset of the selected images: its tissues, thinned triplets, then pairs, split by itself."""
     note = log.add if log else (lambda _, df: df)
-    df = note("pilot tissues", selected.where(F.col("tissue").isin(list(tissues))))
+    df = note("pilot tissues", cut_lineage(selected.where(F.col("tissue").isin(list(tissues)))))
     df = note("triplets thinned", thin_triplets(df, seed))
     df = note("pairs thinned", thin_pairs(df, seed, drop_probability))
     if exclude is not None:

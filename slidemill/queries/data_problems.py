@@ -11,7 +11,6 @@ from slidemill.functions.identity import antibody_identity, image_identity, mirr
 from slidemill.operators.nested import merged_schema, shred
 from slidemill.operators.orphans import orphan_references, orphan_report
 from slidemill.operators.packed import split_packed
-from slidemill.sources.atlas_xml import antibody_rows, parse_entries
 from slidemill.sources.tables import table
 
 PACKED_FIELDS = [
@@ -137,14 +136,7 @@ def p5_schema(spark: SparkSession, folder: str) -> DataFrame:
     return merged_schema(table(spark, folder, "raw_entries"))
 
 
-def xml_antibodies(spark: SparkSession, folder: str) -> DataFrame:
-    """The XML entries read by schema: kept antibodies with their gene, reliability and tissue blocks."""
-    records = table(spark, folder, "raw_entries").where("fmt = 'xml'").select(F.col("entry_id").alias("ordinal"), F.col("payload").alias("record"))
-    kept = antibody_rows(parse_entries(records, "PERMISSIVE"))
-    return kept.select(F.col("ordinal").alias("entry_id"), "antibody_id", "gene.ensembl_id", F.col("gene.name").alias("gene_name"), "reliability_score", F.size("blocks").alias("n_tissues"))
-
-
-QUERIES = {"p4_found": p4_found, "p4_unquoted": p4_unquoted, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "xml_antibodies": xml_antibodies}
+QUERIES = {"p4_found": p4_found, "p4_unquoted": p4_unquoted, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report}
 
 _SPLIT = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS src_table, '{field}' AS field, row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM (

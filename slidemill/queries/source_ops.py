@@ -205,3 +205,11 @@ def atlas_documents(spark: SparkSession, d: str) -> DataFrame:
         "n_patients": patients, "n_images": F.flatten(F.transform(patients, lambda p: p["images"])),
     }
     return back.select("ensembl_id", *(F.size(v).cast("long").alias(n) for n, v in sizes.items()))
+
+
+@query("xml_antibodies", _XML + f"SELECT entry_id, antibody_id, ensembl_id, gene_name, {_SCORE} AS reliability_score, (SELECT count(*) FROM k WHERE k.entry_id = ab.entry_id AND k.a_pos = ab.a_pos) AS n_tissues FROM ab")
+def xml_antibodies(spark: SparkSession, d: str) -> DataFrame:
+    """The XML entries read one by one, the broken ones left out: kept antibodies with their gene, reliability and tissue blocks."""
+    records = table(spark, d, "raw_entries").where("fmt = 'xml'").select(F.col("entry_id").alias("ordinal"), F.col("payload").alias("record"))
+    kept = atlas_xml.antibody_rows(atlas_xml.parse_entries(records, "PERMISSIVE"))
+    return kept.select(F.col("ordinal").alias("entry_id"), "antibody_id", "gene.ensembl_id", F.col("gene.name").alias("gene_name"), "reliability_score", F.size("blocks").cast("long").alias("n_tissues"))
