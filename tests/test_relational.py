@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slidemill.operators import relational as R
-from slidemill.operators.thinning import ranked_groups, thin_pairs, thin_triplets
+from slidemill.operators.thinning import last_of_groups, thin_pairs, thin_triplets
 from tests.conftest import rows
 
 
@@ -69,7 +69,11 @@ def test_thinning(spark):
     assert 15 < lost < 50 and all(left[t] == n for t, n in sizes.items() if n in (1, 4))
     assert rows(pairs) == rows(thin_pairs(thinned.repartition(9), 42))
     assert rows(thin_pairs(df, 42, 0.0)) == rows(df)
-    assert ranked_groups(df, 42).where("group_rank > group_size").count() == 0
+    lost = last_of_groups(df, 3, 42)
+    assert lost.count() == sum(n == 3 for n in sizes.values()) and lost.join(thinned, ["tissue", "image_id"]).count() == 0
+    # null is a group of its own
+    blank = df.where(F.col("tissue").isin([t for t, n in sizes.items() if n == 3][:1])).withColumn("tissue", F.lit(None).cast("string"))
+    assert thin_triplets(blank, 42).count() == 2
 
 
 def test_counts(spark):
