@@ -47,12 +47,13 @@ class Dependency:
 class Representatives:
     """``survivors``: one row per group with ``n_rows`` and a struct of every bundle; ``merged``: those of
     several rows, stored; ``members``: ``group_key, row_key`` of every row with a group; ``duplicates``:
-    those of groups with several rows."""
+    those of groups with several rows; ``any_hot``: whether one of these groups is hot."""
 
     survivors: DataFrame
     merged: DataFrame
     members: DataFrame
     duplicates: DataFrame
+    any_hot: bool
 
 
 def filled(column: str) -> Column:
@@ -194,13 +195,14 @@ def best_representatives(
         *(_score(b, recency).alias(f"s_{b.name}") for b in bundles),
     ).where(F.col("group_key").isNotNull())
     sizes = cut_lineage(base.groupBy("group_key").agg(F.count("*").alias("n_rows")).where("n_rows > 1"))
-    repeated_rows = sizes.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar()
-    hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") * HOT_GROUPS > repeated_rows)
+    most, repeated_rows = sizes.agg(F.coalesce(F.max("n_rows"), F.lit(0)), F.coalesce(F.sum("n_rows"), F.lit(0))).first()
+    any_hot = most > hot_rows and most * HOT_GROUPS > repeated_rows
+    hot = (F.col("n_rows") > hot_rows) & (F.col("n_rows") * HOT_GROUPS > F.lit(repeated_rows))
     if small_enough(sizes, broadcast_rows):
         repeated = base.join(F.broadcast(sizes), "group_key")
         single = base.join(F.broadcast(sizes.select("group_key")), "group_key", "left_anti")
     else:
-        repeated = join_skewed(base, sizes, "group_key", hot).drop("is_hot")
+        repeated = join_skewed(base, sizes, "group_key", hot).drop("is_hot") if any_hot else base.join(sizes, "group_key")
         single = base.join(sizes.select("group_key"), "group_key", "left_anti")
     repeated = cut_lineage(repeated)
 
@@ -213,7 +215,7 @@ def best_representatives(
     chosen = {b.name: F.col(f"m_{b.name}.v") for b in bundles}
     out = per_group
     for of, ds in stars.items():
-        picked = _solve(repeated, per_group, by_name, of, ds, hot, search_limit)
+        picked = _solve(repeated, per_group, by_name, of, ds, hot if any_hot else None, search_limit)
         out = out.join(picked, "group_key", "left")
         for n in (of, *(d.on for d in ds)):
             chosen[n] = F.coalesce(f"p_{n}", f"m_{n}.v")
@@ -225,7 +227,7 @@ def best_representatives(
     if linked:
         merged = cut_lineage(merged)
     alone = single.select("group_key", F.lit(1).cast("long").alias("n_rows"), *(bundle_struct(b, F.col(f"v_{b.name}")) for b in bundles))
-    return Representatives(alone.unionByName(merged), merged, base.select("group_key", "row_key"), repeated.select("group_key", "row_key"))
+    return Representatives(alone.unionByName(merged), merged, base.select("group_key", "row_key"), repeated.select("group_key", "row_key"), any_hot)
 
 
 def _link(b: Bundle, fields: Sequence[str], v: Column) -> Column:
@@ -248,12 +250,12 @@ def _hash(values: Sequence[Column]) -> Column:
     return F.xxhash64(*(F.transform(v, lambda x: F.coalesce(x, F.lit("\0"))) for v in values))
 
 
-def _solve(repeated: DataFrame, per_group: DataFrame, by_name: dict, of: str, ds: Sequence[Dependency], hot: Column, limit: int) -> DataFrame:
-    """``group_key, p_<bundle>...`` of the groups whose best linked values do not stand in one row."""
+def _solve(repeated: DataFrame, per_group: DataFrame, by_name: dict, of: str, ds: Sequence[Dependency], hot: Column | None, limit: int) -> DataFrame:
+    """``group_key, p_<bundle>...`` of the groups whose best linked values do not stand in one row; ``hot`` is None if no group is."""
     names = [of, *(d.on for d in ds)]
     best = F.col(f"r_{of}")
     closed = (best["s"] == _sum([F.col(f"m_{n}.s") for n in names])) & (best["h"] == _hash([F.col(f"m_{n}.v") for n in names]))
-    open_groups = per_group.where(~F.coalesce(closed, F.lit(False))).select("group_key", hot.alias("hot"), *(F.col(f"m_{d.on}").alias(f"most{k}") for k, d in enumerate(ds)))
+    open_groups = per_group.where(~F.coalesce(closed, F.lit(False))).select("group_key", (F.lit(False) if hot is None else hot).alias("hot"), *(F.col(f"m_{d.on}").alias(f"most{k}") for k, d in enumerate(ds)))
     sides = [("a", of, [f for d in ds for f in d.of_fields]), *((f"b{k}", d.on, d.on_fields) for k, d in enumerate(ds))]
     if len({d.of_fields for d in ds}) > 1:
         raise ValueError("the dependencies of a bundle start from the same fields")
@@ -263,12 +265,14 @@ def _solve(repeated: DataFrame, per_group: DataFrame, by_name: dict, of: str, ds
         v, s = F.col(f"v_{name}"), F.col(f"s_{name}")
         columns += [v.alias(f"{short}_val"), _link(by_name[name], fields, v).alias(f"{short}_link"), s["q"].alias(f"{short}_q"), s["r"].alias(f"{short}_r")]
     wide = repeated.drop("n_rows")
-    joint = join_skewed(wide, open_groups, "group_key", F.col("hot")).select("group_key", "is_hot", *columns).distinct()
-    joint = cut_lineage(joint)
+    joined = wide.join(open_groups, "group_key").withColumn("is_hot", F.lit(False)) if hot is None else join_skewed(wide, open_groups, "group_key", F.col("hot"))
+    joint = cut_lineage(joined.select("group_key", "is_hot", *columns).distinct())
+    largest = joint.groupBy("group_key").agg(F.count("*").alias("size")).agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
     rest = joint.where("NOT is_hot")
     counts = rest.groupBy("group_key").agg(F.count("*").alias("size"))
     small = rest.join(counts.where(F.col("size") <= limit).select("group_key"), "group_key", "left_semi")
     large = rest.join(counts.where(F.col("size") > limit).select("group_key"), "group_key", "left_semi").unionByName(joint.where("is_hot"))
+    plain = hot is None and largest <= limit
     shorts = [short for short, *_ in sides]
     shape = ", ".join(f"{x} array<string>" for x in shorts)
 
@@ -277,8 +281,8 @@ def _solve(repeated: DataFrame, per_group: DataFrame, by_name: dict, of: str, ds
         return pd.DataFrame([[list(v) for v in _search(rows, len(shorts) - 1)] for rows in groups], columns=shorts)
 
     fields = [c for c in joint.columns if c not in ("group_key", "is_hot")]
-    searched = small.groupBy("group_key").agg(F.collect_list(F.struct(*fields)).alias("rows")).select("group_key", search("rows").alias("p")).select("group_key", *(f"p.{x}" for x in shorts))
-    found = searched.unionByName(_by_joins(large, open_groups, shorts))
+    searched = (joint if plain else small).groupBy("group_key").agg(F.collect_list(F.struct(*fields)).alias("rows")).select("group_key", search("rows").alias("p")).select("group_key", *(f"p.{x}" for x in shorts))
+    found = searched if plain else searched.unionByName(_by_joins(large, open_groups, shorts))
     return found.select("group_key", *(F.col(x).alias(f"p_{n}") for x, n in zip(shorts, names)))
 
 
@@ -311,8 +315,8 @@ def duplicate_classes(found: Representatives) -> DataFrame:
     rows = found.duplicates.distinct()
     per_group = rows.groupBy("group_key").agg(F.min("row_key").alias("class_id"), F.count("*").alias("n"))
     classes = per_group.where("n > 1").join(found.merged.select("group_key"), "group_key")
-    hot = F.col("n") > HOT_ROWS
-    return join_skewed(rows, classes, "group_key", hot).select("row_key", "class_id", (F.col("n") - 1).alias("n_links"))
+    joined = join_skewed(rows, classes, "group_key", F.col("n") > HOT_ROWS) if found.any_hot else rows.join(classes, "group_key")
+    return joined.select("row_key", "class_id", (F.col("n") - 1).alias("n_links"))
 
 
 def duplicate_pairs(found: Representatives) -> DataFrame:
