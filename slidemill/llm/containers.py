@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.session import cut_lineage
+
 #: Folder of the public tokenizers' files; a parameter everywhere.
 TOKENIZERS = os.environ.get("SLIDEMILL_TOKENIZERS", "/opt/tokenizers")
 #: Items that one task packs together.
@@ -109,7 +111,7 @@ def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard:
     an item at most, are spread by hash over shards of about ``shard``; each shard is packed by
     minimum bin slack on the number of pieces per length, so the space left over is at most
     that of a few last containers per shard. Equal items, as those of a repeated row, are counted and
-    spread in parts. A container's name tells its shard or its full piece; names are unique
+    spread in parts; the counts are stored, so what makes the sizes runs once. A container's name tells its shard or its full piece; names are unique
     and equal in every rerun over the same rows. ``n_items`` saves counting items that are
     costly to make, such as token counts.
 
@@ -122,7 +124,7 @@ def fill_containers(items: DataFrame, key: str, size: str, capacity: int, shard:
     shards = max(1, -(-(items.count() if n_items is None else n_items) // shard))
     kind = items.schema[key].dataType.simpleString()
     whole = items.select(F.col(key).alias("key"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("size"))
-    counted = whole.groupBy("key", "size").agg(F.count("*").alias("copies")).withColumn("full", F.floor(F.col("size") / F.lit(capacity)).cast("long"))
+    counted = cut_lineage(whole.groupBy("key", "size").agg(F.count("*").alias("copies")).withColumn("full", F.floor(F.col("size") / F.lit(capacity)).cast("long")))
     name = F.coalesce(F.col("key").cast("string"), F.lit(""))
     full = (
         counted.where("full > 0")
