@@ -35,7 +35,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
 
     A component is named by its smallest node. ``a`` and ``b`` are columns of one type; null
     ends link nothing, a link of a node with itself keeps the node. Each round halves paths
-    and is checkpointed once; links stay distributed throughout. A round is one shuffle per star
+    and is checkpointed; links stay distributed throughout. A round is one shuffle per star
     and one that removes repeated links; nodes that may be hot are looked for only where there
     are enough links for one.
     """
@@ -56,12 +56,20 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
 
 
 def _with_least(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
-    """Adds to every link the smallest other end ``m`` at its ``u``; few hot nodes are joined by broadcast."""
+    """Adds to every link the smallest other end ``m`` at its ``u``; links of few hot nodes stay where they are.
+
+    ``edges`` are read several times where there are enough of them for a hot node.
+    """
+    least = F.min("v").over(Window.partitionBy("u"))
     if n_links <= hot_links:
-        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
-    edges = cut_lineage(edges)
-    per_node = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-    return join_skewed(edges, per_node, "u", F.col("degree") > max(hot_links, n_links // HOT)).select("u", "v", "m")
+        return edges.withColumn("m", least)
+    degrees = edges.groupBy("u").agg(F.count("*").alias("degree"))
+    hot = cut_lineage(degrees.where(F.col("degree") > max(hot_links, n_links // HOT)).select("u"))
+    if not hot.limit(1).count():
+        return edges.withColumn("m", least)
+    of_hot = edges.join(F.broadcast(hot), "u").groupBy("u").agg(F.min("v").alias("m"))
+    rest = edges.join(F.broadcast(hot), "u", "left_anti").withColumn("m", least)
+    return edges.join(F.broadcast(of_hot), "u").select("u", "v", "m").unionByName(rest.select("u", "v", "m"))
 
 
 def _large_star(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
@@ -72,7 +80,7 @@ def _large_star(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
 
 def _small_star(edges: DataFrame, n_links: int, hot_links: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    found = _with_least(down, n_links, hot_links)
+    found = _with_least(cut_lineage(down) if n_links > hot_links else down, n_links, hot_links)
     moved = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
     return found.select(moved.alias("e")).select("e.u", "e.v").where("u <> v").distinct()
 
