@@ -140,9 +140,8 @@ class Balance:
         self.off = -np.vstack([goals, overall]) / scale[:, None]
         self.tolerance = np.full(last + 1, TOLERANCE)
         self.tolerance[last] = OVERALL_TOLERANCE
-        # the overall shares come first: small strata may be far from theirs by no fault
         self.worth = np.ones(last + 1)
-        self.worth[last] = OVERALL * max(last, 1)
+        self.worth[last] = max(last, 1)
         self.split = np.full(n, -1)
 
     def cost(self, off: np.ndarray, tolerance: np.ndarray, worth: np.ndarray) -> np.ndarray:
@@ -289,6 +288,9 @@ def balanced_splits(weights: DataFrame, shares: dict[str, float], shard: int = S
         for i, k in enumerate(bins_first.split[group]):
             single.put(i, int(k))
         single.refine()
+        # the overall shares have the last word: small strata may be far from theirs by no fault
+        single.worth[-1] *= OVERALL
+        single.refine()
         return pd.DataFrame({"component": component, "split": [names[k] for k in single.split]})
 
     equal, whole = F.array(*map(F.lit, goal.tolist())), goal * everything
