@@ -132,11 +132,22 @@ def p7_report(spark: SparkSession, folder: str) -> DataFrame:
     return orphan_report(orphans(spark, folder))
 
 
+def p7_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """References that are not empty but no id either, per field and month; they name no record, so they are no orphans."""
+    paths, data = table(spark, folder, "idr_ftp_paths"), table(spark, folder, "dataset")
+    parts = []
+    for df, field, identity, moment in ((paths, "ftp_path", image_identity, "listed_at"), (data, "image_id", image_identity, "released_at"), (data, "idr_url", mirror_path_identity, "released_at")):
+        odd = df.where((strip_blank(F.col(field)) != "") & identity(F.col(field)).isNull())
+        name = ("idr_ftp_paths." if df is paths else "dataset.") + field
+        parts.append(odd.groupBy(month_of(F.col(moment)).alias("period")).agg(F.lit(name).alias("ref_field"), F.count(F.lit(1)).alias("n_references")))
+    return reduce(DataFrame.unionByName, parts).select("ref_field", "period", "n_references")
+
+
 def p5_schema(spark: SparkSession, folder: str) -> DataFrame:
     return merged_schema(table(spark, folder, "raw_entries"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_unquoted": p4_unquoted, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report}
+QUERIES = {"p4_found": p4_found, "p4_unquoted": p4_unquoted, "p5_found": p5_found, "p5_tables": p5_tables, "p5_schema": p5_schema, "p7_found": p7_found, "p7_report": p7_report, "p7_malformed": p7_malformed}
 
 _SPLIT = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS src_table, '{field}' AS field, row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM (
@@ -214,5 +225,9 @@ v AS (SELECT k AS row_id, [n || ', ' || r] AS v FROM p UNION ALL SELECT k + 100,
  UNION ALL SELECT k + 300, [n, r, t] FROM p UNION ALL SELECT k + 400, [n, r] FROM p)
 SELECT row_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS val FROM v""",
     "p7_found": _ORPHANS + " SELECT DISTINCT ref_field, regexp_extract(key, '([^/:]+)$', 1) AS image_id, period FROM orphans",
+    "p7_malformed": " UNION ALL ".join(
+        f"SELECT '{name}.{field}' AS ref_field, strftime({moment}, '%Y-%m') AS period, count(*) AS n_references FROM {name} WHERE {_STRIP.format(field)} <> '' AND nullif({identity.format(field)}, '') IS NULL GROUP BY 2"
+        for name, field, moment, identity in (("idr_ftp_paths", "ftp_path", "listed_at", _IMAGE), ("dataset", "image_id", "released_at", _IMAGE), ("dataset", "idr_url", "released_at", _PATH))
+    ),
     "p7_report": _ORPHANS + " SELECT ref_field, period, reason, count(*) AS n_references, count(DISTINCT key) AS n_keys FROM orphans GROUP BY ALL",
 }

@@ -158,9 +158,9 @@ def intersect_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "images").select("ensembl_id").intersect(table(spark, d, "genes").select("ensembl_id"))
 
 
-@query("except_values", "SELECT tissue FROM cells EXCEPT SELECT tissue FROM images")
+@query("except_values", "SELECT ensembl_id FROM images EXCEPT SELECT ensembl_id FROM antibodies")
 def except_values(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "cells").select("tissue").subtract(table(spark, d, "images").select("tissue"))
+    return table(spark, d, "images").select("ensembl_id").subtract(table(spark, d, "antibodies").select("ensembl_id"))
 
 
 @query("pairwise_names", "SELECT a.r_name AS name_a, b.r_name AS name_b FROM region a JOIN region b ON a.r_name < b.r_name")

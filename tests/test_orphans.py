@@ -40,3 +40,19 @@ def test_empty(spark):
     refs, targets = frames(spark, [("f", "a", "2025-02")], [("a", "2025-01", True)])
     assert orphan_references(refs.limit(0), targets).count() == 0
     assert orphan_references(refs, targets.limit(0)).count() == 1
+
+
+def test_references_that_are_no_id(spark, tmp_path):
+    from slidemill.queries.data_problems import ORACLE, p7_malformed
+
+    at = "timestamp'2024-03-05'"
+    spark.sql(f"SELECT explode(array('b/p/1_A_1_1.tif', 'b/p/notes.txt', ' ', NULL)) AS ftp_path, {at} AS listed_at").write.parquet(str(tmp_path / "idr_ftp_paths.parquet"))
+    spark.sql(f"SELECT explode(array('1-A', '1_A_1_1', '')) AS image_id, 'https://x/y' AS idr_url, {at} AS released_at").write.parquet(str(tmp_path / "dataset.parquet"))
+    got = rows(p7_malformed(spark, str(tmp_path)))
+    assert got == [("dataset.idr_url", "2024-03", 3), ("dataset.image_id", "2024-03", 1), ("idr_ftp_paths.ftp_path", "2024-03", 1)]
+    import duckdb
+
+    db = duckdb.connect()
+    for name in ("idr_ftp_paths", "dataset"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert sorted(db.execute(ORACLE["p7_malformed"]).fetchall()) == got
