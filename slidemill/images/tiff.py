@@ -1,4 +1,4 @@
-"""Baseline TIFF in numpy: 8-bit grey or RGB in strips, uncompressed or deflated."""
+"""TIFF in numpy: 8-bit grey or RGB in strips, uncompressed, deflated or LZW-packed, also as differences to the left."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ import zlib
 import numpy as np
 
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8}
-WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
+WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317
+# Codes of LZW that clear the table and end the data, and its widest code in bits.
+CLEAR, END, WIDEST = 256, 257, 12
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -26,17 +28,54 @@ def decode(data: bytes) -> np.ndarray:
         strips = [data[a : a + n] for a, n in zip(tags[OFFSETS], tags[COUNTS])]
         if packing in (8, 32946):
             strips = [zlib.decompress(s) for s in strips]
+        elif packing == 5:
+            strips = [unpack_lzw(s) for s in strips]
         elif packing != 1:
             raise ValueError(f"compression {packing} is not supported")
         pixels = np.frombuffer(b"".join(strips), np.uint8)
         if len(pixels) < height * width * samples:
             raise ValueError("truncated")
         pixels = pixels[: height * width * samples].reshape((height, width, samples) if samples > 1 else (height, width))
+        if tags.get(PREDICTOR, (1,))[0] == 2:
+            pixels = np.cumsum(pixels, axis=1, dtype=np.uint8)
         return 255 - pixels if samples == 1 and tags.get(PHOTOMETRIC, (1,))[0] == 0 else pixels
     except (struct.error, KeyError, zlib.error, IndexError) as e:
         raise ValueError(f"damaged TIFF: {e}") from e
 
 
+def unpack_lzw(data: bytes) -> bytes:
+    """The bytes of an LZW strip: codes of 9 to 12 bits, highest bit first, widened one code early."""
+    out, table = bytearray(), []
+    bits = held = 0
+    width, before = 9, b""
+    for byte in data:
+        held, bits = (held << 8 | byte) & 0xFFFFFFF, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits & ((1 << width) - 1)
+        if code == END:
+            break
+        if code == CLEAR:
+            table, width, before = [], 9, b""
+            continue
+        if code < CLEAR:
+            now = bytes([code])
+        elif code - END - 1 < len(table):
+            now = table[code - END - 1]
+        elif before and code - END - 1 == len(table):
+            now = before + before[:1]
+        else:
+            raise ValueError("damaged TIFF: unknown LZW code")
+        out += now
+        if before and len(table) < (1 << WIDEST) - END - 1:
+            table.append(before + now[:1])
+        before = now
+        while width < WIDEST and len(table) + END + 2 >= 1 << width:
+            width += 1
+    return bytes(out)
+
+
 def _tags(data: bytes, order: str) -> dict[int, tuple[int, ...]]:
     (at,) = struct.unpack_from(f"{order}I", data, 4)
     (n,) = struct.unpack_from(f"{order}H", data, at)

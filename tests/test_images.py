@@ -1,3 +1,5 @@
+import struct
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -161,3 +163,66 @@ def test_commands(spark, tmp_path):
     files = read_images(spark, str(root), "i*.tif")
     valid = {r.path.rsplit("/", 1)[1]: r.v for r in files.select("path", valid_tiff(F.col("content"), F.col("length")).alias("v")).collect()}
     assert valid["i1.tif"] and not valid["i2.tif"]
+
+
+def pack_lzw(data):
+    """Plain LZW with codes as the format has them: widened one code early, cleared when the table is full."""
+    bits, width, table, seen = [], 9, {}, b""
+
+    def put(code):
+        bits.append(format(code, f"0{width}b"))
+
+    put(256)
+    for k in range(len(data)):
+        c = data[k : k + 1]
+        if len(seen + c) == 1 or seen + c in table:
+            seen += c
+            continue
+        put(table[seen] if len(seen) > 1 else seen[0])
+        table[seen + c] = 258 + len(table)
+        if 258 + len(table) >= 1 << width and width < 12:
+            width += 1
+        if len(table) >= 4096 - 258 - 2:
+            put(256)
+            table, width = {}, 9
+        seen = c
+    if seen:
+        put(table[seen] if len(seen) > 1 else seen[0])
+    if 259 + len(table) >= 1 << width and width < 12:
+        width += 1
+    put(257)
+    text = "".join(bits)
+    return int(text.ljust(-(-len(text) // 8) * 8, "0"), 2).to_bytes(-(-len(text) // 8), "big")
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 600, 40_000])
+def test_lzw_round_trip(n):
+    rng = np.random.default_rng(n)
+    for data in (rng.integers(0, 4, n, np.uint8).tobytes(), rng.integers(0, 256, n, np.uint8).tobytes(), b"a" * n):
+        assert tiff.unpack_lzw(pack_lzw(data)) == data
+
+
+def test_lzw_codes():
+    codes = [256, 7, 258, 8, 8, 258, 6, 6, 257]
+    text = "".join(format(c, "09b") for c in codes).ljust(88, "0")
+    assert tiff.unpack_lzw(int(text, 2).to_bytes(11, "big")) == bytes([7, 7, 7, 8, 8, 7, 7, 6, 6])
+    with pytest.raises(ValueError):
+        tiff.unpack_lzw(int("".join(format(c, "09b") for c in (256, 7, 300)).ljust(32, "0"), 2).to_bytes(4, "big"))
+
+
+@pytest.mark.parametrize("predictor", [1, 2])
+def test_lzw_image(predictor):
+    pixels = np.random.default_rng(3).integers(0, 256, (20, 30, 3), np.uint8)
+    stored = pixels if predictor == 1 else np.diff(pixels, axis=1, prepend=np.zeros((20, 1, 3), np.uint8))
+    strips = [pack_lzw(stored[a : a + 8].tobytes()) for a in (0, 8, 16)]
+    starts = np.cumsum([8, *map(len, strips)])
+    tags = [(256, [30]), (257, [20]), (258, [8, 8, 8]), (259, [5]), (262, [2]), (273, starts[:3].tolist()), (277, [3]), (278, [8]), (279, list(map(len, strips))), (317, [predictor])]
+    extra, at = b"", int(starts[3]) + 2 + 12 * len(tags) + 4
+    entries = b""
+    for tag, values in tags:
+        body = struct.pack(f"<{len(values)}I", *values)
+        where = body if len(values) == 1 else struct.pack("<I", at + len(extra))
+        extra += b"" if len(values) == 1 else body
+        entries += struct.pack("<HHI", tag, 4, len(values)) + where
+    data = b"II*\0" + struct.pack("<I", int(starts[3])) + b"".join(strips) + struct.pack("<H", len(tags)) + entries + b"\0" * 4 + extra
+    assert (tiff.decode(data) == pixels).all()
