@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import random
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -14,10 +15,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows that the language models are fitted on, and their most characters; the only bounded part.
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 5_000
-#: Least sampled texts of a language, bytes of its dictionary, and compression level.
-LEAST_TEXTS, DICTIONARY_BYTES, LEVEL = 40, 65_536, 6
+from slidemill.session import cut_lineage
+
+#: Least clean texts of a language, bytes of its dictionary and of the text that it is trained on, and compression level.
+LEAST_TEXTS, DICTIONARY_BYTES, TRAINING_BYTES, LEVEL = 40, 65_536, 1_000_000, 6
+#: Words of one piece of the training text; longer words than so many characters are counted in pieces.
+PIECE_WORDS, WORD_CHARS = 40, 32
+#: Distinct words that a task counts before it hands them on.
+HELD_WORDS = 200_000
 #: Share of a language's texts in which a letter must occur to belong to its alphabet, and of the texts of half of the languages for another character.
 LETTER_SHARE, SIGN_SHARE = 0.03, 0.004
 #: Bytes by which a chain must shorten the text: for a chain that ends in UTF-8, and for one from one byte to one byte; each further step costs once more.
@@ -42,6 +47,7 @@ HIGH_RUN = re.compile(r"[^\x00-\x7f]{2,}")
 PIECES = re.compile(r"([ \t\r\n]+)")
 #: Characters that no correct decoding gives.
 IMPOSSIBLE = re.compile("[�\x80-\x84\x86-\x9f]")
+CYRILLIC = re.compile("[\u0400-\u052f]")
 REPAIRED = "garbled boolean, repaired string, chain string"
 
 
@@ -147,8 +153,8 @@ class Language:
 
 
 def clean_sample(text: str) -> bool:
-    """Whether a sampled text shows no sign of a wrong decoding by itself."""
-    return not IMPOSSIBLE.search(text) and not utf8_encodings(text)
+    """Whether a text that models are fitted on shows no sign of a wrong decoding by itself."""
+    return text.isascii() or not (IMPOSSIBLE.search(text) or utf8_encodings(text))
 
 
 def _letter(c: str) -> bool:
@@ -158,41 +164,88 @@ def _letter(c: str) -> bool:
 
 def _script(text: str) -> str:
     """The script of most letters, by the letters' names' blocks: latin, cyrillic or other."""
-    latin = sum(c.isalpha() and c < "\u0250" for c in text)
-    cyrillic = sum("\u0400" <= c < "\u0530" for c in text)
+    cyrillic = 0 if text.isascii() else len(CYRILLIC.findall(text))
+    latin = sum(c.isalpha() and c < "\u0250" for c in text) if cyrillic else 0
     return "latin" if latin >= cyrillic else "cyrillic"
 
 
+def note_characters(counts: Counter[tuple[str, str, str]], code: str | None, text: str | None) -> None:
+    """Counts a clean text by language and script, under the character ``""``, and by each high character that it holds."""
+    if text and (name := language_of(code)) and clean_sample(text):
+        script = _script(text)
+        counts[name, script, ""] += 1
+        if not text.isascii():
+            counts.update((name, script, c) for c in set(text) if c > "\x7f")
+
+
+def alphabets(counts: Mapping[tuple[str, str, str], int]) -> dict[str, tuple[str, frozenset[str]]]:
+    """The script of most of its texts and the alphabet of every language with enough clean texts."""
+    sizes: dict[str, dict[str, int]] = {}
+    seen: dict[tuple[str, str], dict[str, int]] = {}
+    for (name, script, c), n in counts.items():
+        if c:
+            seen.setdefault((name, script), {})[c] = n
+        else:
+            sizes.setdefault(name, {})[script] = n
+    scripts = {name: max(of, key=lambda s: (of[s], s)) for name, of in sizes.items() if sum(of.values()) >= LEAST_TEXTS}
+    letters: dict[str, set[str]] = {}
+    signs: Counter[str] = Counter()
+    for name, script in scripts.items():
+        found, n_texts = seen.get((name, script), {}), sizes[name][script]
+        own = {c for c, n in found.items() if _letter(c) and n >= max(2, LETTER_SHARE * n_texts)}
+        letters[name] = {v for c in own for v in (c, c.upper(), c.lower()) if len(v) == 1}
+        signs.update(c for c, n in found.items() if not _letter(c) and n >= max(2, SIGN_SHARE * n_texts))
+    common = {"\xa0", *(c for c, n in signs.items() if 2 * n >= len(scripts))}
+    return {name: (scripts[name], frozenset(letters[name] | common)) for name in sorted(scripts)}
+
+
+def note_words(counts: dict[str, Counter[str]], known: Mapping[str, tuple[str, frozenset[str]]], code: str | None, text: str | None) -> None:
+    """Counts the words of a clean text in its language's script and alphabet."""
+    if not text or (name := language_of(code)) not in known:
+        return
+    script, alphabet = known[name]
+    if all(c <= "\x7f" or c in alphabet for c in set(text)) and _script(text) == script and clean_sample(text):
+        counts.setdefault(name, Counter()).update(_words(text))
+
+
+def _words(text: str) -> list[str]:
+    words = text.split()
+    if len(max(words, key=len, default="")) > WORD_CHARS:
+        step = WORD_CHARS // 4
+        words = [w[k : k + step] if len(w) > WORD_CHARS else w for w in words for k in (range(0, len(w), step) if len(w) > WORD_CHARS else (0,))]
+    return words
+
+
+def train_dictionary(words: Mapping[str, int], share: float) -> bytes:
+    """A compression dictionary trained on a text that holds every word ``share`` times its count, in a fixed order."""
+    drawn = [w for w in sorted(words) for _ in range(int(words[w] * share + 0.5))]
+    random.Random(len(drawn)).shuffle(drawn)
+    data = [" ".join(drawn[k : k + PIECE_WORDS]).encode() for k in range(0, len(drawn), PIECE_WORDS)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, data, k=256, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b"\n".join(data)[-DICTIONARY_BYTES:]
+
+
 def train(samples: Iterable[tuple[str | None, str]]) -> list[Language]:
-    """One model per language with enough clean sampled texts.
+    """One model per language with enough clean texts; ``fitted_models`` gives the same of a table.
 
     Texts that show a wrong decoding by themselves, in another script than most texts of their
     language, or with letters outside its alphabet are not learned from.
     """
-    texts: dict[str, list[str]] = {}
-    for code, text in samples:
-        if text and (name := language_of(code)) and clean_sample(text):
-            texts.setdefault(name, []).append(text)
-    texts = {k: v for k, v in texts.items() if len(v) >= LEAST_TEXTS}
-    letters: dict[str, set[str]] = {}
-    signs: Counter[str] = Counter()
-    for name, found in texts.items():
-        script = Counter(map(_script, found)).most_common(1)[0][0]
-        found[:] = [t for t in found if _script(t) == script]
-        seen = Counter(c for t in found for c in set(t) if c > "\x7f")
-        own = {c for c, n in seen.items() if _letter(c) and n >= max(2, LETTER_SHARE * len(found))}
-        letters[name] = {v for c in own for v in (c, c.upper(), c.lower()) if len(v) == 1}
-        signs.update(c for c, n in seen.items() if not _letter(c) and n >= max(2, SIGN_SHARE * len(found)))
-    common = {"\xa0", *(c for c, n in signs.items() if 2 * n >= len(texts))}
+    texts = list(samples)
+    characters: Counter[tuple[str, str, str]] = Counter()
+    words: dict[str, Counter[str]] = {}
+    for code, text in texts:
+        note_characters(characters, code, text)
+    known = alphabets(characters)
+    for code, text in texts:
+        note_words(words, known, code, text)
     out = []
-    for name, found in sorted(texts.items()):
-        alphabet = frozenset(letters[name] | common)
-        data = [t.encode() for t in found if all(c < "\x80" or c in alphabet for c in t)]
-        try:
-            content = zstandard.train_dictionary(DICTIONARY_BYTES, data, k=256, d=8).as_bytes()
-        except zstandard.ZstdError:
-            content = b"\n".join(data)[-DICTIONARY_BYTES:]
-        out.append(Language(name, alphabet, content))
+    for name, (_, alphabet) in known.items():
+        found = words.get(name, {})
+        total = sum(n * (len(w.encode()) + 1) for w, n in found.items())
+        out.append(Language(name, alphabet, train_dictionary(found, min(1.0, TRAINING_BYTES / max(total, 1)))))
     return out
 
 
@@ -297,12 +350,63 @@ class Repairer:
         return None if best[2] is None else best[1:]
 
 
-def sampled_models(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> list[Language]:
-    """Models fitted on about ``rows`` rows of at most SAMPLE_CHARS characters, chosen by hash of the key so that reruns choose the same."""
-    share = rows / max(df.count(), 1)
-    picked = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col(key)), 11) < F.lit(min(share, 1.0) * (1 << 53))
-    some = df.where(picked & (F.length(text) <= SAMPLE_CHARS)).select(key, lang, text).limit(2 * rows).collect()
-    return train((r[1], r[2]) for r in sorted(some, key=lambda r: (str(r[0]), r[2])))
+def fitted_models(df: DataFrame, text: str = "text", lang: str = "lang") -> list[Language]:
+    """The models that ``train`` gives of all rows, whatever their length, order and partitioning.
+
+    Two passes count over the whole table: the texts of every language by script and high
+    character, which give the alphabets, then the words of the texts within them. A language's
+    dictionary is trained on a text that holds its words in proportion to these counts; words
+    that would stand in it less than half a time are left out. Alphabets and dictionaries alone
+    reach the driver. No rows and nulls give no models.
+    """
+    texts = df.select(F.col(lang).cast("string"), F.col(text).cast("string"))
+
+    def characters(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[str, str, str]] = Counter()
+        for b in batches:
+            for code, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                note_characters(counts, code, t)
+        if counts:
+            names, scripts, chars = zip(*counts)
+            yield pa.RecordBatch.from_pydict({"name": names, "script": scripts, "c": chars, "n": pa.array(list(counts.values()), pa.int64())})
+
+    counted = texts.mapInArrow(characters, "name string, script string, c string, n bigint").groupBy("name", "script", "c").agg(F.sum("n").alias("n"))
+    known = alphabets({(r.name, r.script, r.c): r.n for r in counted.where("n > 1 OR c = ''").collect()})
+    shared = df.sparkSession.sparkContext.broadcast(known)
+
+    def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, Counter[str]] = {}
+
+        def batch() -> pa.RecordBatch:
+            rows = [(name, w, n) for name, of in counts.items() for w, n in of.items()]
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))], names=["name", "word", "n"])
+
+        for b in batches:
+            for code, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                note_words(counts, shared.value, code, t)
+            if sum(map(len, counts.values())) > HELD_WORDS:
+                yield batch()
+        if any(counts.values()):
+            yield batch()
+
+    found = texts.mapInArrow(words, "name string, word string, n bigint").groupBy("name", "word").agg(F.sum("n").alias("n"))
+    found = cut_lineage(found)
+    share = F.least(F.lit(1.0), F.lit(float(TRAINING_BYTES)) / F.sum(F.col("n") * (F.octet_length("word") + 1)))
+    kept = found.join(F.broadcast(found.groupBy("name").agg(share.alias("share"))), "name").where("n * share >= 0.5")
+
+    def dictionary(rows):  # type: ignore[no-untyped-def]
+        import pandas as pd
+
+        trained = train_dictionary(dict(zip(rows["word"], rows["n"])), rows["share"].iloc[0])
+        return pd.DataFrame({"name": [rows["name"].iloc[0]], "dictionary": [trained]})
+
+    trained = {r.name: bytes(r.dictionary) for r in kept.groupBy("name").applyInPandas(dictionary, "name string, dictionary binary").collect()}
+    return [Language(name, alphabet, trained.get(name, b"")) for name, (_, alphabet) in known.items()]
+
+
+#: The name of earlier releases, whose models were fitted on a sample.
+sampled_models = fitted_models
 
 
 def repair_text(df: DataFrame, models: list[Language], text: str, lang: str, out: str = "repair") -> DataFrame:
@@ -335,9 +439,9 @@ def repair_text(df: DataFrame, models: list[Language], text: str, lang: str, out
     return df.withColumn(out, fix(F.col(text).cast("string"), F.col(lang).cast("string")))
 
 
-def garbled_documents(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(key, garbled, repaired, chain)`` of every garbled row, by ``repair_text``'s rules, with models fitted on a sample of the table."""
-    models = sampled_models(df, key, text, lang, rows)
+def garbled_documents(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``(key, garbled, repaired, chain)`` of every garbled row, by ``repair_text``'s rules, with models fitted on the whole table."""
+    models = fitted_models(df, text, lang)
     shared = df.sparkSession.sparkContext.broadcast(models)
     kind = df.schema[key].dataType.simpleString()
 

@@ -15,7 +15,7 @@ from slidemill.functions.identity import (
     version_identity,
 )
 from slidemill.llm.containers import TOKENIZERS, fill_containers, token_counts
-from slidemill.llm.encoding import garbled_documents, repair_text, sampled_models
+from slidemill.llm.encoding import fitted_models, garbled_documents, repair_text
 from slidemill.llm.frequency import mark_useless, tokens_of, value_frequencies
 from slidemill.llm.leakage import leaked_passages, without_leaks
 from slidemill.llm.representative import Bundle, Dependency, Representatives, best_representatives, duplicate_classes, duplicate_pairs, flat_survivors, resolve_by_name
@@ -401,7 +401,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_round_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Clean texts decoded wrongly in known ways, once to five times: of how many texts, and whether nearly all are restored."""
-    models = sampled_models(table(spark, folder, "documents"))
+    models = fitted_models(table(spark, folder, "documents"))
 
     @F.pandas_udf("string")
     def garble(texts: pd.Series, chains: pd.Series) -> pd.Series:

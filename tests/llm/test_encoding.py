@@ -109,3 +109,18 @@ def test_frames(spark, data):
     assert len(rows(added.where("text IS NULL"))) == 1
     with pytest.raises(ValueError):
         E.repair_text(df, [], "text", "lang", "chain")
+
+
+def test_models_are_fitted_on_every_row(spark):
+    # 45 texts of a language among 25,000: a sample of the table holds fewer than a model needs
+    rng = random.Random(4)
+    clean = [t for t in (words("pl", rng, 40) for _ in range(1_000)) if E.clean_sample(t)][:45]
+    texts = [("pl", t) for t in clean] + [("de", words("de", rng, 3)) for _ in range(25_000)]
+    long = " ".join(["aussi été frère"] * 2_000)  # over any limit of characters
+    df = spark.createDataFrame([(k, *t) for k, t in enumerate(texts + [("fr", long)] * 45)], "doc_id long, lang string, text string")
+    models = E.sampled_models(df)
+    assert [m.name for m in models] == ["de", "fr", "pl"]
+    assert models == E.sampled_models(df.repartition(7)) == E.train(texts + [("fr", long)] * 45)
+    held = [words("pl", rng, 30) for _ in range(40)]
+    repairer = E.Repairer(models)
+    assert sum(repairer.repair(misread(t, "cp1250", "cp1252"), "pl")[1] == t for t in held if misread(t, "cp1250", "cp1252") != t) >= 36
