@@ -51,26 +51,26 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_frequencies(spark, folder).where(F.col("mark").isNotNull()).select("field", "val", "mark")
 
 
-def image_choices(spark: SparkSession, folder: str, stored: dict[str, float], rates: dict[str, float]) -> DataFrame:
+def image_choices(spark: SparkSession, folder: str) -> DataFrame:
     """The images of the dataset sampled by label, with the labels that they were chosen for before and are chosen for now."""
     data = table(spark, folder, "dataset")
     label, version = label_identity(F.col("set")), version_identity(F.col("split_version"))
     earlier = F.array_compact(F.array(label_identity(F.col("set_v1")), F.when(version == "v1", label)))
     current = F.array_compact(F.array(F.when(version == "v2", label)))
-    thresholds = raised(rate_table(spark, stored), rate_table(spark, rates))
+    thresholds = raised(rate_table(spark, FIRST_RATES), rate_table(spark, SAMPLE_RATES))
     out = stable_sample(data, image_identity(F.col("image_id")), earlier, current, thresholds, salt=SALT)
     return out.withColumnRenamed("sample_key", "image_id")
 
 
 def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
-    out = image_choices(spark, folder, FIRST_RATES, SAMPLE_RATES)
+    out = image_choices(spark, folder).drop("moved", "lost")
     return out.withColumns({c: F.array_join(c, ",") for c in ("earlier", "current")})
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    # the split itself is the choice: all images of a label are chosen for it, in every release
-    whole = dict.fromkeys(SPLIT_SHARES, 1.0)
-    return image_choices(spark, folder, whole, whole).where("kept = false").select("image_id")
+    # an image's choice is its label, and its place in the sample if it had one: val is wanted at a lower
+    # rate than stored, so thresholds that were not raised would lose images and report them here
+    return image_choices(spark, folder).where("moved OR lost").select("image_id")
 
 
 def image_bundles() -> list[Bundle]:

@@ -63,8 +63,12 @@ def stable_sample(
     stratum if the hash was below the threshold stored before (the present one, if none was
     stored), and is chosen in a current one by the present threshold; a choice is not kept if
     one of the earlier differs from one of the current (``kept`` is null without both).
+    Beside the choices of the sample, two faults are told of every key: ``moved``, if a stratum
+    named for an earlier release differs from one named for the current, sampled or not, and
+    ``lost``, if the key was chosen earlier and is not sampled now, which thresholds that were
+    not raised give.
 
-    Result: ``sample_key, unit, threshold, sampled, earlier, current, kept``. Rows without key
+    Result: ``sample_key, unit, threshold, sampled, earlier, current, kept, moved, lost``. Rows without key
     are left out; strata without threshold use ``default_rate``; repeated rows change nothing;
     empty input gives an empty result; no column is carried, so none can clash. One aggregation
     with map-side combining, in which a key keeps its distinct strata; the hash is computed once a key.
@@ -94,7 +98,7 @@ def stable_sample(
     choice = F.struct("stratum", F.coalesce(F.when(F.col("earlier"), F.col("before")), "threshold", rate).alias("t"))
     known = F.col("stratum").isNotNull()
     per_key = levels.groupBy("sample_key").agg(
-        F.max(F.greatest(F.coalesce("threshold", rate), F.coalesce("before", F.lit(0.0)))).alias("threshold"),
+        F.max(F.coalesce("threshold", rate)).alias("threshold"),
         F.collect_set(F.when(known & F.col("earlier"), choice)).alias("e"),
         F.collect_set(F.when(known & ~F.col("earlier"), choice)).alias("c"),
     )
@@ -103,6 +107,9 @@ def stable_sample(
     def chosen(choices: str) -> Column:
         return F.array_sort(F.transform(F.filter(choices, lambda x: F.col("unit") < x["t"]), lambda x: x["stratum"])).alias({"e": "earlier", "c": "current"}[choices])
 
-    out = per_key.select("sample_key", "unit", "threshold", (F.col("unit") < F.col("threshold")).alias("sampled"), chosen("e"), chosen("c"))
+    strata = F.array_union(F.transform("e", lambda x: x["stratum"]), F.transform("c", lambda x: x["stratum"]))
+    moved = (F.size("e") > 0) & (F.size("c") > 0) & (F.size(strata) > 1)
+    out = per_key.select("sample_key", "unit", "threshold", (F.col("unit") < F.col("threshold")).alias("sampled"), chosen("e"), chosen("c"), moved.alias("moved"))
     told = (F.size("earlier") > 0) & (F.size("current") > 0)
-    return out.withColumn("kept", F.when(told, F.size(F.array_union("earlier", "current")) == 1))
+    kept = F.when(told, F.size(F.array_union("earlier", "current")) == 1)
+    return out.select("sample_key", "unit", "threshold", "sampled", "earlier", "current", kept.alias("kept"), "moved", ((F.size("earlier") > 0) & ~F.col("sampled")).alias("lost"))

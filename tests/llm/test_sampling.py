@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from slidemill.llm import sampling
+from slidemill.llm import queries, sampling
 from slidemill.llm.sampling import raised, rate_table, stable_sample
 from tests.conftest import rows
 
@@ -73,3 +73,24 @@ def test_edges(spark):
     assert len(rows(sample(long, {}))) == 2
     with pytest.raises(ValueError):
         sample(long, {"t": 1.5})
+
+
+def test_lowered_thresholds_lose_keys_and_tell(spark):
+    df = spark.createDataFrame([(f"i{k}", None, "x", "x") for k in range(1000)] + [("m", None, "x", "y")], SCHEMA)
+    lowered = spark.createDataFrame([("x", 0.5, 0.2), ("y", None, 0.3)], "stratum string, before double, threshold double")
+    out = stable_sample(df, F.col("id"), F.array("old"), F.array("new"), lowered).collect()
+    lost = {r.sample_key for r in out if r.lost}
+    assert lost == {r.sample_key for r in out if 0.2 <= r.unit < 0.5} - {r.sample_key for r in out if r.sampled} and 200 < len(lost) < 400
+    assert {r.sample_key for r in out if r.moved} == {"m"}
+    assert not any(r.lost for r in sample(df, {"x": 0.2, "y": 0.3}, stored={"x": 0.5}).collect())
+
+
+def test_the_thresholds_decide_which_images_are_found(spark, tmp_path, monkeypatch):
+    images = [(f"{k}_A_1_1", s, None, v) for k in range(400) for s, v in (("val", "v1"), ("val", "v2"))] + [("900_B_1_1", "val", "train", "v2")]
+    spark.createDataFrame(images, "image_id string, set string, set_v1 string, split_version string").write.parquet(f"{tmp_path}/dataset.parquet")
+    assert rows(queries.p2_found(spark, str(tmp_path))) == [("900_B_1_1",)]
+    held = {r.image_id: r.unit for r in queries.p2_sample(spark, str(tmp_path)).collect()}
+    # without raising, the images of val between the wanted and the stored rate fall out of the sample
+    monkeypatch.setattr(queries, "raised", lambda stored, now: now.join(stored.withColumnRenamed("threshold", "before"), "stratum"))
+    fallen = {k for k, unit in held.items() if 0.1 <= unit < 0.2} - {"900_B_1_1"}
+    assert {r.image_id for r in queries.p2_found(spark, str(tmp_path)).collect()} == fallen | {"900_B_1_1"} and len(fallen) > 20
