@@ -48,37 +48,35 @@ class _Many(list):
     """Repeated elements, told apart from a list that is one value."""
 
 
-class _XmlTree:
-    """Builds nested dictionaries from parser events: attributes and children by name, ``text`` beside them."""
-
-    def __init__(self) -> None:
-        self.open: list[tuple[str, dict, list[str]]] = [("", {}, [])]
-
-    def start(self, tag: str, attrib: dict) -> None:
-        self.open.append((tag, dict(attrib), []))
-
-    def data(self, text: str) -> None:
-        self.open[-1][2].append(text)
-
-    def end(self, _: str) -> None:
-        tag, node, texts = self.open.pop()
-        text = "".join(texts)
-        value: Any = text
-        if node:
-            value = node
-            if text.strip():
-                node["text"] = text
-        parent = self.open[-1][1]
-        if tag not in parent:
-            parent[tag] = value
-        elif isinstance(parent[tag], _Many):
-            parent[tag].append(value)
-        else:
-            parent[tag] = _Many([parent[tag], value])
-
-    def close(self) -> Any:
-        (root,) = self.open[0][1].values()
-        return root if isinstance(root, dict) else {"text": root}
+def _xml(text: str) -> dict:
+    """Nested dictionaries of an XML document: attributes and children by name, ``text`` beside them; an element of text alone is that text."""
+    parser = ET.XMLParser(encoding="utf-8")
+    parser.feed(text.strip().encode())
+    root = parser.close()
+    out = dict(root.attrib)
+    todo = [(root, out)]
+    while todo:
+        element, node = todo.pop()
+        text = element.text or ""
+        for child in element:
+            value: Any
+            if len(child) or child.attrib:
+                value = dict(child.attrib)
+                todo.append((child, value))
+            else:
+                value = child.text or ""
+            if child.tail:
+                text += child.tail
+            tag = child.tag
+            if tag not in node:
+                node[tag] = value
+            elif isinstance(node[tag], _Many):
+                node[tag].append(value)
+            else:
+                node[tag] = _Many([node[tag], value])
+        if text.strip():
+            node["text"] = text
+    return out or {"text": root.text or ""}
 
 
 def _deep_json(text: str) -> Any:
@@ -158,9 +156,7 @@ def read_payload(fmt: str | None, payload: str | None) -> Any:
     try:
         if (fmt or "").strip().lower() == "json":
             return _json(payload)
-        parser = ET.XMLParser(target=_XmlTree(), encoding="utf-8")
-        parser.feed(payload.strip().encode())
-        return parser.close()
+        return _xml(payload)
     except (ValueError, TypeError, AttributeError, ET.ParseError):
         return _UNREADABLE
 
@@ -191,6 +187,12 @@ def keyed(value: Any) -> bool:
     return True
 
 
+@lru_cache(maxsize=100_000)
+def _child_paths(path: str, keys: tuple[str, ...]) -> tuple[str, ...]:
+    head = f"{path}." if path else ""
+    return tuple(head + n for n in snake_names(keys))
+
+
 def note_paths(tree: Any, found: dict[tuple[str, str], int]) -> None:
     """Counts every path of a payload with the kind of what stands there; items of an array share its path."""
     stack = [(tree, "")]
@@ -207,8 +209,11 @@ def note_paths(tree: Any, found: dict[tuple[str, str], int]) -> None:
                 stack += [({} if v is None else v, path) for v in value.values()]
             else:
                 kind = "object"
-                head = f"{path}." if path else ""
-                stack += [(v, head + n) for v, n in zip(value.values(), snake_names(tuple(value)))]
+                for v, below in zip(value.values(), _child_paths(path, tuple(value))):
+                    if type(v) is str and v[:1] not in _MAY_OPEN:
+                        found[below, "scalar"] = found.get((below, "scalar"), 0) + 1
+                    else:
+                        stack.append((v, below))
         else:
             kind = "null" if value is None else "scalar"
         at = (path, kind)
@@ -303,11 +308,12 @@ class Shredder:
                 self._plans[path, prefix, keys] = found
         return found
 
-    def shred(self, tree: Any, entry: int, rows: _Rows) -> None:
+    def shred(self, tree: Any, entry: int, rows: _Rows, record: int | None = None) -> None:
+        first = entry if record is None else record
         if isinstance(tree, list):
-            todo = [(self._object(None, opened(v)), "", f"{entry}:{k}", None, k, {}) for k, v in enumerate(tree)]
+            todo = [(self._object(None, opened(v)), "", f"{first}:{k}", None, k, {}) for k, v in enumerate(tree)]
         else:
-            todo = [(self._object(None, tree), "", str(entry), None, 0, {})]
+            todo = [(self._object(None, tree), "", str(first), None, 0, {})]
         while todo:
             node, path, key, parent, ordinal, above = todo.pop()
             fields: dict[str, str] = {}
@@ -362,6 +368,7 @@ def shred(
     carry: dict[str, str] | None = None,
     declared: Iterable[str] = (),
     wanted: Mapping[str, Sequence[str] | None] | None = None,
+    record: str | None = None,
 ) -> DataFrame:
     """Every record as rows of flat tables, one table per array level (column ``path``; root is ``""``).
 
@@ -369,8 +376,10 @@ def shred(
     adds paths that are arrays even if every record here holds one item. ``row_key`` is
     unique in the result for unique entries, ``parent_key`` is the parent's ``row_key``,
     ``ordinal`` the position in the parent's array from 0. ``carry`` copies ancestors'
-    fields into ``above`` so that children need no join. ``wanted`` asks for the rows of some
-    paths only, and of each for some fields or, with None, for all.
+    fields into ``above`` so that children need no join; ``attach_parents`` gets them by the
+    keys. ``wanted`` asks for the rows of some paths only, and of each for some fields or, with
+    None, for all. ``record`` is a column of unique whole numbers that keys begin with instead
+    of the entry, where entries may be repeated or missing.
 
     Names become snake_case; where two names of an object would become one, one of them keeps
     its spelling. An object whose names are ids is an array, and each id, as written, is the
@@ -385,13 +394,31 @@ def shred(
     def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = _Rows()
-            for e, f, text in zip(*(c.to_pylist() for c in b.columns)):
+            for e, f, text, *r in zip(*(c.to_pylist() for c in b.columns)):
                 if (tree := read_payload(f, text)) is not _UNREADABLE:
-                    shredder.shred(tree, e, rows)
+                    shredder.shred(tree, e, rows, *r)
                 if len(rows.plain) > BATCH_ROWS:
                     yield rows.batch()
                     rows = _Rows()
             if rows.plain:
                 yield rows.batch()
 
-    return df.select(entry, fmt, payload).mapInArrow(explode, SHRED_SCHEMA)
+    return df.select(entry, fmt, payload, *([] if record is None else [record])).mapInArrow(explode, SHRED_SCHEMA)
+
+
+def attach_parents(children: DataFrame, parents: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The children with the named fields, where they have none themselves, of their parent, found by its surrogate key.
+
+    Keys are unique, so no child is repeated; a child without parent stays as it is.
+    """
+    above = parents.select(F.col("row_key").alias("parent_key"), *(F.col(f).alias(f"parent_{f}") for f in fields))
+    found = children.join(above, "parent_key", "left")
+    return found.withColumns({f: F.coalesce(f, f"parent_{f}") for f in fields}).select(children.columns)
+
+
+def placed(path: str, levels: Iterable[str]) -> tuple[str, str]:
+    """The table that a field comes to stand in, and its name there, by the array levels of the merged schema; the root table is ``""``."""
+    if path in levels:
+        return path, "text"
+    level = max((x for x in levels if path.startswith(f"{x}.")), key=len, default="")
+    return level, path[len(level) + 1 :] if level else path

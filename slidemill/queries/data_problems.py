@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slidemill.functions.identity import antibody_identity, image_identity, mirror_path_identity, month_of, none_if, strip_blank
-from slidemill.operators.nested import merged_schema, shred
+from slidemill.operators.nested import array_levels, attach_parents, merged_schema, placed, shred
 from slidemill.operators.orphans import orphan_references, orphan_report
 from slidemill.operators.packed import split_packed
+from slidemill.session import cut_lineage
 from slidemill.sources.tables import table
 
 PACKED_FIELDS = [
@@ -28,6 +29,8 @@ ENTRY_CHILDREN = {
     "antibody.tissue_expression.data": ("tissues", "tissue.ontology_terms"),
     "antibody.tissue_expression.data.patient": ("patients", "patient_id"),
 }
+ENTRY_TABLES = ["cells", "tissues", "patients"]
+#: The array levels above them in both layouts; the queries take those of the merged schema.
 ENTRY_LEVELS = ["antibodies", "antibody", "antibody.tissue_expression", *ENTRY_CHILDREN]
 ENTRY_CARRY = {
     "antibodies.id": "antibody",
@@ -64,24 +67,50 @@ def p4_unquoted(spark: SparkSession, folder: str) -> DataFrame:
     return split_packed(reduce(DataFrame.unionByName, rows), "places", ["row_id"])
 
 
-def entry_children(spark: SparkSession, folder: str) -> DataFrame:
-    """The flat tables cells, tissues and patients of the raw entries, in one frame with their keys."""
-    rows = shred(table(spark, folder, "raw_entries"), carry=ENTRY_CARRY, declared=ENTRY_LEVELS, wanted={path: [field, "tissue", "tissue.text"] for path, (_, field) in ENTRY_CHILDREN.items()})
-    child, item = F.lit(None).cast("string"), F.coalesce(*(F.col("fields")[f] for f in dict.fromkeys(f for _, f in ENTRY_CHILDREN.values())))
-    for path, (name, _) in ENTRY_CHILDREN.items():
-        child = F.when(F.col("path") == path, name).otherwise(child)
-    tissue = F.coalesce(F.col("above")["tissue"], F.col("fields")["tissue"], F.col("fields")["tissue.text"])
-    antibody = F.col("above")["antibody"]
-    return (
-        rows.select(
-            child.alias("child"),
-            F.col("entry").alias("entry_id"),
-            F.coalesce(antibody_identity(antibody), strip_blank(antibody)).alias("antibody_id"),
-            strip_blank(tissue).alias("tissue"),
-            none_if(strip_blank(item)).alias("item"),
-            "row_key", "parent_key", "ordinal",
-        )
+def entry_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of every table of the raw entries that leads to cells, tissues and patients, with keys and own fields; stored, as it is read several times.
+
+    Which tables there are, how deep they are and which fields stand in them is told by the
+    merged schema of all entries; a level that is nowhere an array has no table, and its fields
+    stand in its parent's rows.
+    """
+    entries = table(spark, folder, "raw_entries").withColumn("record", F.monotonically_increasing_id())
+    levels = array_levels(merged_schema(entries))
+    places: dict[str, list[tuple[str, str]]] = {}
+    for path, name in [(f"{path}.{field}", child) for path, (child, field) in ENTRY_CHILDREN.items()] + list(ENTRY_CARRY.items()):
+        places.setdefault(name, []).append(placed(path, levels))
+    wanted: dict[str, list[str]] = {}
+    for level, field in (p for found in places.values() for p in found):
+        wanted.setdefault(level, []).append(field)
+        for x in levels:
+            if level.startswith(f"{x}."):
+                wanted.setdefault(x, [])
+    depth = F.lit(0)
+    for level in wanted:
+        depth = F.when(F.col("path") == level, sum(level == x or level.startswith(f"{x}.") for x in levels)).otherwise(depth)
+
+    def own(name: str) -> Column:
+        return F.coalesce(*(F.when(F.col("path") == level, F.col("fields")[field]) for level, field in places[name]))
+
+    rows = shred(entries, levels=levels, wanted=wanted, record="record").select(
+        F.col("entry").alias("entry_id"), "row_key", "parent_key", depth.alias("depth"),
+        F.coalesce(antibody_identity(own("antibody")), strip_blank(own("antibody"))).alias("antibody_id"),
+        strip_blank(own("tissue")).alias("tissue"),
+        *(none_if(strip_blank(own(child))).alias(child) for child in ENTRY_TABLES),
     )
+    return cut_lineage(rows)
+
+
+def entry_children(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat tables cells, tissues and patients of the raw entries, in one frame with their keys; antibody and tissue come down from their parents' rows."""
+    rows = entry_tables(spark, folder)
+    parts: list[DataFrame] = []
+    for (depth,) in sorted(rows.select("depth").distinct().collect()):
+        part = rows.where(F.col("depth") == depth)
+        parts.append(attach_parents(part, parts[-1], ["antibody_id", "tissue"]) if parts else part)
+    out = reduce(DataFrame.unionByName, parts, rows.where("false"))
+    items = F.explode(F.array(*(F.struct(F.lit(c).alias("child"), F.col(c).alias("item")) for c in ENTRY_TABLES))).alias("i")
+    return out.select("entry_id", "antibody_id", "tissue", "row_key", "parent_key", items).select("i.child", "entry_id", "antibody_id", "tissue", "i.item", "row_key", "parent_key")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from slidemill.operators.nested import _UNREADABLE, _deep_json, array_levels, merged_schema, read_payload, shred
+from slidemill.operators.nested import _UNREADABLE, _deep_json, array_levels, attach_parents, merged_schema, placed, read_payload, shred
+from slidemill.queries import data_problems
 from slidemill.queries.data_problems import ENTRY_CARRY, ENTRY_LEVELS
 from tests.conftest import rows
 
@@ -94,3 +95,51 @@ def test_wanted_paths_only(spark):
     assert [r[0] for r in shredded(spark, doc)] == ["", "a", "a.b", "a.d", "f"]
     assert shredded(spark, doc, wanted={"a.b": None}) == [r for r in shredded(spark, doc) if r[0] == "a.b"]
     assert [r[3] for r in shredded(spark, doc, wanted={"a.b": [], "f": ["g", "none"]})] == [{}, {"g": "3"}]
+
+
+def test_parents_are_found_by_key(spark):
+    rows_of = "row_key string, parent_key string, x string, y string"
+    parents = spark.createDataFrame([("1/a:0", None, "p", "q"), ("1/a:1", None, None, "r")], rows_of)
+    children = spark.createDataFrame([("1/a:0/b:0", "1/a:0", None, "c"), ("1/a:0/b:1", "1/a:0", "own", None), ("1/a:1/b:0", "1/a:1", None, "d"), ("2", None, "own", "e"), ("3/b:0", "3", None, "f")], rows_of)
+    want = [("1/a:0/b:0", "p", "c"), ("1/a:0/b:1", "own", None), ("1/a:1/b:0", None, "d"), ("2", "own", "e"), ("3/b:0", None, "f")]
+    assert rows(attach_parents(children, parents, ["x"]).select("row_key", "x", "y")) == want
+
+
+def test_the_schema_tells_where_fields_stand():
+    assert placed("a.b.c", {"a", "a.b", "d"}) == ("a.b", "c") and placed("a.b.c", {"a"}) == ("a", "b.c")
+    assert placed("a.b.c", set()) == ("", "a.b.c") and placed("a.b", {"a", "a.b"}) == ("a.b", "text")
+
+
+def entries(spark, folder, data):
+    spark.createDataFrame(data, "entry_id long, fmt string, payload string").write.parquet(f"{folder}/raw_entries.parquet")
+    return str(folder)
+
+
+def test_the_flat_tables_are_linked_by_their_keys(spark, tmp_path, monkeypatch):
+    # the same entry twice, and entries without id, are records of their own
+    twice = [(e, f, p) for e, f, p, _ in rows(frame(spark)) if e in (1, 2, 4)] + [(2, "json", json.dumps(DOC)), (None, "json", json.dumps(ONE)), (None, "json", json.dumps(KEYED))]
+    folder = entries(spark, tmp_path, twice)
+    stored = data_problems.entry_tables(spark, folder)
+    assert stored.select("row_key").distinct().count() == stored.count()
+    want = [
+        ("cells", 1, "HPA1", "Liver", "c1", 1), ("cells", 2, "HPA2", "Skin", "k", 2), ("cells", None, "HPA3", "Lung", "s", 1), ("patients", 1, "HPA1", "Liver", "7", 1),
+        ("patients", 2, "HPA2", "Skin", "9", 2), ("patients", 4, "CAB4", "Eye", "11", 1), ("patients", None, "CAB4", "Eye", "11", 1), ("tissues", 1, "HPA1", "Liver", "U1;U2", 1),
+    ]
+    assert rows(data_problems.p5_tables(spark, folder)) == sorted(want, key=repr)
+    # a child whose key leads to no parent has no antibody
+    cut = stored.withColumn("parent_key", F.concat("parent_key", F.lit("?")))
+    monkeypatch.setattr(data_problems, "entry_tables", lambda *_: cut)
+    found = data_problems.p5_tables(spark, folder)
+    assert found.where("child = 'cells'").count() > 0 and found.where("child = 'cells' AND antibody_id IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize(("fmt", "payload", "want"), [
+    # levels that are nowhere an array have no table of their own
+    ("xml", XML, [("cells", "HPA1", "Liver", "c1"), ("patients", "HPA1", "Liver", "7"), ("tissues", "HPA1", "Liver", "U1;U2")]),
+    ("json", json.dumps(ONE), [("cells", "HPA3", "Lung", "s")]),
+    ("json", "[1]", []),
+])
+def test_levels_come_from_the_schema(spark, tmp_path, monkeypatch, fmt, payload, want):
+    folder = entries(spark, tmp_path, [(1, fmt, payload)])
+    monkeypatch.setattr(data_problems, "ENTRY_LEVELS", [])
+    assert rows(data_problems.p5_found(spark, folder).drop("entry_id")) == want
